@@ -151,3 +151,148 @@ ORDER BY average_tender_duration_days DESC
 def q_tender_duration_by_buyer(spark, sf_dir):
     t = tables(spark, sf_dir)
     return A.tender_duration_by_buyer(t["releases"], t["release_parties"], t["parties"])
+
+
+# ------------------------------------------------------- version log
+# events = one upsert log: key user_id, write order (ts, event_id);
+# event_type 'error' plays the insert-if-absent writer (placeholders, links).
+from pyspark.sql import functions as F  # noqa: E402
+
+from tenderfold.operators import versionlog as V  # noqa: E402
+from tenderfold.operators.aliases import party_aliases  # noqa: E402
+from tenderfold.operators.identity import resolve_by_name, supplier_versions  # noqa: E402
+
+_EV_COLS = ["user_id", "event_id", "ts", "event_type", "value"]
+
+
+def _event_log(spark, sf_dir, kinds=False):
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet").select(*_EV_COLS)
+    ev = ev.withColumn("seq", F.struct("ts", "event_id"))
+    if kinds:
+        ev = ev.withColumn("kind", F.when(F.col("event_type") == "error", F.lit(V.INS_IF_ABSENT))
+                           .otherwise(F.lit(V.UPSERT)))
+    return ev
+
+
+_LEAD = "lead(event_id) OVER (PARTITION BY user_id ORDER BY ts, event_id)"
+
+
+@register("events_current", f"""
+SELECT user_id, event_id, ts, event_type, value
+FROM (SELECT *, {_LEAD} AS nx FROM events) WHERE nx IS NULL
+""")
+def q_events_current(spark, sf_dir):
+    return V.current(_event_log(spark, sf_dir), "user_id", kind=None).select(*_EV_COLS)
+
+
+@register("events_history", f"""
+SELECT user_id, event_id, ts, event_type, value
+FROM (SELECT *, {_LEAD} AS nx FROM events) WHERE nx IS NOT NULL
+""")
+def q_events_history(spark, sf_dir):
+    return V.history(_event_log(spark, sf_dir), "user_id", kind=None).select(*_EV_COLS)
+
+
+_INS_IF_ABSENT_SQL = f"""
+WITH e AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events),
+k AS (SELECT * FROM e WHERE event_type <> 'error' OR rn = 1),
+s AS (SELECT *, {_LEAD} AS nx FROM k)
+SELECT user_id, event_id, ts, event_type, value,
+       CASE WHEN nx IS NULL THEN 'current' ELSE 'history' END AS state
+FROM s
+"""
+
+
+@register("events_insert_if_absent", _INS_IF_ABSENT_SQL)
+def q_events_insert_if_absent(spark, sf_dir):
+    cls = V.classify(_event_log(spark, sf_dir, kinds=True), "user_id")
+    return cls.where(F.col("state") != V.SKIPPED).select(*_EV_COLS, "state")
+
+
+@register("events_two_batch_fold", _INS_IF_ABSENT_SQL)
+def q_events_two_batch_fold(spark, sf_dir):
+    """ST2: fold the log in two batches (split at the middle day); same result as one."""
+    log = _event_log(spark, sf_dir, kinds=True)
+    split = F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
+    b1, b2 = log.where(F.col("ts") < split), log.where(F.col("ts") >= split)
+    cur1, hist1 = V.fold_increment(log.limit(0).drop("kind"), b1, "user_id")
+    cur2, hist2 = V.fold_increment(cur1.drop("kind"), b2, "user_id")
+    return (cur2.select(*_EV_COLS).withColumn("state", F.lit(V.CURRENT))
+            .unionByName(hist1.select(*_EV_COLS).withColumn("state", F.lit(V.HISTORY)))
+            .unionByName(hist2.select(*_EV_COLS).withColumn("state", F.lit(V.HISTORY))))
+
+
+@register("replace_children", """
+SELECT e.user_id, e.event_id, e.ts, e.event_type, e.value
+FROM events e
+JOIN (SELECT user_id, max(CAST(ts AS DATE)) AS d FROM events GROUP BY user_id) m
+  ON e.user_id = m.user_id AND CAST(e.ts AS DATE) = m.d
+""")
+def q_replace_children(spark, sf_dir):
+    """A user's day is a notice version; its events are the child set."""
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet").select(*_EV_COLS) \
+        .withColumn("seq", F.to_date("ts"))
+    parents = ev.select("user_id", "seq")
+    return V.replace_child_set(ev, parents, "user_id").select(*_EV_COLS)
+
+
+@register("party_aliases", """
+WITH e AS (SELECT user_id, ts, event_id, event_type AS core,
+                  lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev FROM events),
+ch AS (SELECT * FROM e WHERE prev IS NOT NULL AND core <> prev),
+f AS (SELECT *, row_number() OVER (PARTITION BY user_id, core ORDER BY ts, event_id) AS rn FROM ch),
+a AS (SELECT user_id, string_agg(core, ',' ORDER BY ts, event_id) AS alias_parties
+      FROM f WHERE rn = 1 GROUP BY user_id)
+SELECT u.user_id, a.alias_parties
+FROM (SELECT DISTINCT user_id FROM events) u LEFT JOIN a ON u.user_id = a.user_id
+""")
+def q_party_aliases(spark, sf_dir):
+    """core = event_type; hot users are split by day for the lag."""
+    ev = _event_log(spark, sf_dir)
+    return party_aliases(ev, "user_id", "seq", "event_type", bucket=F.to_date("ts"))
+
+
+@register("party_resolution", """
+SELECT p_partkey, p_name,
+       first_value(p_partkey) OVER (PARTITION BY p_name ORDER BY p_partkey) AS party_id,
+       last_value(p_brand) OVER (PARTITION BY p_name ORDER BY p_partkey
+                                 ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS last_p_brand
+FROM part
+""")
+def q_party_resolution(spark, sf_dir):
+    """Parts are party writes by name; the first id of a name wins."""
+    part = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_name", "p_brand")
+    resolved, _ = resolve_by_name(part.withColumn("seq", F.col("p_partkey")), "p_name", "p_partkey", "seq",
+                                  last_writer_cols=["p_brand"])
+    return resolved.select("p_partkey", "p_name", "party_id", "last_p_brand")
+
+
+@register("party_id_conflicts", """
+WITH firsts AS (SELECT p_name, min(p_partkey) AS first_seq, arg_min(p_size, p_partkey) AS cand FROM part GROUP BY p_name),
+owner AS (SELECT cand, min(first_seq) AS owner_seq FROM firsts GROUP BY cand)
+SELECT f.p_name, f.cand AS party_id, f.first_seq AS seq
+FROM firsts f JOIN owner o ON f.cand = o.cand WHERE f.first_seq > o.owner_seq
+""")
+def q_party_id_conflicts(spark, sf_dir):
+    """U9 conflicts (§1.4-22): candidate id = p_size, so names compete for ids."""
+    part = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_name", "p_size")
+    _, conflicts = resolve_by_name(part.withColumn("seq", F.col("p_partkey")), "p_name", "p_size", "seq")
+    return conflicts
+
+
+@register("supplier_identity", """
+WITH v AS (SELECT p_brand AS neq, p_name AS nomorganisation, p_partkey AS seq,
+                  lag(p_name) OVER (PARTITION BY p_brand ORDER BY p_partkey) AS prev_name FROM part),
+x AS (SELECT *, CASE WHEN prev_name IS NOT NULL AND prev_name <> nomorganisation THEN neq END AS existing_neq,
+             lead(seq) OVER (PARTITION BY neq ORDER BY seq) AS nx FROM v)
+SELECT 'neq:' || neq AS supplier_key, neq, nomorganisation, existing_neq, seq,
+       CASE WHEN nx IS NULL THEN 'current' ELSE 'history' END AS state
+FROM x
+""")
+def q_supplier_identity(spark, sf_dir):
+    """U8: parts as supplier writes, neq = brand; current + history versions."""
+    part = spark.read.parquet(f"{sf_dir}/part.parquet").select(
+        F.col("p_brand").alias("neq"), F.col("p_name").alias("nomorganisation"), F.col("p_partkey").alias("seq"))
+    v = supplier_versions(part, "seq", bucket=F.expr("seq div 100"))
+    cls = V.classify(v, "supplier_key", kind=None)
+    return cls.select("supplier_key", "neq", "nomorganisation", "existing_neq", "seq", "state")
