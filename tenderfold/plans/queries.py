@@ -296,3 +296,173 @@ def q_supplier_identity(spark, sf_dir):
     v = supplier_versions(part, "seq", bucket=F.expr("seq div 100"))
     cls = V.classify(v, "supplier_key", kind=None)
     return cls.select("supplier_key", "neq", "nomorganisation", "existing_neq", "seq", "state")
+
+
+# ------------------------------------------------------- scalars, picks (X*, P2, P4)
+from tenderfold.functions import scalars as X  # noqa: E402
+from tenderfold.functions.items import pick_classification, pick_item  # noqa: E402
+
+
+@register("code_maps", """
+SELECT p_partkey, p_size AS code,
+       CASE WHEN p_size IN (3, 16, 17) THEN 'open' WHEN p_size = 9 THEN 'direct'
+            WHEN p_size IN (6, 10, 14) THEN 'limited' ELSE 'open' END AS tender_procurement_method,
+       CASE p_size WHEN 3 THEN 'Contrat adjugé suite à un appel d’offres public'
+                   WHEN 6 THEN 'Contrat adjugé suite à un appel d’offres sur invitation'
+                   WHEN 9 THEN 'Contrat octroyé de gré à gré'
+                   WHEN 10 THEN 'Contrat adjugé suite à un appel d’offres sur invitations'
+                   WHEN 14 THEN 'Contrat suite à un appel d’offres sur invitation publié au SEAO'
+                   WHEN 16 THEN 'Contrat conclu relatif aux infrastructures de transport'
+                   WHEN 17 THEN 'Contrat conclu - Appel d''offres public non publié au SEAO'
+                   ELSE 'Autre type de contrat' END AS tender_procurement_method_details,
+       CASE p_size WHEN 1 THEN 'Services professionnels' WHEN 2 THEN 'Services de nature technique'
+                   ELSE 'Autres' END AS tender_main_procurement_category,
+       CASE p_size WHEN 1 THEN 'Approvisionnement (biens)' WHEN 2 THEN 'Services'
+                   WHEN 3 THEN 'Travaux de construction' WHEN 5 THEN 'Autre' WHEN 6 THEN 'Concession'
+                   WHEN 7 THEN 'Vente de biens immeubles' WHEN 8 THEN 'Vente de biens meubles'
+                   ELSE '' END AS tender_additional_procurement_categories
+FROM part
+""")
+def q_code_maps(spark, sf_dir):
+    """p_size plays the notice type / precision / nature code."""
+    part = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_size")
+    code = X.safe_int(F.col("p_size").cast("string"))
+    return part.select("p_partkey", F.col("p_size").alias("code"),
+                       X.procurement_method(code).alias("tender_procurement_method"),
+                       X.procurement_method_details(code).alias("tender_procurement_method_details"),
+                       X.main_category(code).alias("tender_main_procurement_category"),
+                       X.additional_categories(code).alias("tender_additional_procurement_categories"))
+
+
+_CLEAN_SQL = ("replace(replace(regexp_replace(replace(replace(text, chr(13), ''), chr(10), ' '), "
+              "'[\\x00-\\x1F]+', ' ', 'g'), '’', ''''), '‘', '''')")
+
+
+@register("text_clean", f"""
+WITH t AS (SELECT doc_id, text,
+  replace(replace(replace(replace({_CLEAN_SQL}, 'ʼ', ''''), '‛', ''''), '“', '"'), '”', '"') AS c
+  FROM documents)
+SELECT doc_id, CASE WHEN text IS NULL OR text = '' THEN NULL ELSE md5(c) END AS text_md5,
+       CASE WHEN text IS NULL OR text = '' THEN NULL ELSE length(c) END AS n_chars_clean
+FROM t
+""")
+def q_text_clean(spark, sf_dir):
+    """X12 without NFKC: control characters and quotes, whole texts."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    c = X.clean_text(F.col("text"), normalize=False)
+    return docs.select("doc_id", F.md5(c).alias("text_md5"), F.length(c).cast("bigint").alias("n_chars_clean"))
+
+
+@register("text_clean_nfkc")
+def q_text_clean_nfkc(spark, sf_dir):
+    """X12 with NFKC (Arrow pandas_udf); no SQL built-in, so rows-only at the driver."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    c = X.clean_text(F.col("text"), normalize=True)
+    return docs.select("doc_id", F.md5(c).alias("text_md5"), F.length(c).cast("bigint").alias("n_chars_clean"))
+
+
+@register("date_parse", """
+SELECT event_id,
+       date_trunc('second', ts) AS iso_with_offset,
+       date_trunc('second', ts) AS iso_zulu,
+       date_trunc('day', ts) AS iso_date_only,
+       date_trunc('day', ts) AS iso_date_garbage_time,
+       CAST(NULL AS TIMESTAMP) AS garbage,
+       date_trunc('minute', ts) AS xml_minutes,
+       date_trunc('second', ts) AS xml_seconds,
+       CAST(NULL AS TIMESTAMP) AS xml_iso_rejected,
+       date_trunc('second', ts) AS strict_seconds
+FROM events
+""")
+def q_date_parse(spark, sf_dir):
+    """X1-X3 on text forms of events.ts (offset, Z, date-only, junk, XML forms)."""
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts")
+    iso = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    return ev.select(
+        "event_id",
+        X.parse_iso_ts(F.concat(iso, F.lit("-05:00"))).alias("iso_with_offset"),
+        X.parse_iso_ts(F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z"))).alias("iso_zulu"),
+        X.parse_iso_ts(F.date_format("ts", "yyyy-MM-dd")).alias("iso_date_only"),
+        X.parse_iso_ts(F.concat(F.date_format("ts", "yyyy-MM-dd'T'"), F.lit("late"))).alias("iso_date_garbage_time"),
+        X.parse_iso_ts(F.concat(F.lit("x"), iso)).alias("garbage"),
+        X.parse_xml_date(F.date_format("ts", "yyyy-M-d H:m")).alias("xml_minutes"),
+        X.parse_xml_date(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).alias("xml_seconds"),
+        X.parse_xml_date(iso).alias("xml_iso_rejected"),
+        X.strict_ts(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).alias("strict_seconds"),
+    )
+
+
+@register("prefix_split", """
+SELECT o_orderkey, trim(split_part(o_orderpriority, '-', 1)) AS item_id,
+       'ocds-ec9k95-' || CAST(o_orderkey AS VARCHAR) AS ocid,
+       CAST(o_orderkey AS VARCHAR) AS numeroseao
+FROM orders
+""")
+def q_prefix_split(spark, sf_dir):
+    """Category prefix and ocid build/strip."""
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_orderpriority")
+    ocid = X.build_ocid(F.col("o_orderkey").cast("string"))
+    return o.select("o_orderkey", X.prefix_before_dash("o_orderpriority").alias("item_id"),
+                    ocid.alias("ocid"), X.strip_ocid(ocid).alias("numeroseao"))
+
+
+_ITEM_ORDER = "l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate"
+_ITEMS_SQL = f"""
+it AS (SELECT l_orderkey AS ocid,
+              row_number() OVER (PARTITION BY l_orderkey ORDER BY {_ITEM_ORDER}) AS pos,
+              CAST(l_linenumber AS VARCHAR) AS item_id,
+              CASE WHEN l_returnflag = 'R' THEN 'Classification UNSPSC principale' ELSE 'Ligne ' || l_returnflag END
+                AS description,
+              CASE WHEN l_linestatus = 'F' THEN 'F' || CAST(l_linenumber AS VARCHAR)
+                   ELSE CAST(l_partkey AS VARCHAR) END AS class_id
+       FROM lineitem),
+n AS (SELECT ocid, count(*) AS n FROM it GROUP BY ocid)
+"""
+
+
+def _items(spark, sf_dir):
+    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    item = F.struct(
+        F.col("l_linenumber").cast("string").alias("id"),
+        F.when(F.col("l_returnflag") == "R", F.lit("Classification UNSPSC principale"))
+        .otherwise(F.concat(F.lit("Ligne "), F.col("l_returnflag"))).alias("description"),
+        F.struct(F.when(F.col("l_linestatus") == "F", F.concat(F.lit("F"), F.col("l_linenumber").cast("string")))
+                 .otherwise(F.col("l_partkey").cast("string")).alias("id")).alias("classification"))
+    order = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate")
+    # an order's lines are a small bounded group: the tender's item array
+    return (li.groupBy(F.col("l_orderkey").alias("ocid"))
+            .agg(F.array_sort(F.collect_list(F.struct(order.alias("o"), item.alias("it")))).alias("l"))
+            .select("ocid", F.transform("l", lambda e: e["it"]).alias("items")))
+
+
+@register("item_pick", f"""
+WITH {_ITEMS_SQL},
+f AS (SELECT it.*, n.n FROM it JOIN n ON it.ocid = n.ocid
+      WHERE n.n = 1 OR strpos(description, 'Classification UNSPSC principale') = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY ocid ORDER BY
+        CASE WHEN regexp_matches(class_id, '\\p{{L}}') AND regexp_matches(class_id, '\\p{{Nd}}') THEN 0 ELSE 1 END,
+        pos) AS rk FROM f)
+SELECT ocid, item_id AS tender_item_id, description AS tender_item_description,
+       class_id AS tender_item_classification_id
+FROM r WHERE rk = 1
+""")
+def q_item_pick(spark, sf_dir):
+    """One item per tender."""
+    it = _items(spark, sf_dir).select("ocid", pick_item("items").alias("p")).where(F.col("p").isNotNull())
+    return it.select("ocid", F.col("p.id").alias("tender_item_id"),
+                     F.col("p.description").alias("tender_item_description"),
+                     F.col("p.classification.id").alias("tender_item_classification_id"))
+
+
+@register("classification_pick", f"""
+WITH {_ITEMS_SQL},
+r AS (SELECT *, row_number() OVER (PARTITION BY ocid ORDER BY
+        CASE WHEN regexp_matches(class_id, '\\p{{L}}') AND regexp_matches(class_id, '\\p{{Nd}}') THEN 0 ELSE 1 END,
+        pos) AS rk FROM it)
+SELECT ocid, class_id AS tender_item_additional_id FROM r WHERE rk = 1
+""")
+def q_classification_pick(spark, sf_dir):
+    """The order's lines' classifications play the additional classifications."""
+    it = _items(spark, sf_dir)
+    cls = F.transform("items", lambda e: e["classification"])
+    return it.select("ocid", pick_classification(cls)["id"].alias("tender_item_additional_id"))
