@@ -67,3 +67,45 @@ def write_release_files(d: str) -> str:
     with open(os.path.join(d, "broken.json"), "w") as f:
         f.write('{"releases": [ {"ocid": "x"')
     return d
+
+
+AVIS_1 = """<?xml version="1.0" encoding="UTF-8"?>
+<export>
+ <avis><numeroseao>100</numeroseao><numero>N-1</numero><organisme>Ville A & Fils</organisme>
+  <municipal>1</municipal><categorieseao>C01 - Bâtiments</categorieseao><type>3</type><nature>3</nature>
+  <precision></precision><titre>Pont’s “neuf”</titre><datepublication>2021-1-5 9:5</datepublication>
+  <datefermeture>2021-02-01</datefermeture>
+  <fournisseurs>
+   <fournisseur><neq>111</neq><nomorganisation>Beta inc</nomorganisation><adjudicataire>1</adjudicataire>
+     <admissible>1</admissible><montantsoumis>100.5</montantsoumis><montantcontrat>100.5</montantcontrat></fournisseur>
+   <fournisseur><neq></neq><nomorganisation>Sans NEQ</nomorganisation><province></province></fournisseur>
+   <fournisseur><neq></neq><nomorganisation></nomorganisation></fournisseur>
+  </fournisseurs></avis>
+ <avis><numeroseao>200</numeroseao><numero>N-2</numero><organisme>Ville A &amp; Fils</organisme>
+  <categorieseao>S5 - Services environnementaux</categorieseao><municipal>x</municipal></avis>
+ <avis><numeroseao>100</numeroseao><numero>N-1b</numero><organisme>Ville A</organisme>
+  <fournisseurs><fournisseur><neq>111</neq><nomorganisation>Beta incorporée</nomorganisation></fournisseur></fournisseurs>
+ </avis>
+</export>"""
+
+CONTRATS_1 = """<export><contrat><numeroseao>100</numeroseao><numero>C-1</numero><datefinale>2021-06-01</datefinale>
+<montantfinal>120.00</montantfinal><neqcontractant></neqcontractant></contrat>
+<contrat><numeroseao>300</numeroseao><numero>C-3</numero><montantfinal>5</montantfinal></contrat>
+<contrat><numeroseao></numeroseao><numero>C-X</numero></contrat></export>"""
+
+CONTRATS_2 = """<export><contrat><numeroseao>100</numeroseao><numero>C-1</numero>
+<datepublicationfinale>2021-07-01 10:00:00</datepublicationfinale><montantfinal>130.00</montantfinal></contrat></export>"""
+
+DEPENSES = """<export><avis><numeroseao>100</numeroseao><numero>N-1</numero><depenses>
+<depense><datedepense>2021-08-01</datedepense><montantdepense>10.00</montantdepense><description>dep</description></depense>
+</depenses></avis><avis><numeroseao>400</numeroseao></avis></export>"""
+
+
+def write_xml_files(d: str) -> str:
+    os.makedirs(d, exist_ok=True)
+    for name, text in [("avis_20210101_20210131.xml", AVIS_1), ("contrats_20210101_20210131.xml", CONTRATS_1),
+                       ("contrats_revisions_20210101_20210131.xml", CONTRATS_2),
+                       ("depenses_20210101_20210131.xml", DEPENSES), ("depenses_20210201_20210228.xml", DEPENSES)]:
+        with open(os.path.join(d, name), "w", encoding="utf-8") as f:
+            f.write(text)
+    return d
