@@ -211,3 +211,61 @@ def q_json_extract(spark, sf_dir):
     ev = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "props")
     parsed = F.from_json("props", "k int")
     return ev.select("event_id", parsed["k"].alias("k"), F.to_json(parsed).alias("details"))
+
+
+# ------------------------------------------------------- round trips (P21, SRC1-SRC3)
+from tenderfold.plans.documents import notice_xml_documents, release_documents  # noqa: E402
+from tenderfold.sources import notice_xml as NX  # noqa: E402
+from tenderfold.sources import release_json as RJ  # noqa: E402
+
+
+@register("json_roundtrip", """
+SELECT CAST(l_orderkey AS VARCHAR) AS ocid,
+       concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS contract_id,
+       CAST(l_extendedprice AS DECIMAL(15,2)) AS value_amount, 'CAD' AS value_currency,
+       l_shipdate AS date_signed
+FROM lineitem
+""")
+def q_json_roundtrip(spark, sf_dir):
+    """Lines -> nested release JSON per order (P21) -> release reader -> contract rows."""
+    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    flat = li.select(F.col("l_orderkey").cast("string").alias("ocid"),
+                     F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("contract_id"),
+                     F.lit("").alias("award_id"),
+                     F.col("l_extendedprice").cast("decimal(15,2)").alias("value_amount"),
+                     F.lit("CAD").alias("currency"),
+                     F.concat(F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("-05:00")).alias("date_signed"),
+                     F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate").alias("order"))
+    docs = release_documents(flat)
+    rel = RJ.explode_releases(RJ.releases_from_text(docs))
+    c = RJ.release_events(rel)["contracts"]
+    return c.select("ocid", "contract_id", "value_amount", "value_currency", "date_signed")
+
+
+@register("xml_roundtrip", """
+SELECT CAST(l_orderkey AS VARCHAR) AS numeroseao, CAST(l_suppkey AS VARCHAR) AS neq,
+       s_name AS nomorganisation, CAST(l_extendedprice AS DECIMAL(18,2)) AS montantsoumis,
+       CASE WHEN l_linestatus = 'F' THEN 1 ELSE 0 END AS adjudicataire,
+       'Client ' || CAST(o_custkey AS VARCHAR) || ' & Fils' AS organisme
+FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN orders ON l_orderkey = o_orderkey
+""")
+def q_xml_roundtrip(spark, sf_dir):
+    """Orders + lines -> notice XML with suppliers (bare '&' in names) -> XML reader -> link rows."""
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    sup = spark.read.parquet(f"{sf_dir}/supplier.parquet")
+    notices = o.select(F.col("o_orderkey").alias("numeroseao"),
+                       F.concat(F.lit("Client "), F.col("o_custkey").cast("string"), F.lit(" & Fils")).alias("organisme"))
+    links = li.join(sup, li.l_suppkey == sup.s_suppkey).select(
+        F.col("l_orderkey").alias("numeroseao"), F.col("l_suppkey").alias("neq"), F.col("s_name").alias("nomorganisation"),
+        F.col("l_extendedprice").cast("decimal(18,2)").alias("montantsoumis"),
+        F.when(F.col("l_linestatus") == "F", F.lit(1)).otherwise(F.lit(0)).alias("adjudicataire"),
+        F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate").alias("order"))
+    docs = notice_xml_documents(notices, links)
+    files = docs.select("file_name", F.lit(None).cast("struct<start:string>").alias("file_seq"),
+                        F.lit("avis").alias("route"), F.replace(F.col("text"), F.lit("&"), F.lit("&amp;")).alias("text"))
+    ts = F.lit(None).cast("timestamp_ntz")
+    n, _, l = NX.avis_events(files, ts)
+    org = n.select("numeroseao", F.col("organisme"))
+    return (l.join(org, "numeroseao")
+            .select("numeroseao", "neq", "nomorganisation", "montantsoumis", "adjudicataire", "organisme"))
