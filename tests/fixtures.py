@@ -84,6 +84,7 @@ AVIS_1 = """<?xml version="1.0" encoding="UTF-8"?>
  <avis><numeroseao>200</numeroseao><numero>N-2</numero><organisme>Ville A &amp; Fils</organisme>
   <categorieseao>S5 - Services environnementaux</categorieseao><municipal>x</municipal></avis>
  <avis><numeroseao>100</numeroseao><numero>N-1b</numero><organisme>Ville A</organisme>
+  <categorieseao>C01 - Bâtiments</categorieseao>
   <fournisseurs><fournisseur><neq>111</neq><nomorganisation>Beta incorporée</nomorganisation></fournisseur></fournisseurs>
  </avis>
 </export>"""
