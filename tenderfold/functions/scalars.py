@@ -1,14 +1,14 @@
 """Column functions X1-X23 (all JVM-side built-ins, except NFKC).
 
 Each returns a ``Column``; none pulls rows to Python except ``nfkc`` (a
-vectorised Arrow ``pandas_udf``; Spark has no Unicode normalisation built-in).
+batch-wise Arrow UDF; Spark has no Unicode normalisation built-in).
 """
 
 from __future__ import annotations
 
 import unicodedata
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,23 +23,27 @@ def _c(x: str | Column) -> Column:
 # ---------------------------------------------------------------- dates
 _ISO = (r"^(\d{4}-\d{2}-\d{2})(?:[T ](\d{2}):(\d{2})(?::(\d{2})(?:\.\d{1,6})?)?)?"
         r"(?:Z|[+-]\d{2}:\d{2}(?::\d{2})?)?$")
+_TAIL = r"(?:\.\d{1,6})?(?:Z|[+-]\d{2}:\d{2}(?::\d{2})?)?$"
 
 
 def parse_iso_ts(x: str | Column) -> Column:
     """Extended ISO 8601 -> TIMESTAMP_NTZ, offset dropped (not converted),
-    fraction truncated; a valid date part before 'T' alone -> midnight; else NULL."""
+    fraction truncated; a valid date part before 'T' alone -> midnight; else NULL.
+
+    One ``rlike`` validates, one ``regexp_replace`` strips fraction and offset,
+    and the remaining 'YYYY-MM-DD[ HH:MM[:SS]]' is parsed by its length.
+    """
     s = F.trim(_c(x))
-    date = F.regexp_extract(s, _ISO, 1)
-    hh, mm, ss = (F.regexp_extract(s, _ISO, i) for i in (2, 3, 4))
-    full = F.concat_ws(" ", date, F.concat_ws(":", F.when(hh == "", "00").otherwise(hh),
-                                              F.when(mm == "", "00").otherwise(mm),
-                                              F.when(ss == "", "00").otherwise(ss)))
-    iso = F.when(date != "", F.try_to_timestamp(full, F.lit("yyyy-MM-dd HH:mm:ss")))
-    date_only = F.split(s, "T", 2).getItem(0)
+    core = F.translate(F.regexp_replace(s, _TAIL, ""), "T", " ")
+    n = F.length(core)
+    iso = F.when(s.rlike(_ISO),
+                 F.when(n == 19, F.try_to_timestamp(core, F.lit("yyyy-MM-dd HH:mm:ss")))
+                 .when(n == 16, F.try_to_timestamp(core, F.lit("yyyy-MM-dd HH:mm")))
+                 .when(n == 10, F.try_to_timestamp(core, F.lit("yyyy-MM-dd"))))
+    date_only = F.substring_index(s, "T", 1)
     fallback = F.when(date_only.rlike(r"^\d{4}-\d{2}-\d{2}$"),
                       F.try_to_timestamp(date_only, F.lit("yyyy-MM-dd")))
-    out = F.coalesce(iso, fallback)
-    return F.when(s != "", out.cast("timestamp_ntz"))
+    return F.when(s != "", F.coalesce(iso, fallback).cast("timestamp_ntz"))
 
 
 def parse_xml_date(x: str | Column) -> Column:
@@ -108,10 +112,12 @@ def strip_ocid(ocid: str | Column) -> Column:
 
 
 # ---------------------------------------------------------------- text
-@F.pandas_udf(T.StringType())
-def nfkc(s: pd.Series) -> pd.Series:
-    """NFKC normalisation, vectorised per Arrow batch."""
-    return s.map(lambda v: unicodedata.normalize("NFKC", v) if isinstance(v, str) else v)
+@F.arrow_udf(T.StringType())
+def nfkc(a: pa.Array) -> pa.Array:
+    """NFKC normalisation per Arrow batch (Python's ``unicodedata``; pyarrow's
+    ``utf8_normalize`` was found to leave NFKC text decomposed)."""
+    norm = unicodedata.normalize
+    return pa.array([v if v is None or v.isascii() else norm("NFKC", v) for v in a.to_pylist()], pa.string())
 
 
 def clean_text_basic(x: str | Column) -> Column:

@@ -17,16 +17,19 @@ MONEY = "decimal(15,2)"
 def release_documents(contracts: DataFrame) -> DataFrame:
     """(file_name, value) with one ``{"releases": [...]}`` document per ocid.
 
-    ``contracts`` needs ocid, contract_id, award_id, value_amount, currency,
-    date_signed (text) and an ``order`` column for the array order.
+    ``contracts`` needs ocid, contract_id, award_id, value_amount, currency and
+    date_signed (text); an optional ``order`` column fixes the array order.
     """
     c = F.struct(F.col("contract_id").alias("id"), F.col("award_id").alias("awardID"),
                  F.struct(F.col("value_amount").alias("amount"), F.col("currency").alias("currency")).alias("value"),
                  F.col("date_signed").alias("dateSigned"))
-    per = (contracts.groupBy("ocid")
-           .agg(F.array_sort(F.collect_list(F.struct(F.col("order").alias("o"), c.alias("c")))).alias("l")))
-    rel = F.struct(F.col("ocid").alias("ocid"), F.col("ocid").alias("id"),
-                   F.transform("l", lambda e: e["c"]).alias("contracts"))
+    if "order" in contracts.columns:
+        lst = F.transform(F.array_sort(F.collect_list(F.struct(F.col("order").alias("o"), c.alias("c")))),
+                          lambda e: e["c"])
+    else:                                   # element order not needed by the caller
+        lst = F.collect_list(c)
+    per = contracts.groupBy("ocid").agg(lst.alias("l"))
+    rel = F.struct(F.col("ocid").alias("ocid"), F.col("ocid").alias("id"), F.col("l").alias("contracts"))
     return per.select(F.concat(F.lit("doc_"), F.col("ocid"), F.lit(".json")).alias("file_name"),
                       F.to_json(F.struct(F.array(rel).alias("releases"))).alias("value"))
 
@@ -43,12 +46,16 @@ def notice_xml_documents(notices: DataFrame, suppliers: DataFrame) -> DataFrame:
     f = F.concat(F.lit("<fournisseur>"), _el("neq", F.col("neq")), _el("nomorganisation", F.col("nomorganisation")),
                  _el("montantsoumis", F.col("montantsoumis")), _el("adjudicataire", F.col("adjudicataire")),
                  F.lit("</fournisseur>"))
-    per = (suppliers.groupBy("numeroseao")
-           .agg(F.array_sort(F.collect_list(F.struct(F.col("order").alias("o"), f.alias("x")))).alias("l")))
+    if "order" in suppliers.columns:
+        lst = F.transform(F.array_sort(F.collect_list(F.struct(F.col("order").alias("o"), f.alias("x")))),
+                          lambda e: e["x"])
+    else:                                   # element order not needed by the caller
+        lst = F.collect_list(f)
+    per = suppliers.groupBy("numeroseao").agg(lst.alias("l"))
     doc = (notices.join(per, "numeroseao", "left")
            .select(F.concat(F.lit("avis_"), F.col("numeroseao").cast("string"), F.lit(".xml")).alias("file_name"),
                    F.concat(F.lit("<export><avis>"), _el("numeroseao", F.col("numeroseao")),
                             _el("organisme", F.col("organisme")), F.lit("<fournisseurs>"),
-                            F.coalesce(F.array_join(F.transform("l", lambda e: e["x"]), ""), F.lit("")),
+                            F.coalesce(F.array_join("l", ""), F.lit("")),
                             F.lit("</fournisseurs></avis></export>")).alias("text")))
     return doc

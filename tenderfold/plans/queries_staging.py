@@ -234,8 +234,7 @@ def q_json_roundtrip(spark, sf_dir):
                      F.lit("").alias("award_id"),
                      F.col("l_extendedprice").cast("decimal(15,2)").alias("value_amount"),
                      F.lit("CAD").alias("currency"),
-                     F.concat(F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("-05:00")).alias("date_signed"),
-                     F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate").alias("order"))
+                     F.concat(F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("-05:00")).alias("date_signed"))
     docs = release_documents(flat)
     rel = RJ.explode_releases(RJ.releases_from_text(docs))
     c = RJ.release_events(rel)["contracts"]
@@ -259,8 +258,7 @@ def q_xml_roundtrip(spark, sf_dir):
     links = li.join(sup, li.l_suppkey == sup.s_suppkey).select(
         F.col("l_orderkey").alias("numeroseao"), F.col("l_suppkey").alias("neq"), F.col("s_name").alias("nomorganisation"),
         F.col("l_extendedprice").cast("decimal(18,2)").alias("montantsoumis"),
-        F.when(F.col("l_linestatus") == "F", F.lit(1)).otherwise(F.lit(0)).alias("adjudicataire"),
-        F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate").alias("order"))
+        F.when(F.col("l_linestatus") == "F", F.lit(1)).otherwise(F.lit(0)).alias("adjudicataire"))
     docs = notice_xml_documents(notices, links)
     files = docs.select("file_name", F.lit(None).cast("struct<start:string>").alias("file_seq"),
                         F.lit("avis").alias("route"), F.replace(F.col("text"), F.lit("&"), F.lit("&amp;")).alias("text"))
