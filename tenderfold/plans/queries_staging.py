@@ -267,3 +267,69 @@ def q_xml_roundtrip(spark, sf_dir):
     org = n.select("numeroseao", F.col("organisme"))
     return (l.join(org, "numeroseao")
             .select("numeroseao", "neq", "nomorganisation", "montantsoumis", "adjudicataire", "organisme"))
+
+
+# ------------------------------------------------------- U11 backfill (library functions)
+from tenderfold.operators import backfill as BF  # noqa: E402
+
+def _mod():
+    return F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+
+
+def _backfill_keys(s):
+    """Every notice is a migrated release; its own rows play the archived versions."""
+    return BF.migrated_keys(s["avis"].select(X_ocid(F.col("numeroseao")).alias("ocid")))
+
+
+def X_ocid(c):
+    return F.concat(F.lit(codes.OCID_PREFIX), c.cast("string"))
+
+
+@register("backfill_releases_history", with_staging("""
+SELECT 'ocds-ec9k95-' || CAST(numeroseao AS VARCHAR) AS ocid, CAST(numero AS VARCHAR) AS release_id,
+       datepublication AS date, 'avis_history' AS tag,
+       CASE WHEN type IN ('3') THEN 'open' WHEN type = '9' THEN 'direct' WHEN type IN ('6') THEN 'limited'
+            ELSE 'open' END AS tender_procurement_method,
+       CASE WHEN type = '3' THEN 'Contrat adjugé suite à un appel d’offres public'
+            WHEN type = '6' THEN 'Contrat adjugé suite à un appel d’offres sur invitation'
+            WHEN type = '9' THEN 'Contrat octroyé de gré à gré'
+            ELSE 'Autre type de contrat' END AS tender_procurement_method_details,
+       'Autres' AS tender_main_procurement_category, '' AS tender_additional_procurement_categories,
+       'OP-' || CAST(numeroseao AS VARCHAR) AS tender_procuring_entity_id,
+       trim(split_part(categorieseao, '-', 1)) AS tender_item_id, titre AS tender_title
+FROM s_avis
+"""))
+def q_backfill_releases_history(spark, sf_dir):
+    """U11a + J11: archived notices of migrated releases become release versions."""
+    s = staging(spark, sf_dir)
+    h = BF.releases_history(_backfill_keys(s), s["avis"], _mod())
+    return h.select("ocid", "release_id", "date", "tag", "tender_procurement_method",
+                    "tender_procurement_method_details", "tender_main_procurement_category",
+                    "tender_additional_procurement_categories", "tender_procuring_entity_id",
+                    "tender_item_id", "tender_title")
+
+
+@register("backfill_bids_history", with_staging("""
+SELECT 'FO-' || CAST(l.neq AS VARCHAR) AS party_id, 'ocds-ec9k95-' || CAST(l.numeroseao AS VARCHAR) AS ocid,
+       l.admissible, l.conforme AS conform, CAST(l.montantsoumis AS DECIMAL(15,2)) AS value, 'CAD' AS value_unit
+FROM s_links l JOIN s_avis a ON l.numeroseao = a.numeroseao
+JOIN (SELECT DISTINCT neq FROM s_fournisseurs) f ON l.neq = f.neq
+"""))
+def q_backfill_bids_history(spark, sf_dir):
+    """U11b + J1: one bid version per link row of a migrated notice."""
+    s = staging(spark, sf_dir)
+    links = s["avis_fournisseurs"].withColumn("neq", F.col("neq").cast("string"))
+    four = s["fournisseurs"].withColumn("neq", F.col("neq").cast("string"))
+    return BF.bids_history(_backfill_keys(s), links, four, _mod()).drop("modified_date", "related_lot")
+
+
+@register("backfill_contracts_history", with_staging("""
+SELECT CAST(c.numero AS VARCHAR) AS contract_id, 'ocds-ec9k95-' || CAST(c.numeroseao AS VARCHAR) AS ocid,
+       'active' AS status, CAST(NULL AS TIMESTAMP) AS period_end_date,
+       CAST(c.montantfinal AS DECIMAL(15,2)) AS value_amount, c.datefinale AS date_signed
+FROM s_contrats c JOIN s_avis a ON c.numeroseao = a.numeroseao
+"""))
+def q_backfill_contracts_history(spark, sf_dir):
+    """U11c + J11: archived contracts of migrated notices (swapped dates)."""
+    s = staging(spark, sf_dir)
+    return BF.contracts_history(_backfill_keys(s), s["contrats"], _mod()).drop("modified_date")

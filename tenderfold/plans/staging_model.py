@@ -40,17 +40,26 @@ def staging(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     avis = (orders.where(F.col("o_orderstatus") != "P")
             .select(F.col("o_orderkey").alias("numeroseao"), F.col("o_orderkey").alias("numero"),
                     F.col("o_custkey").alias("organisme_key"), _category("o_orderpriority").alias("categorieseao"),
-                    F.col("o_orderdate").alias("datepublication")))
+                    F.col("o_orderdate").alias("datepublication"), F.col("o_orderpriority").alias("titre"),
+                    F.substring("o_orderpriority", 1, 1).alias("type"),
+                    *[F.lit(None).cast("string").alias(c) for c in
+                      ("nature", "precision", "hyperlienseao", "unspscprincipale", "disposition")],
+                    F.lit(None).cast("timestamp_ntz").alias("datefermeture")))
     contrats = (li.where(F.col("l_linestatus") == "O")
                 .select(F.col("l_orderkey").alias("numeroseao"), F.col("l_linenumber").alias("numero"),
                         F.col("l_shipdate").alias("datefinale"),
-                        F.col("l_extendedprice").cast("decimal(18,2)").alias("montantfinal")))
+                        F.col("l_extendedprice").cast("decimal(18,2)").alias("montantfinal"),
+                        F.lit(None).cast("timestamp_ntz").alias("datepublicationfinale")))
     depenses = (li.where(F.col("l_returnflag") == "R")
                 .select(F.col("l_orderkey").alias("numeroseao"), F.col("l_linenumber").alias("numero"),
                         F.col("l_shipdate").alias("datedepense"),
                         F.col("l_extendedprice").cast("decimal(18,2)").alias("montantdepense")))
     links = li.select(F.col("l_orderkey").alias("numeroseao"), F.col("l_suppkey").alias("neq"),
-                      F.col("l_linenumber").alias("link_pos"))
+                      F.col("l_linenumber").alias("link_pos"),
+                      F.when(F.col("l_linestatus") == "F", 1).otherwise(0).alias("admissible"),
+                      F.when(F.col("l_returnflag") == "N", 1).otherwise(0).alias("conforme"),
+                      F.col("l_extendedprice").cast("decimal(18,2)").alias("montantsoumis"),
+                      F.lit(None).cast("string").alias("montantssoumisunite"))
     fournisseurs = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(
         F.col("s_suppkey").alias("neq"), F.col("s_name").alias("nomorganisation"))
     return {"avis": avis, "contrats": contrats, "depenses": depenses,
@@ -64,7 +73,8 @@ def _sql_case() -> str:
 
 STAGING_SQL = f"""
 s_avis AS (SELECT o_orderkey AS numeroseao, o_orderkey AS numero, o_custkey AS organisme_key,
-                  {_sql_case()} AS categorieseao, o_orderdate AS datepublication
+                  {_sql_case()} AS categorieseao, o_orderdate AS datepublication,
+                  o_orderpriority AS titre, substr(o_orderpriority, 1, 1) AS type
            FROM orders WHERE o_orderstatus <> 'P'),
 s_contrats AS (SELECT l_orderkey AS numeroseao, l_linenumber AS numero, l_shipdate AS datefinale,
                       CAST(l_extendedprice AS DECIMAL(18,2)) AS montantfinal
@@ -72,7 +82,10 @@ s_contrats AS (SELECT l_orderkey AS numeroseao, l_linenumber AS numero, l_shipda
 s_depenses AS (SELECT l_orderkey AS numeroseao, l_linenumber AS numero, l_shipdate AS datedepense,
                       CAST(l_extendedprice AS DECIMAL(18,2)) AS montantdepense
                FROM lineitem WHERE l_returnflag = 'R'),
-s_links AS (SELECT l_orderkey AS numeroseao, l_suppkey AS neq, l_linenumber AS link_pos FROM lineitem),
+s_links AS (SELECT l_orderkey AS numeroseao, l_suppkey AS neq, l_linenumber AS link_pos,
+                   CASE WHEN l_linestatus = 'F' THEN 1 ELSE 0 END AS admissible,
+                   CASE WHEN l_returnflag = 'N' THEN 1 ELSE 0 END AS conforme,
+                   CAST(l_extendedprice AS DECIMAL(18,2)) AS montantsoumis FROM lineitem),
 s_fournisseurs AS (SELECT s_suppkey AS neq, s_name AS nomorganisation FROM supplier)
 """
 

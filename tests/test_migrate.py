@@ -40,3 +40,26 @@ def test_migrate_policies(spark, tmp_path):
         ("ocds-ec9k95-300", "contrat") in stubs
     c5 = t5["contracts"].where("contract_id = 'C-1'").first()
     assert str(c5.date_signed) == "2021-07-01 10:00:00"       # no swap: signed = final publication
+
+
+def test_backfill(spark, tmp_path):
+    from tenderfold.operators.backfill import backfill
+    files = NX.read_xml_files(spark, write_xml_files(str(tmp_path / "xml")))
+    ts = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    n, s, l = NX.avis_events(files, ts)
+    out = fold_staging(n, s, l, NX.contrat_events(files, ts), NX.depense_events(files, ts), ts)
+    cur = {k: v[0] for k, v in out.items()}
+    hist = {k: v[1] for k, v in out.items() if v[1] is not None}
+    t, _ = migrate(P.CONSTRUCTION_WITH_CONTRACTS, cur["avis"], cur["avis_fournisseurs"], cur["fournisseurs"],
+                   cur["contrats"], cur["depenses"])
+    b = backfill(t["releases"], cur, hist, ts, with_parties=True)
+    rh = b["releases_history"].collect()
+    assert [(r.ocid, r.release_id, r.tag, r.tender_procuring_entity_id) for r in rh] == \
+        [("ocds-ec9k95-100", "N-1", "avis_history", "OP-100")]
+    assert rh[0].tender_procurement_method == "open" and rh[0].tender_item_id == "C01"
+    ch = b["contracts_history"].collect()
+    assert [(r.contract_id, str(r.value_amount), r.status) for r in ch] == [("C-1", "120.00", "active")]
+    bh = b["bids_history"].collect()
+    assert [(r.party_id, r.value_unit, r.admissible) for r in bh] == [("FO-111", "CAD", 0)]
+    ph = b["parties_history"].collect()
+    assert [(r.party_id, r.name) for r in ph] == [("FO-111", "Beta inc")]
