@@ -35,8 +35,14 @@ def _s(c) -> F.Column:
 
 
 def migrate(policy: Policy, avis: DataFrame, links: DataFrame, fournisseurs: DataFrame,
-            contrats: DataFrame, depenses: DataFrame) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Return ({release table: current rows}, party-id conflicts)."""
+            contrats: DataFrame, depenses: DataFrame, existing_parties: DataFrame | None = None
+            ) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Return ({release table: rows written by the migration}, party-id conflicts).
+
+    ``existing_parties`` (the target's current parties) take part in the name
+    lookup as the earliest writers, so a name already in the target keeps its id.
+    With a target, pass the result to ``apply_to_target``.
+    """
     notices, contracts, expenses = select_staging(policy, avis, contrats, depenses)
     ocid = X.build_ocid(F.col("numeroseao").cast("string"))
     order = F.col("numeroseao").cast("string")
@@ -50,7 +56,8 @@ def migrate(policy: Policy, avis: DataFrame, links: DataFrame, fournisseurs: Dat
         _s("pays").alias("country_name"),
         F.concat(F.lit('{"Municipal": "'), F.when(F.col("municipal").cast("int") != 0, F.lit("1")).otherwise(F.lit("0")),
                  F.lit('"}')).alias("details"),
-        F.lit("buyer").alias("role"), F.struct(order.alias("n"), F.lit(-1).alias("p")).alias("seq"))
+        F.lit("buyer").alias("role"),
+        F.struct(order.alias("n"), F.lit(-1).alias("p"), F.lit("").alias("c")).alias("seq"))
     sel_links = links.join(notices.select("numeroseao"), "numeroseao", "left_semi")
     joined = sel_links.select("numeroseao", "neq", "link_pos", "adjudicataire", "admissible", "conforme",
                               "montantsoumis", "montantssoumisunite", "montantcontrat", "montanttotalcontrat") \
@@ -65,7 +72,7 @@ def migrate(policy: Policy, avis: DataFrame, links: DataFrame, fournisseurs: Dat
         _s("pays").alias("country_name"),
         F.concat(F.lit('{"NEQ": "'), _s("neq"), F.lit('"}')).alias("details"),
         F.when(F.col("adjudicataire").cast("int") == 1, F.lit("supplier")).otherwise(F.lit("tenderer")).alias("role"),
-        F.struct(order.alias("n"), F.col("link_pos").alias("p")).alias("seq"),
+        F.struct(order.alias("n"), F.col("link_pos").cast("int").alias("p"), F.lit("").alias("c")).alias("seq"),
         X.truthy_bit("admissible").alias("admissible"), X.truthy_bit("conforme").alias("conform"),
         F.coalesce(F.col("montantsoumis"), F.lit(0)).cast("decimal(15,2)").alias("value"),
         (F.when(F.col("montantssoumisunite").isNull() | (F.trim(F.col("montantssoumisunite")).isin("", "0")),
@@ -78,11 +85,25 @@ def migrate(policy: Policy, avis: DataFrame, links: DataFrame, fournisseurs: Dat
     pcols = ["ocid", "cand", "name", "street_address", "locality", "region", "postal_code", "country_name",
              "details", "role", "seq"]
     writes = buyer_w.select(*pcols).unionByName(supplier_w.select(*pcols))
+    if existing_parties is not None:
+        # the target's parties answer the name lookup first (ties: smallest id)
+        prior = existing_parties.select(
+            F.lit(None).cast("string").alias("ocid"), F.col("party_id").alias("cand"), _s("name").alias("name"),
+            *[F.col(c) for c in ("street_address", "locality", "region", "postal_code", "country_name", "details")],
+            F.lit(None).cast("string").alias("role"),
+            F.struct(F.lit("").alias("n"), F.lit(-2).alias("p"), F.col("party_id").alias("c")).alias("seq"))
+        writes = prior.unionByName(writes)
     last_cols = ["street_address", "locality", "region", "postal_code", "country_name", "details"]
     resolved, conflicts = resolve_by_name(writes, "name", "cand", "seq", last_writer_cols=last_cols)
     parties = (resolved.groupBy("party_id").agg(F.min_by("name", "seq").alias("name"),
                                                *[F.max_by(f"last_{c}", "seq").alias(c) for c in last_cols]))
-    release_parties = resolved.select("ocid", "party_id", "role").distinct()
+    if existing_parties is not None:
+        # only parties the migration wrote to; untouched target parties stay as they are
+        touched = resolved.where(F.col("role").isNotNull()).select("party_id").distinct()
+        parties = parties.join(touched, "party_id", "left_semi")
+    release_parties = resolved.where(F.col("role").isNotNull()).select("ocid", "party_id", "role").distinct()
+    party_versions = resolved.where(F.col("role").isNotNull()).select(
+        "party_id", "name", *[F.col(c) for c in last_cols], "seq")
     buyer_ids = resolved.where(F.col("role") == "buyer").select("ocid", F.col("party_id").alias("buyer_party_id"))
 
     # ---- releases (P15) + tenderer count (A4) -------------------------------------
@@ -117,7 +138,8 @@ def migrate(policy: Policy, avis: DataFrame, links: DataFrame, fournisseurs: Dat
     sw = supplier_w.join(resolved.select("ocid", "seq", "party_id"), ["ocid", "seq"])
     bids = V.current(sw.select("party_id", "ocid", F.lit(None).cast("string").alias("related_lot"), "admissible",
                                "conform", "value", "value_unit", "seq"), ["party_id", "ocid"], kind=None).drop("seq")
-    out = {"releases": releases, "parties": parties, "release_parties": release_parties, "bids": bids}
+    out = {"releases": releases, "parties": parties, "release_parties": release_parties, "bids": bids,
+           "party_versions": party_versions}
     if policy.build_awards:
         win = sw.where("winner").join(notices.select(ocid.alias("ocid"), _s("numero").alias("award_id")), "ocid")
         first = win.groupBy("award_id").agg(F.min_by(F.struct("ocid", "award_amount", "award_total"), "seq").alias("f"))
@@ -147,3 +169,116 @@ def migrate(policy: Policy, avis: DataFrame, links: DataFrame, fournisseurs: Dat
     if policy.stub_releases:
         out["stub_releases"] = stub_releases(notices, contracts, expenses)
     return out, conflicts
+
+
+# tables whose history the first two migrations delete afterwards (SNK3)
+CLEARED_HISTORIES = ["bids", "contract_transactions", "contracts", "parties", "release_parties", "releases"]
+
+
+def _empty_like(df: DataFrame) -> DataFrame:
+    return df.limit(0)
+
+
+def apply_to_target(policy: Policy, target: dict[str, DataFrame], migrated: dict[str, DataFrame],
+                    modified: F.Column, target_history: dict[str, DataFrame] | None = None
+                    ) -> dict[str, tuple[DataFrame, DataFrame]]:
+    """Write a migration onto an existing release target (JSON loads and the
+    migration share one target in the reference).
+
+    Returns {table: (current, history)}. Rules, all joins on the table key:
+
+    * upserts overwrite the migrated columns and keep the columns the
+      migration never writes (rationale and duration of releases, award id and
+      currency of contracts, aliases and role of parties);
+    * each superseded target row becomes a history row; a migrated release is
+      written twice (its fields, then the tenderer count), so the intermediate
+      version is history too;
+    * bids update every target bid of (party, ocid), whatever its lot, and
+      insert a lot-less bid otherwise; awards, award links, role links and stub
+      releases are insert-if-absent;
+    * ``policy.clear_history`` empties the six cleared history tables (SNK3),
+      including rows written before the migration.
+    """
+    hist_in = target_history or {}
+    out: dict[str, tuple[DataFrame, DataFrame]] = {}
+
+    def finish(name: str, cur: DataFrame, delta: DataFrame | None) -> None:
+        prev = hist_in.get(name)
+        if policy.clear_history and name in CLEARED_HISTORIES:
+            h = _empty_like(prev if prev is not None else (delta if delta is not None else cur))
+        elif delta is None:
+            h = prev
+        else:
+            h = delta if prev is None else prev.unionByName(delta, allowMissingColumns=True)
+        out[name] = (cur, h)
+
+    def upsert(name: str, key: list[str]) -> tuple[DataFrame, DataFrame]:
+        tgt, new = target[name], migrated[name]
+        carried = [c for c in tgt.columns if c not in new.columns]
+        new_full = new.join(tgt.select(*key, *carried), key, "left")
+        cur = (tgt.join(new.select(*key), key, "left_anti")
+               .unionByName(new_full, allowMissingColumns=True))
+        superseded = tgt.join(new.select(*key), key, "left_semi").withColumn("modified_date", modified)
+        return cur, superseded
+
+    def insert_if_absent(name: str, key: list[str], rows: DataFrame | None = None) -> DataFrame:
+        tgt = target[name]
+        add = (rows if rows is not None else migrated[name]).join(tgt.select(*key), key, "left_anti")
+        return tgt.unionByName(add, allowMissingColumns=True)
+
+    # releases (+ the count update's intermediate version, + stubs)
+    cur, superseded = upsert("releases", ["ocid"])
+    old_count = target["releases"].select("ocid", F.col("tender_number_of_tenderers").alias("__old_n"))
+    intermediate = (migrated["releases"].join(old_count, "ocid", "left")
+                    .withColumn("tender_number_of_tenderers", F.col("__old_n")).drop("__old_n")
+                    .join(target["releases"].select("ocid", *[c for c in target["releases"].columns
+                                                              if c not in migrated["releases"].columns]),
+                          "ocid", "left")
+                    .withColumn("modified_date", modified))
+    delta = superseded.unionByName(intermediate, allowMissingColumns=True)
+    if "stub_releases" in migrated:
+        stubs = migrated["stub_releases"].select("ocid", "release_id", "tag", F.lit("tender").alias("initiation_type"),
+                                                 F.lit("fr").alias("language"))
+        cur = cur.unionByName(stubs.join(cur.select("ocid"), "ocid", "left_anti"), allowMissingColumns=True)
+    finish("releases", cur, delta)
+
+    # parties: every write to a party is a version (the target row first)
+    tp = target["parties"]
+    vcols = ["party_id", "name", "street_address", "locality", "region", "postal_code", "country_name", "details"]
+    first = tp.select(*vcols, F.struct(F.lit("").alias("n"), F.lit(-2).alias("p"), F.col("party_id").alias("c"))
+                      .alias("seq"))
+    versions = first.unionByName(migrated["party_versions"].select(*vcols, "seq"))
+    cls = V.classify(versions, "party_id", kind=None)
+    keep = [c for c in tp.columns if c not in vcols]
+    names = versions.groupBy("party_id").agg(F.min_by("name", "seq").alias("__name"))
+    pcur = (cls.where(F.col("state") == V.CURRENT).drop("state", "seq")
+            .join(names, "party_id").withColumn("name", F.col("__name")).drop("__name")
+            .join(tp.select("party_id", *keep), "party_id", "left"))
+    phist = (cls.where(F.col("state") == V.HISTORY).drop("state", "seq")
+             .join(names, "party_id").withColumn("name", F.col("__name")).drop("__name")
+             .join(tp.select("party_id", *keep), "party_id", "left").withColumn("modified_date", modified))
+    finish("parties", pcur, phist)
+
+    finish("release_parties", insert_if_absent("release_parties", ["ocid", "party_id", "role"]), None)
+
+    # bids: update every target bid of (party, ocid); insert when there is none
+    tb, nb = target["bids"], migrated["bids"]
+    setc = ["admissible", "conform", "value", "value_unit"]
+    hit = tb.join(nb.select("party_id", "ocid", *[F.col(c).alias(f"__n_{c}") for c in setc]), ["party_id", "ocid"])
+    updated = hit.select(*[F.col(f"__n_{c}").alias(c) if c in setc else F.col(c) for c in tb.columns])
+    bcur = (tb.join(nb.select("party_id", "ocid"), ["party_id", "ocid"], "left_anti")
+            .unionByName(updated)
+            .unionByName(nb.join(tb.select("party_id", "ocid").distinct(), ["party_id", "ocid"], "left_anti"),
+                         allowMissingColumns=True))
+    bhist = tb.join(nb.select("party_id", "ocid"), ["party_id", "ocid"], "left_semi").withColumn("modified_date", modified)
+    finish("bids", bcur, bhist)
+
+    if "awards" in migrated:
+        finish("awards", insert_if_absent("awards", ["award_id"]), None)
+        finish("suppliers_awards", insert_if_absent("suppliers_awards", ["award_id", "supplier_id"]), None)
+    for name, key in (("contracts", ["contract_id"]), ("contract_transactions", ["ocid", "transaction_id"])):
+        finish(name, *upsert(name, key))
+    for name in target:
+        if name not in out:
+            out[name] = (target[name], hist_in.get(name))
+    return out

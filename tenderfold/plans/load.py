@@ -62,3 +62,67 @@ def read_tables(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFra
 
 def with_batch_columns(df: DataFrame, batch_id: int) -> DataFrame:
     return df.withColumn("batch_id", F.lit(batch_id))
+
+
+def load_xml_staging(spark: SparkSession, src: str, out_root: str, batch_ts: str | None = None) -> dict[str, str]:
+    """Load notice/contract/expense XML files into the staging tables (+ histories)."""
+    from tenderfold.operators.staging_fold import fold_staging
+    from tenderfold.sources import notice_xml as NX
+
+    ts = F.lit(batch_ts).cast("timestamp_ntz") if batch_ts else F.localtimestamp()
+    files = NX.read_xml_files(spark, src)
+    n, s, l = NX.avis_events(files, ts)
+    raw = {"avis": n, "fournisseurs": s, "avis_fournisseurs": l,
+           "contrats": NX.contrat_events(files, ts), "depenses": NX.depense_events(files, ts)}
+    staged = {}
+    for name, ev in raw.items():                     # parse the files once
+        _write(ev, f"{out_root}/_events/{name}")
+        staged[name] = spark.read.parquet(f"{out_root}/_events/{name}")
+    out = fold_staging(staged["avis"], staged["fournisseurs"], staged["avis_fournisseurs"],
+                       staged["contrats"], staged["depenses"], ts)
+    paths = {}
+    for name, (cur, hist) in out.items():
+        _write(cur, f"{out_root}/current/{name}")
+        paths[name] = f"{out_root}/current/{name}"
+        if hist is not None:
+            _write(hist, f"{out_root}/history/{name}")
+            paths[f"{name}_history"] = f"{out_root}/history/{name}"
+    return paths
+
+
+def run_migration(spark: SparkSession, policy, staging_paths: dict[str, str], out_root: str,
+                  target_paths: dict[str, str] | None = None, batch_ts: str | None = None) -> dict[str, str]:
+    """Migrate staging tables under ``policy``; onto ``target_paths`` when given.
+
+    Writes ``out_root/current/<table>``, ``out_root/history/<table>`` and
+    ``out_root/conflicts``; never overwrites the target it reads.
+    """
+    from tenderfold.operators.migrate import apply_to_target, migrate
+
+    ts = F.lit(batch_ts).cast("timestamp_ntz") if batch_ts else F.localtimestamp()
+    st = {k: spark.read.parquet(v) for k, v in staging_paths.items()}
+    target = hist = None
+    if target_paths:
+        t = {k: spark.read.parquet(v) for k, v in target_paths.items()}
+        target = {k: v for k, v in t.items() if not k.endswith("_history") and k != "rejects"}
+        hist = {k[: -len("_history")]: v for k, v in t.items() if k.endswith("_history")}
+    mig, conflicts = migrate(policy, st["avis"], st["avis_fournisseurs"], st["fournisseurs"], st["contrats"],
+                             st["depenses"], existing_parties=None if target is None else target["parties"])
+    paths = {}
+    for name, df in mig.items():                     # stage the migration's own writes
+        _write(df, f"{out_root}/_migrated/{name}")
+        mig[name] = spark.read.parquet(f"{out_root}/_migrated/{name}")
+    _write(conflicts, f"{out_root}/conflicts")
+    paths["conflicts"] = f"{out_root}/conflicts"
+    if target is None:
+        for name, df in mig.items():
+            if name != "party_versions":
+                paths[name] = f"{out_root}/_migrated/{name}"
+        return paths
+    for name, (cur, h) in apply_to_target(policy, target, mig, ts, hist).items():
+        _write(cur, f"{out_root}/current/{name}")
+        paths[name] = f"{out_root}/current/{name}"
+        if h is not None:
+            _write(h, f"{out_root}/history/{name}")
+            paths[f"{name}_history"] = f"{out_root}/history/{name}"
+    return paths

@@ -63,3 +63,37 @@ def test_backfill(spark, tmp_path):
     assert [(r.party_id, r.value_unit, r.admissible) for r in bh] == [("FO-111", "CAD", 0)]
     ph = b["parties_history"].collect()
     assert [(r.party_id, r.name) for r in ph] == [("FO-111", "Beta inc")]
+
+
+def test_migration_onto_json_target(spark, tmp_path):
+    import json
+    from tenderfold.plans.load import load_release_json, load_xml_staging, read_tables, run_migration
+    jdir = tmp_path / "json"
+    jdir.mkdir()
+    doc = {"releases": [{
+        "ocid": "ocds-ec9k95-100", "id": "j1",
+        "tender": {"procurementMethodRationale": "because", "lots": [{"id": "L1"}, {"id": "L2"}]},
+        "parties": [{"id": "P1", "name": "Ville A", "roles": ["buyer"]},
+                    {"id": "FO-111", "name": "Beta incorporée", "roles": ["tenderer"]}],
+        "bids": [{"id": "FO-111", "relatedLots": ["L1", "L2"], "value": 5}],
+        "contracts": [{"id": "C-1", "awardID": "A9", "value": {"amount": 1, "currency": "CAD"}}]}]}
+    (jdir / "mensuel_20200101_20200131.json").write_text(json.dumps(doc))
+    target = load_release_json(spark, str(jdir), str(tmp_path / "out"), batch_ts="2024-01-01 00:00:00")
+    staging = load_xml_staging(spark, write_xml_files(str(tmp_path / "xml")), str(tmp_path / "stg"),
+                               batch_ts="2024-01-15 00:00:00")
+    for policy in (P.RELATED_ONLY, P.CONSTRUCTION_WITH_CONTRACTS):
+        out = read_tables(spark, run_migration(spark, policy, staging, str(tmp_path / f"mig_{policy.name}"),
+                                               target_paths=target, batch_ts="2024-02-01 00:00:00"))
+        rel = out["releases"].where("ocid = 'ocds-ec9k95-100'").first()
+        assert rel.release_id == "N-1b" and rel.tender_procurement_method_rationale == "because"
+        assert rel.tender_procuring_entity_id == "P1"                      # existing name keeps its id
+        c = out["contracts"].where("contract_id = 'C-1'").first()
+        assert c.award_id == "A9" and c.value_currency == "CAD" and str(c.value_amount) == "130.00"
+        b = sorted((r.related_lot, str(r.value)) for r in out["bids"].where("party_id = 'FO-111'").collect())
+        assert b == [("L1", "0.00"), ("L2", "0.00")]                      # every lot row updated
+        rh = out["releases_history"]
+        if policy.clear_history:
+            assert rh.count() == 0
+        else:
+            assert sorted(r.release_id for r in rh.where("ocid = 'ocds-ec9k95-100'").collect()) == ["N-1b", "j1"]
+            assert out["contracts_history"].where("contract_id = 'C-1'").count() == 1
