@@ -106,15 +106,14 @@ def growth_first_award(contracts: DataFrame, awards: DataFrame, release_parties:
     fa = first_award_per_ocid(awards, release_parties)
     e = expenses_per_ocid(transactions)
     names = parties.select(F.col("party_id").alias("buyer_id"), F.col("name").alias("_buyer_name"))
-    # one row per ocid: award, buyer, expenses, and the name blanked when the
-    # expenses are null (the ON-clause predicate of the reference query)
-    per_ocid = (fa.join(names, "buyer_id", "left")
-                .join(e, "ocid", "full")
-                .select("ocid", "buyer_id", "initial_award", "additional_expenses",
-                        F.when(F.col("additional_expenses").isNotNull(), F.col("_buyer_name"))
-                        .alias("buyer_name")))
+    # names go onto the per-ocid first awards; every later join is a left join
+    # on the contracts' ocid, so one hash partitioning serves all of them. The
+    # name is blanked when the expenses are null (the ON-clause predicate of
+    # the reference query).
+    fa_named = fa.join(names, "buyer_id", "left")
     fc = contracts.select("ocid", F.col("value_amount").cast(AMOUNT).alias("final_contract"))
-    out = (fc.join(per_ocid, "ocid", "left")
+    out = (fc.join(fa_named, "ocid", "left").join(e, "ocid", "left")
+           .withColumn("buyer_name", F.when(F.col("additional_expenses").isNotNull(), F.col("_buyer_name")))
            .select("ocid", "buyer_id", "buyer_name", "initial_award", "additional_expenses",
                    (F.col("initial_award") + F.col("additional_expenses")).cast(AMOUNT)
                    .alias("expected_final_contract"),
@@ -141,9 +140,9 @@ def growth_first_bid(contracts: DataFrame, bids: DataFrame, release_parties: Dat
     fb = first_bid_per_ocid(bids, release_parties, order_col)
     e = expenses_per_ocid(transactions)
     names = parties.select(F.col("party_id").alias("supplier_id"), F.col("name").alias("supplier_name"))
-    per_ocid = fb.join(names, "supplier_id", "left").join(e, "ocid", "full")
+    fb_named = fb.join(names, "supplier_id", "left")
     fc = contracts.select("ocid", F.col("value_amount").cast(AMOUNT).alias("final_contract"))
-    out = (fc.join(per_ocid, "ocid", "left")
+    out = (fc.join(fb_named, "ocid", "left").join(e, "ocid", "left")
            .select("ocid", "supplier_id", "supplier_name", "initial_bid", "additional_expenses",
                    (F.col("initial_bid") + F.col("additional_expenses")).cast(AMOUNT)
                    .alias("expected_final_contract"),
