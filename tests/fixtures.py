@@ -110,3 +110,25 @@ def write_xml_files(d: str) -> str:
         with open(os.path.join(d, name), "w", encoding="utf-8") as f:
             f.write(text)
     return d
+
+
+# A lot published only in a file that is rejected (its own bid cites an unknown
+# lot), and a later file whose bid cites that lot: in file order the second
+# file fails too, because the first was rolled back.
+CASCADE = [
+    ("hebdo_20220101_20220107.json", {"releases": [{"ocid": "c1", "tender": {"lots": [{"id": "LC"}]},
+                                                   "parties": [{"id": "PC", "name": "C"}],
+                                                   "bids": [{"id": "PC", "relatedLots": ["NOPE"]}]}]}),
+    ("hebdo_20220108_20220114.json", {"releases": [{"ocid": "c2", "parties": [{"id": "PD", "name": "D"}],
+                                                   "bids": [{"id": "PD", "relatedLots": ["LC"]}]}]}),
+    ("hebdo_20220115_20220121.json", {"releases": [{"ocid": "c3", "parties": [{"id": "PE", "name": "E"}],
+                                                   "bids": [{"id": "PC"}]}]}),
+]
+
+
+def write_cascade_files(d: str) -> str:
+    os.makedirs(d, exist_ok=True)
+    for name, doc in CASCADE:
+        with open(os.path.join(d, name), "w", encoding="utf-8") as f:
+            json.dump(doc, f)
+    return d

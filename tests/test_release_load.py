@@ -88,3 +88,16 @@ def test_analytics_on_loaded_tables(spark, tmp_path):
     fb = A.growth_first_bid(cur["contracts"], cur["bids"], cur["release_parties"], cur["parties"],
                             cur["contract_transactions"]).collect()
     assert {x.supplier_id for x in fb} == {"P2"}
+
+
+def test_rejection_cascades_in_file_order(spark, tmp_path):
+    from tests.fixtures import write_cascade_files
+    d = write_cascade_files(str(tmp_path / "cascade"))
+    tables, rejects = _load(spark, d, str(tmp_path / "out"))
+    rej = {(r.file_name, r.reason) for r in rejects.collect()}
+    assert ("hebdo_20220101_20220107.json", "bid_related_lot_unknown") in rej
+    assert ("hebdo_20220108_20220114.json", "bid_related_lot_unknown") in rej     # its lot was rolled back
+    # third file: its bid's party only existed in the rejected first file -> skipped, file kept
+    assert ("hebdo_20220115_20220121.json", "bid_party_missing") in rej
+    assert [r.ocid for r in tables["releases"][0].collect()] == ["c3"]
+    assert tables["bids"][0].count() == 0
