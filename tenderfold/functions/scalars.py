@@ -49,8 +49,16 @@ def parse_iso_ts(x: str | Column) -> Column:
 def parse_xml_date(x: str | Column) -> Column:
     """X2: 'Y-M-D H:M', 'Y-M-D H:M:S' or 'Y-M-D' (one-digit parts allowed), else NULL."""
     s = F.trim(_c(x))
-    return F.coalesce(*[F.try_to_timestamp(s, F.lit(p)) for p in
-                        ("yyyy-M-d H:m", "yyyy-M-d H:m:s", "yyyy-M-d")]).cast("timestamp_ntz")
+    # each pattern only sees text of its exact shape, so no parse is tried
+    # (and no exception thrown) on text that cannot match it
+    shapes = ((r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}$", "yyyy-M-d H:m"),
+              (r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$", "yyyy-M-d H:m:s"),
+              (r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d"))
+    out = None
+    for shape, pattern in shapes:
+        out = (F.when(s.rlike(shape), F.try_to_timestamp(s, F.lit(pattern))) if out is None
+               else out.when(s.rlike(shape), F.try_to_timestamp(s, F.lit(pattern))))
+    return out.cast("timestamp_ntz")
 
 
 def strict_ts(x: str | Column) -> Column:
