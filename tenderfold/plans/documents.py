@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 MONEY = "decimal(15,2)"
 
 
-def release_documents(contracts: DataFrame) -> DataFrame:
-    """(file_name, value) with one ``{"releases": [...]}`` document per ocid.
+def contract_documents(contracts: DataFrame) -> DataFrame:
+    """(file_name, value) with one ``{"releases": [...]}`` document per ocid
+    holding only its contracts (the lightweight form of ``release_documents``).
 
     ``contracts`` needs ocid, contract_id, award_id, value_amount, currency and
     date_signed (text); an optional ``order`` column fixes the array order.

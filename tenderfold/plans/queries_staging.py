@@ -214,7 +214,7 @@ def q_json_extract(spark, sf_dir):
 
 
 # ------------------------------------------------------- round trips (P21, SRC1-SRC3)
-from tenderfold.plans.documents import notice_xml_documents, release_documents  # noqa: E402
+from tenderfold.plans.documents import contract_documents, notice_xml_documents  # noqa: E402
 from tenderfold.sources import notice_xml as NX  # noqa: E402
 from tenderfold.sources import release_json as RJ  # noqa: E402
 
@@ -235,7 +235,7 @@ def q_json_roundtrip(spark, sf_dir):
                      F.col("l_extendedprice").cast("decimal(15,2)").alias("value_amount"),
                      F.lit("CAD").alias("currency"),
                      F.concat(F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("-05:00")).alias("date_signed"))
-    docs = release_documents(flat)
+    docs = contract_documents(flat)
     rel = RJ.explode_releases(RJ.releases_from_text(docs))
     c = RJ.release_events(rel)["contracts"]
     return c.select("ocid", "contract_id", "value_amount", "value_currency", "date_signed")
