@@ -71,7 +71,8 @@ def load_xml_staging(spark: SparkSession, src: str, out_root: str, batch_ts: str
 
     ts = F.lit(batch_ts).cast("timestamp_ntz") if batch_ts else F.localtimestamp()
     files = NX.read_xml_files(spark, src)
-    n, s, l = NX.avis_events(files, ts)
+    _write(NX.avis_rows(files), f"{out_root}/_parsed/avis")          # parse the notices once
+    n, s, l = NX.avis_events(files, ts, rows=spark.read.parquet(f"{out_root}/_parsed/avis"))
     raw = {"avis": n, "fournisseurs": s, "avis_fournisseurs": l,
            "contrats": NX.contrat_events(files, ts), "depenses": NX.depense_events(files, ts)}
     staged = {}

@@ -10,6 +10,7 @@ from tenderfold.operators import checks as C
 from tenderfold.operators import policies as P
 from tenderfold.plans.queries import register
 from tenderfold.plans.staging_model import sql_list, staging, with_staging
+from tenderfold.session import ensure_checkpoint_dir
 from tenderfold.sources import files as SF
 
 _NOTICE_CATS = sql_list(codes.CONSTRUCTION_NOTICE_CATEGORIES)
@@ -263,7 +264,9 @@ def q_xml_roundtrip(spark, sf_dir):
     files = docs.select("file_name", F.lit(None).cast("struct<start:string>").alias("file_seq"),
                         F.lit("avis").alias("route"), F.replace(F.col("text"), F.lit("&"), F.lit("&amp;")).alias("text"))
     ts = F.lit(None).cast("timestamp_ntz")
-    n, _, l = NX.avis_events(files, ts)
+    ensure_checkpoint_dir(spark)
+    parsed = NX.avis_rows(files).checkpoint()        # one parse feeds notices and links
+    n, _, l = NX.avis_events(files, ts, rows=parsed)
     org = n.select("numeroseao", F.col("organisme"))
     return (l.join(org, "numeroseao")
             .select("numeroseao", "neq", "nomorganisation", "montantsoumis", "adjudicataire", "organisme"))
