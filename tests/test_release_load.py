@@ -132,3 +132,28 @@ def test_documents_round_trip(spark, tmp_path):
               "release_parties": ["ocid", "party_id", "role"], "parties": ["party_id", "name"]}
     for name, cols in checks.items():
         assert rows(again[name][0], *cols) == rows(cur[name], *cols), name
+
+
+def test_construction_variant(spark, tmp_path):
+    """Only releases with a construction item survive, with all their children."""
+    import json as _json
+    from tenderfold.plans.load import load_release_json, read_tables
+    doc = {"releases": [
+        {"ocid": "k1", "tender": {"items": [
+            {"id": "x", "description": "autre", "classification": {"id": "1"}},
+            {"id": "y", "description": "rien", "classification": {"id": "2"},
+             "additionalClassifications": [{"scheme": "S", "id": "9", "description": "first"},
+                                           {"scheme": "S", "id": "C01", "description": "C01 - Bâtiments"}]}]},
+         "contracts": [{"id": "K1C", "awardID": "", "value": {"amount": 3}}]},
+        {"ocid": "k2", "tender": {"items": [{"id": "z", "description": "autre"}]},
+         "parties": [{"id": "PZ", "name": "Z", "roles": ["buyer"]}],
+         "contracts": [{"id": "K2C", "awardID": "", "value": {"amount": 4}}]}]}
+    d = tmp_path / "c"
+    d.mkdir()
+    (d / "mensuel_20210101_20210131.json").write_text(_json.dumps(doc, ensure_ascii=False))
+    t = read_tables(spark, load_release_json(spark, str(d), str(tmp_path / "o"), construction=True))
+    r = t["releases"].collect()
+    assert [(x.ocid, x.tender_item_id, x.tender_item_additional_id) for x in r] == [("k1", "y", "9")]
+    assert [x.contract_id for x in t["contracts"].collect()] == ["K1C"]
+    assert t["parties"].count() == 0 and t["release_parties"].count() == 0
+    assert [x.status for x in t["awards"].collect()] == ["placeholder"]     # empty awardID placeholder
