@@ -51,7 +51,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not current:
         current = tempfile.mkdtemp(prefix="tenderfold-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+    try:                                   # classic sessions; Spark Connect reads the conf
+        spark.sparkContext.setCheckpointDir(current)
+    except Exception:  # noqa: BLE001
+        pass
     return current
 
 
