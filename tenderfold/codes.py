@@ -6,10 +6,6 @@ reformat them: string equality decides which notices, contracts and items are
 selected.
 """
 
-from __future__ import annotations
-
-from pyspark.sql import DataFrame, SparkSession
-
 # ---------------------------------------------------------------- FIXED VALUES
 # Construction categories, notice selection of the construction migrations
 # (includes the misspelt "préfabriqués" variant).
@@ -108,22 +104,3 @@ TRANSACTION_PREFIX = "txn-"
 UNSPSC_MAIN_MARKER = "Classification UNSPSC principale"
 DEFAULT_CURRENCY = "CAD"
 # ------------------------------------------------------------ end FIXED VALUES
-
-
-def category_table(spark: SparkSession) -> DataFrame:
-    """One small table (list_id, category) for broadcast semi joins."""
-    rows = ([("notice", c) for c in CONSTRUCTION_NOTICE_CATEGORIES]
-            + [("contract", c) for c in CONSTRUCTION_CONTRACT_CATEGORIES]
-            + [("json_item", c) for c in CONSTRUCTION_ITEM_DESCRIPTIONS])
-    return spark.createDataFrame(rows, "list_id string, category string").distinct()
-
-
-def code_table(spark: SparkSession) -> DataFrame:
-    """(code_kind, code, text) for the type/precision/nature maps."""
-    rows = [("method_details", k, v) for k, v in METHOD_DETAILS.items()]
-    rows += [("method", k, "open") for k in METHOD_OPEN_TYPES]
-    rows += [("method", k, "direct") for k in METHOD_DIRECT_TYPES]
-    rows += [("method", k, "limited") for k in METHOD_LIMITED_TYPES]
-    rows += [("main_category", k, v) for k, v in MAIN_CATEGORY.items()]
-    rows += [("additional_category", k, v) for k, v in ADDITIONAL_CATEGORY.items()]
-    return spark.createDataFrame(rows, "code_kind string, code int, text string")

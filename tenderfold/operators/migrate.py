@@ -80,8 +80,7 @@ def migrate(policy: Policy, avis: DataFrame, links: DataFrame, fournisseurs: Dat
          F.coalesce(F.col("montantssoumisunite"), F.lit(codes.DEFAULT_CURRENCY))).alias("value_unit"),
         (F.col("adjudicataire").cast("int") == 1).alias("winner"),
         F.coalesce(F.col("montantcontrat"), F.lit(0)).cast("decimal(15,2)").alias("award_amount"),
-        F.coalesce(F.col("montanttotalcontrat"), F.lit(0)).cast("decimal(15,2)").alias("award_total"),
-        F.col("numero").alias("numero") if "numero" in joined.columns else F.lit(None).cast("string").alias("numero"))
+        F.coalesce(F.col("montanttotalcontrat"), F.lit(0)).cast("decimal(15,2)").alias("award_total"))
     pcols = ["ocid", "cand", "name", "street_address", "locality", "region", "postal_code", "country_name",
              "details", "role", "seq"]
     writes = buyer_w.select(*pcols).unionByName(supplier_w.select(*pcols))

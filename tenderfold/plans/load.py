@@ -60,10 +60,6 @@ def read_tables(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFra
     return {k: spark.read.parquet(v) for k, v in paths.items()}
 
 
-def with_batch_columns(df: DataFrame, batch_id: int) -> DataFrame:
-    return df.withColumn("batch_id", F.lit(batch_id))
-
-
 def load_xml_staging(spark: SparkSession, src: str, out_root: str, batch_ts: str | None = None) -> dict[str, str]:
     """Load notice/contract/expense XML files into the staging tables (+ histories)."""
     from tenderfold.operators.staging_fold import fold_staging

@@ -56,7 +56,3 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     except Exception:  # noqa: BLE001
         pass
     return current
-
-
-def checkpoint_dir(spark: SparkSession) -> str:
-    return ensure_checkpoint_dir(spark)
