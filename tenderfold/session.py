@@ -7,7 +7,6 @@ own configuration (shuffle partitions, checkpoint folder, AQE) always wins.
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -36,23 +35,26 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; create a scratch one only when unset.
+    """Return the shared checkpoint folder (``spark.checkpoint.dir``) and hand it to the session.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder (HDFS/S3/ABFS);
-    we never replace it. Only a session without one (tests, local runs) gets a
-    fresh temporary folder.
+    On a cluster the setting names a folder that every executor reaches; it is
+    never replaced, and a cluster session without it fails here with a clear
+    message. Only a single-process session (master ``local[..]``: tests, bench)
+    may go without: it gets a folder of its own under the SQL warehouse.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
     if not current:
-        current = tempfile.mkdtemp(prefix="tenderfold-ckpt-")
+        master = sc.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        current = f"{warehouse}/_checkpoints/{sc.applicationId}"
         spark.conf.set("spark.checkpoint.dir", current)
-    try:                                   # classic sessions; Spark Connect reads the conf
-        spark.sparkContext.setCheckpointDir(current)
-    except Exception:  # noqa: BLE001
-        pass
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(current)
     return current

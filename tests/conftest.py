@@ -8,9 +8,11 @@ sys.path.insert(0, ROOT)
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from tenderfold.session import build_session
-    s = build_session(master="local[4]", shuffle_partitions=4, app_name="tenderfold-tests")
+    shared = tmp_path_factory.mktemp("shared")
+    s = build_session(master="local[4]", shuffle_partitions=4, app_name="tenderfold-tests",
+                      extra={"spark.checkpoint.dir": f"file://{shared}"})
     yield s
     s.stop()
 
