@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tenderfold.llm import line_rules
+from tenderfold.llm import line_rules, url_gbt
 
 QUERIES = {}
 ORACLE_SQL = {}
@@ -29,3 +29,9 @@ def op7_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.judge(docs).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         "n_lines_removed", "lost_chars")
+
+
+@register("op2_url_gbt")
+def op2_url_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_gbt.judge(pages).select("page_id", "host", "path", "rule", "verdict", "score")
