@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tenderfold.llm import line_rules, url_gbt
+from tenderfold.llm import line_rules, partenum, url_gbt
 
 QUERIES = {}
 ORACLE_SQL = {}
@@ -35,3 +35,8 @@ def op7_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_url_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages").select("page_id", "url")
     return url_gbt.judge(pages).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
+@register("op6_partenum_join")
+def op6_partenum_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return partenum.jaccard_components(_table(spark, sf_dir, "documents").select("doc_id", "text"))
