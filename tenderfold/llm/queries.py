@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tenderfold.llm import line_rules, partenum, url_gbt
+from tenderfold.llm import line_rules, partenum, token_store, url_gbt
+
+TOKENIZERS = "/opt/tokenizers"        # where the public tokenizer files lie, unless the package that holds them is installed
 
 QUERIES = {}
 ORACLE_SQL = {}
@@ -23,6 +25,15 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path(name: str) -> str:
+    """Path of a public tokenizer file (the same on every executor)."""
+    try:
+        import public_tokenizers
+    except ModuleNotFoundError:
+        return f"{TOKENIZERS}/{name}"
+    return str(public_tokenizers.path(name))
+
+
 @register("op7_line_rules")
 def op7_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -40,3 +51,9 @@ def op2_url_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op6_partenum_join")
 def op6_partenum_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return partenum.jaccard_components(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@register("op5_token_store")
+def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_store.write_and_read(docs, tokenizer_path("word_bpe_49k.json"), end_id=1)
