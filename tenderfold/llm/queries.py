@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tenderfold.llm import line_rules, packing, partenum, token_store, url_gbt
+from tenderfold.llm import line_rules, packing, partenum, token_prefix, token_store, url_gbt
 
 TOKENIZERS = "/opt/tokenizers"        # where the public tokenizer files lie, unless the package that holds them is installed
 
@@ -64,3 +64,9 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return packing.pack_documents(docs, tokenizer_path("word_bpe_49k.json"), end_id=0).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@register("op4_prefix_token_counts")
+def op4_prefix_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_prefix.budget_answers(docs, tokenizer_path("byte_bpe_50k.json"), budget=1024)
