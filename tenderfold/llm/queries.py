@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tenderfold.llm import line_rules, packing, partenum, token_prefix, token_store, url_gbt
+from tenderfold.llm.common import held_out
+from tenderfold.llm import line_rules, packing, partenum, token_prefix, token_store, toxicity, url_gbt
 
 TOKENIZERS = "/opt/tokenizers"        # where the public tokenizer files lie, unless the package that holds them is installed
 
@@ -70,3 +71,10 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_prefix_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return token_prefix.budget_answers(docs, tokenizer_path("byte_bpe_50k.json"), budget=1024)
+
+
+@register("op1_toxicity_grammar")
+def op1_toxicity_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, _table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
