@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tenderfold.llm.common import held_out
-from tenderfold.llm import line_rules, packing, partenum, quality_cnn, token_prefix, token_store, toxicity, url_gbt
+from tenderfold.llm import line_rules, packing, partenum, pii_crf, quality_cnn, token_prefix, token_store, toxicity, url_gbt
 
 TOKENIZERS = "/opt/tokenizers"        # where the public tokenizer files lie, unless the package that holds them is installed
 
@@ -85,3 +85,8 @@ def op3_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = quality_cnn.score(docs, _table(spark, sf_dir, "labels"))
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+@register("op10_pii_crf")
+def op10_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_crf.spans(_table(spark, sf_dir, "documents").select("doc_id", "text"))
