@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tenderfold.llm.common import held_out
-from tenderfold.llm import line_rules, packing, partenum, pii_crf, quality_cnn, token_prefix, token_store, toxicity, url_gbt
+from tenderfold.llm import decontam, line_rules, packing, partenum, pii_crf, quality_cnn, token_prefix, token_store, toxicity, url_gbt
 
 TOKENIZERS = "/opt/tokenizers"        # where the public tokenizer files lie, unless the package that holds them is installed
 
@@ -90,3 +90,8 @@ def op3_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op10_pii_crf")
 def op10_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_crf.spans(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@register("op9_cgk_decontamination")
+def op9_cgk_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.matches(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "benchmark"))
