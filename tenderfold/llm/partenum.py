@@ -248,7 +248,8 @@ class JaccardJoin:
             .withColumn("node", F.xxhash64("key")), "classes")
         # the text of each class comes from one document
         known = self.docs.where("doc_id is not null")
-        if not self.members.groupBy("doc_id").count().where("doc_id is not null and count > 1").isEmpty():
+        self.repeated = not self.members.groupBy("doc_id").count().where("doc_id is not null and count > 1").isEmpty()
+        if self.repeated:
             known = known.dropDuplicates(["doc_id", "text"])      # only then, as it shuffles the texts
         self.texts = known.join(self.classes.select(F.col("rep").alias("doc_id"), "node", "key"), "doc_id").select(
             "node", "text", "key")
@@ -348,3 +349,16 @@ class JaccardJoin:
 def jaccard_components(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = THRESHOLD_PERCENT) -> DataFrame:
     """Group documents whose shingle sets reach the threshold, over all rows of ``docs``."""
     return JaccardJoin(docs, size, percent).groups()
+
+
+def representatives(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = THRESHOLD_PERCENT) -> DataFrame:
+    """The rows of ``docs`` without near copies: of each group the document with the least doc_id stays.
+
+    Rows with a NULL doc_id, and sets without words, belong to no group and
+    stay. Of rows that repeat both doc_id and text, one stays.
+    """
+    join = JaccardJoin(docs, size, percent)
+    copies = join.groups().where("doc_id != component_id").select(F.col("doc_id").alias("_copy")).distinct()
+    if join.repeated:
+        docs = docs.where("doc_id is null").unionByName(docs.where("doc_id is not null").dropDuplicates(["doc_id", "text"]))
+    return docs.join(staged(copies, "copies"), F.col("doc_id") == F.col("_copy"), "left_anti")
