@@ -20,59 +20,62 @@ def _c(x: str | Column) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+# ---------------------------------------------------------------- white space
+# FIXED VALUES: the Unicode white space that a string strip removes.
+WHITE_SPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
+               "\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
+
+
+def strip(x: str | Column) -> Column:
+    """The text without white space at both ends (all Unicode white space, not U+0020 alone)."""
+    return F.btrim(_c(x), F.lit(WHITE_SPACE))
+
+
 # ---------------------------------------------------------------- dates
-_ISO = (r"^(\d{4}-\d{2}-\d{2})(?:[T ](\d{2}):(\d{2})(?::(\d{2})(?:\.\d{1,6})?)?)?"
+# Dates are read as TIMESTAMP_NTZ text by a cast: no session time zone is involved.
+_ISO = (r"^(\d{4}-\d{2}-\d{2})(?:[T ](\d{2}):(\d{2})(?::(\d{2})(?:\.\d+)?)?)?"
         r"(?:Z|[+-]\d{2}:\d{2}(?::\d{2})?)?$")
-_TAIL = r"(?:\.\d{1,6})?(?:Z|[+-]\d{2}:\d{2}(?::\d{2})?)?$"
+_TAIL = r"(?:\.\d+)?(?:Z|[+-]\d{2}:\d{2}(?::\d{2})?)?$"
+
+
+def _ntz(c: Column) -> Column:
+    return c.try_cast("timestamp_ntz")
 
 
 def parse_iso_ts(x: str | Column) -> Column:
     """Extended ISO 8601 -> TIMESTAMP_NTZ, offset dropped (not converted),
-    fraction truncated; a valid date part before 'T' alone -> midnight; else NULL.
+    fraction of any length truncated; a valid date part before 'T' alone ->
+    midnight; else NULL.
 
     One ``rlike`` validates, one ``regexp_replace`` strips fraction and offset,
-    and the remaining 'YYYY-MM-DD[ HH:MM[:SS]]' is parsed by its length.
+    and the remaining 'YYYY-MM-DD[ HH:MM[:SS]]' is cast.
     """
-    s = F.trim(_c(x))
+    s = strip(x)
     core = F.translate(F.regexp_replace(s, _TAIL, ""), "T", " ")
-    n = F.length(core)
-    iso = F.when(s.rlike(_ISO),
-                 F.when(n == 19, F.try_to_timestamp(core, F.lit("yyyy-MM-dd HH:mm:ss")))
-                 .when(n == 16, F.try_to_timestamp(core, F.lit("yyyy-MM-dd HH:mm")))
-                 .when(n == 10, F.try_to_timestamp(core, F.lit("yyyy-MM-dd"))))
+    full = F.when(F.length(core) == 16, F.concat(core, F.lit(":00"))).otherwise(core)
     date_only = F.substring_index(s, "T", 1)
-    fallback = F.when(date_only.rlike(r"^\d{4}-\d{2}-\d{2}$"),
-                      F.try_to_timestamp(date_only, F.lit("yyyy-MM-dd")))
-    return F.when(s != "", F.coalesce(iso, fallback).cast("timestamp_ntz"))
+    return F.coalesce(F.when(s.rlike(_ISO), _ntz(full)),
+                      F.when(date_only.rlike(r"^\d{4}-\d{2}-\d{2}$"), _ntz(date_only)))
 
 
 def parse_xml_date(x: str | Column) -> Column:
     """X2: 'Y-M-D H:M', 'Y-M-D H:M:S' or 'Y-M-D' (one-digit parts allowed), else NULL."""
-    s = F.trim(_c(x))
-    # each pattern only sees text of its exact shape, so no parse is tried
-    # (and no exception thrown) on text that cannot match it
-    shapes = ((r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}$", "yyyy-M-d H:m"),
-              (r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$", "yyyy-M-d H:m:s"),
-              (r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d"))
-    out = None
-    for shape, pattern in shapes:
-        out = (F.when(s.rlike(shape), F.try_to_timestamp(s, F.lit(pattern))) if out is None
-               else out.when(s.rlike(shape), F.try_to_timestamp(s, F.lit(pattern))))
-    return out.cast("timestamp_ntz")
+    s = strip(x)
+    full = F.when(s.rlike(r" \d{1,2}:\d{1,2}$"), F.concat(s, F.lit(":00"))).otherwise(s)
+    return F.when(s.rlike(r"^\d{4}-\d{1,2}-\d{1,2}(?: \d{1,2}:\d{1,2}(?::\d{1,2})?)?$"), _ntz(full))
 
 
 def strict_ts(x: str | Column) -> Column:
     """Only 'YYYY-MM-DD HH:MM:SS' survives (a timestamp with a fraction does not)."""
     s = _c(x).cast("string")
-    return F.when(s.rlike(r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"),
-                  F.try_to_timestamp(s, F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz"))
+    return F.when(s.rlike(r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"), _ntz(s))
 
 
 # ---------------------------------------------------------------- numbers / codes
 def safe_int(x: str | Column, default: int | None = 0) -> Column:
-    """Int of the trimmed text, else ``default``."""
-    s = F.trim(_c(x).cast("string"))
-    v = F.when(s.rlike(r"^[+-]?\d{1,9}$"), s.cast("int"))
+    """Int of the stripped text (any number of digits that an INT holds), else ``default``."""
+    s = strip(_c(x).cast("string"))
+    v = F.when(s.rlike(r"^[+-]?\d+$"), s.try_cast("int"))
     return v if default is None else F.coalesce(v, F.lit(default))
 
 
@@ -107,12 +110,12 @@ def additional_categories(nature_code: Column) -> Column:
 
 def prefix_before_dash(x: str | Column) -> Column:
     """Text before the first '-', trimmed; '' for empty."""
-    return F.coalesce(F.trim(F.split(F.trim(_c(x)), "-", 2).getItem(0)), F.lit(""))
+    return F.coalesce(strip(F.split(strip(x), "-", 2).getItem(0)), F.lit(""))
 
 
 def build_ocid(numeroseao: str | Column) -> Column:
     """X11."""
-    return F.concat(F.lit(codes.OCID_PREFIX), F.coalesce(F.trim(_c(numeroseao)), F.lit("")))
+    return F.concat(F.lit(codes.OCID_PREFIX), F.coalesce(strip(numeroseao), F.lit("")))
 
 
 def strip_ocid(ocid: str | Column) -> Column:
@@ -123,9 +126,20 @@ def strip_ocid(ocid: str | Column) -> Column:
 @F.arrow_udf(T.StringType())
 def nfkc(a: pa.Array) -> pa.Array:
     """NFKC normalisation per Arrow batch (Python's ``unicodedata``; pyarrow's
-    ``utf8_normalize`` was found to leave NFKC text decomposed)."""
-    norm = unicodedata.normalize
-    return pa.array([v if v is None or v.isascii() else norm("NFKC", v) for v in a.to_pylist()], pa.string())
+    ``utf8_normalize`` was found to leave NFKC text decomposed).
+
+    The batch is normalised as one text with a separator that takes part in no
+    composition; only if that separator occurs in the data, value by value.
+    """
+    values = a.to_pylist()
+    joined = "\x1e".join(v or "" for v in values)
+    if joined.isascii():
+        return a
+    if joined.count("\x1e") == len(values) - 1:
+        done = unicodedata.normalize("NFKC", joined).split("\x1e")
+    else:
+        done = [unicodedata.normalize("NFKC", v or "") for v in values]
+    return pa.array([None if v is None else d for v, d in zip(values, done)], pa.string())
 
 
 def clean_text_basic(x: str | Column) -> Column:
@@ -147,18 +161,9 @@ def clean_text(x: str | Column, normalize: bool = True) -> Column:
     return F.when(c.isNotNull() & (c != ""), t)
 
 
-def trim_or_empty(x: str | Column) -> Column:
-    """X13."""
-    return F.coalesce(F.trim(_c(x)), F.lit(""))
-
-
-def empty_to_null(x: str | Column) -> Column:
-    return F.nullif(F.trim(_c(x)), F.lit(""))
-
-
 def parse_bit(x: str | Column) -> Column:
     """X14: '1' -> 1, '0' -> 0, else NULL."""
-    s = F.trim(_c(x).cast("string"))
+    s = strip(_c(x).cast("string"))
     return F.when(s == "1", F.lit(1)).when(s == "0", F.lit(0))
 
 
@@ -168,9 +173,9 @@ def truthy_bit(x: str | Column) -> Column:
 
 
 def municipal_flag(x: str | Column) -> Column:
-    """Digits only, else NULL."""
-    s = F.trim(_c(x))
-    return F.when(s.rlike(r"^[0-9]{1,9}$"), s.cast("int"))
+    """Digits only, else NULL; stored in a BIT column, so any number but 0 is 1."""
+    s = strip(x)
+    return F.when(s.rlike(r"^[0-9]+$"), F.when(s.rlike("[1-9]"), F.lit(1)).otherwise(F.lit(0)))
 
 
 def has_letter_and_digit(x: str | Column) -> Column:
@@ -179,16 +184,19 @@ def has_letter_and_digit(x: str | Column) -> Column:
     return s.rlike(r"\p{L}") & s.rlike(r"\p{Nd}")
 
 
+def bid_unit(x: str | Column, blank_is_missing: bool = True) -> Column:
+    """Unit of a bid; missing (and, if wanted, blank or 0) is the default currency."""
+    s = _c(x).cast("string")
+    if not blank_is_missing:
+        return F.coalesce(s, F.lit(codes.DEFAULT_CURRENCY))
+    return F.when(F.coalesce(strip(s), F.lit("")).isin("", "0"), F.lit(codes.DEFAULT_CURRENCY)).otherwise(s)
+
+
 def contract_status(datepublicationfinale: str | Column) -> Column:
     """X20: 'active' without a final publication date, else 'terminated'."""
     return F.when(_c(datepublicationfinale).isNull(), F.lit("active")).otherwise(F.lit("terminated"))
 
 
-def zero_to_null(x: str | Column) -> Column:
-    """X19 (durationInDay, numberOfTenderers): 0 and missing -> NULL."""
-    return F.nullif(_c(x), F.lit(0))
-
-
 def url_list(documents: str | Column) -> Column:
     """Comma-joined urls of the documents that have one."""
     d = _c(documents)

@@ -19,7 +19,7 @@ from tenderfold.functions import scalars as X
 
 
 def _s(c) -> Column:
-    return F.coalesce(F.trim(F.col(c) if isinstance(c, str) else c), F.lit(""))
+    return F.coalesce(X.strip(F.col(c) if isinstance(c, str) else c), F.lit(""))
 
 
 def migrated_keys(releases: DataFrame) -> DataFrame:
@@ -65,12 +65,10 @@ def _supplier_id() -> Column:
 def bids_history(keys: DataFrame, links: DataFrame, fournisseurs: DataFrame, modified: Column) -> DataFrame:
     """One bid version per link row of a migrated notice (not de-duplicated)."""
     j = _joined_links(keys, links, fournisseurs)
-    unit = F.col("montantssoumisunite").cast("string")
     return j.select(_supplier_id().alias("party_id"), "ocid", F.lit(None).cast("string").alias("related_lot"),
                     X.truthy_bit("admissible").alias("admissible"), X.truthy_bit("conforme").alias("conform"),
                     F.coalesce(F.col("montantsoumis"), F.lit(0)).cast("decimal(15,2)").alias("value"),
-                    F.when(F.coalesce(unit, F.lit("")) == "", F.lit(codes.DEFAULT_CURRENCY)).otherwise(unit)
-                    .alias("value_unit"), modified.alias("modified_date"))
+                    X.bid_unit(F.col("montantssoumisunite")).alias("value_unit"), modified.alias("modified_date"))
 
 
 def contracts_history(keys: DataFrame, contrats_history: DataFrame, modified: Column,

@@ -1,7 +1,7 @@
 """Integrity checks, reported as rows instead of failed transactions.
 
-Each check returns ``(table, rule, key, detail)`` rows; a loader anti-joins the
-offending files out of every table (the reference rolls a whole file back).
+Each check returns ``(table, rule, key, detail)`` rows. Failed conversions and
+values wider than their column are reported by the folds themselves.
 All checks are anti joins or grouped counts - nothing is collected.
 """
 
@@ -13,9 +13,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-REJECT_SCHEMA = "table string, rule string, key string, detail string"
-
-
 def _key_text(cols: Sequence[str]) -> Column:
     return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("<null>")) for c in cols])
 
@@ -34,27 +31,3 @@ def duplicate_keys(df: DataFrame, key_cols: Sequence[str], table: str) -> DataFr
     return (df.groupBy(*key_cols).count().where(F.col("count") > 1)
             .select(F.lit(table).alias("table"), F.lit("duplicate_key").alias("rule"),
                     _key_text(key_cols).alias("key"), F.col("count").cast("string").alias("detail")))
-
-
-def too_long(df: DataFrame, key_cols: Sequence[str], widths: dict[str, int], table: str) -> DataFrame:
-    """NVARCHAR(n) widths, which Spark strings do not enforce."""
-    out = None
-    for col, n in widths.items():
-        bad = (df.where(F.length(col) > n)
-               .select(F.lit(table).alias("table"), F.lit(f"too_long:{col}").alias("rule"),
-                       _key_text(key_cols).alias("key"), F.length(col).cast("string").alias("detail")))
-        out = bad if out is None else out.unionByName(bad)
-    return out
-
-
-def bad_number(df: DataFrame, key_cols: Sequence[str], cols: Sequence[str], table: str,
-               to: str = "decimal(15,2)") -> DataFrame:
-    """Non-empty text that does not cast to the target numeric type."""
-    out = None
-    for col in cols:
-        v = F.trim(F.col(col).cast("string"))
-        bad = (df.where(v.isNotNull() & (v != "") & F.expr(f"try_cast(trim(cast(`{col}` as string)) as {to})").isNull())
-               .select(F.lit(table).alias("table"), F.lit(f"bad_number:{col}").alias("rule"),
-                       _key_text(key_cols).alias("key"), v.alias("detail")))
-        out = bad if out is None else out.unionByName(bad)
-    return out

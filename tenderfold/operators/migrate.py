@@ -31,7 +31,7 @@ from tenderfold.operators.policies import Policy, select_staging, stub_releases
 
 def _s(c) -> F.Column:
     """safe_str: NULL/'' -> '', else trimmed text."""
-    return F.coalesce(F.trim(F.col(c) if isinstance(c, str) else c), F.lit(""))
+    return F.coalesce(X.strip(F.col(c) if isinstance(c, str) else c), F.lit(""))
 
 
 def migrate(policy: Policy, avis: DataFrame, links: DataFrame, fournisseurs: DataFrame,
@@ -75,9 +75,7 @@ def migrate(policy: Policy, avis: DataFrame, links: DataFrame, fournisseurs: Dat
         F.struct(order.alias("n"), F.col("link_pos").cast("int").alias("p"), F.lit("").alias("c")).alias("seq"),
         X.truthy_bit("admissible").alias("admissible"), X.truthy_bit("conforme").alias("conform"),
         F.coalesce(F.col("montantsoumis"), F.lit(0)).cast("decimal(15,2)").alias("value"),
-        (F.when(F.col("montantssoumisunite").isNull() | (F.trim(F.col("montantssoumisunite")).isin("", "0")),
-                F.lit(codes.DEFAULT_CURRENCY)) if policy.bid_unit_blank_is_missing else
-         F.coalesce(F.col("montantssoumisunite"), F.lit(codes.DEFAULT_CURRENCY))).alias("value_unit"),
+        X.bid_unit(F.col("montantssoumisunite"), policy.bid_unit_blank_is_missing).alias("value_unit"),
         (F.col("adjudicataire").cast("int") == 1).alias("winner"),
         F.coalesce(F.col("montantcontrat"), F.lit(0)).cast("decimal(15,2)").alias("award_amount"),
         F.coalesce(F.col("montanttotalcontrat"), F.lit(0)).cast("decimal(15,2)").alias("award_total"))

@@ -47,9 +47,6 @@ RELATED_ONLY = Policy("related_only", "contract_or_expense", "notice_or_expense"
                       swap_dates=False, stub_releases=True)
 ALL_DATA = Policy("all_data", "all", "all", "all", swap_dates=False, stub_releases=True)
 
-POLICIES = {p.name: p for p in (CONSTRUCTION_WITH_CONTRACTS, CONSTRUCTION_NO_AWARDS,
-                                CONSTRUCTION_CONTRACT_OR_EXPENSE, RELATED_ONLY, ALL_DATA)}
-
 
 def _keys(df: DataFrame) -> DataFrame:
     return df.select(KEY).where(F.col(KEY).isNotNull())

@@ -69,57 +69,43 @@ def q_contract_duration_by_supplier(spark, sf_dir):
     return A.contract_duration_by_supplier(t["contracts"], t["releases"], t["release_parties"], t["parties"])
 
 
-_GROWTH_TAIL = """
-expenses AS (SELECT ocid, COALESCE(SUM(value_amount), 0) AS ae FROM m_transactions GROUP BY ocid),
-final_values AS (SELECT ocid, value_amount AS fcv FROM m_contracts)
+# Growth oracles: the opening amount of a release is the least of its (award or
+# bid) rows in key order; what was spent on it is one sum per release.
+_SPENT_SQL = "(SELECT ocid, coalesce(sum(value_amount), 0) AS total FROM m_transactions GROUP BY ocid)"
+
+
+def _growth_sql(opening: str, holder: str, holder_name: str, amount: str, extra: str, name_join: str) -> str:
+    money = "CAST({} AS DECIMAL(18,2))".format
+    return f"""
+SELECT DISTINCT k.ocid, o.head.who AS {holder}, who.name AS {holder_name}, {money('o.head.amount')} AS {amount},
+       {money('spent.total')} AS additional_expenses, {money('o.head.amount + spent.total')} AS expected_final_contract,
+       {money('k.value_amount')} AS final_contract{extra}
+FROM m_contracts k
+     LEFT JOIN ({opening}) o USING (ocid)
+     LEFT JOIN {_SPENT_SQL} spent USING (ocid)
+     LEFT JOIN m_parties who ON who.party_id = o.head.who{name_join}
 """
 
 
-@register("growth_first_award", with_model("""
-SELECT DISTINCT fc.ocid, fa.buyer_id, p.name AS buyer_name,
-       CAST(fa.ia AS DECIMAL(18,2)) AS initial_award,
-       CAST(e.ae AS DECIMAL(18,2)) AS additional_expenses,
-       CAST(fa.ia + e.ae AS DECIMAL(18,2)) AS expected_final_contract,
-       CAST(fc.fcv AS DECIMAL(18,2)) AS final_contract,
-       CAST(fc.fcv - fa.ia AS DECIMAL(18,2)) AS growth
-FROM final_values fc
-LEFT JOIN first_awards fa ON fc.ocid = fa.ocid
-LEFT JOIN expenses e ON fc.ocid = e.ocid
-LEFT JOIN m_parties p ON fa.buyer_id = p.party_id AND e.ae IS NOT NULL
-ORDER BY initial_award DESC
-""", """
-initial_awards AS (
-  SELECT a.ocid, a.value_amount AS ia, rp.party_id AS buyer_id,
-         ROW_NUMBER() OVER (PARTITION BY a.ocid ORDER BY a.award_id, rp.party_id, a.value_amount) AS rn
-  FROM m_awards a JOIN m_release_parties rp ON a.ocid = rp.ocid AND rp.role = 'buyer'),
-first_awards AS (SELECT ocid, ia, buyer_id FROM initial_awards WHERE rn = 1),
-""" + _GROWTH_TAIL))
+_FIRST_AWARD_SQL = """SELECT w.ocid, min({'k': w.award_id, 'who': b.party_id, 'amount': w.value_amount}) AS head
+      FROM m_awards w JOIN m_release_parties b ON b.ocid = w.ocid AND b.role = 'buyer' GROUP BY w.ocid"""
+_FIRST_BID_SQL = """SELECT w.ocid, min({'a': w.l_linenumber, 'b': w.l_partkey, 'c': w.l_suppkey, 'd': w.l_extendedprice,
+                                      'e': w.l_shipdate, 'who': s.party_id, 'amount': w.value}) AS head
+      FROM m_bids w JOIN m_release_parties s ON s.ocid = w.ocid AND s.party_id = w.party_id AND s.role = 'supplier'
+      GROUP BY w.ocid"""
+
+
+@register("growth_first_award", with_model(_growth_sql(
+    _FIRST_AWARD_SQL, "buyer_id", "buyer_name", "initial_award",
+    ", CAST(k.value_amount - o.head.amount AS DECIMAL(18,2)) AS growth", " AND spent.total IS NOT NULL")))
 def q_growth_first_award(spark, sf_dir):
     t = tables(spark, sf_dir)
     return A.growth_first_award(t["contracts"], t["awards"], t["release_parties"], t["parties"],
                                 t["contract_transactions"])
 
 
-@register("growth_first_bid", with_model("""
-SELECT DISTINCT fc.ocid, fb.supplier_id, p.name AS supplier_name,
-       CAST(fb.ib AS DECIMAL(18,2)) AS initial_bid,
-       CAST(e.ae AS DECIMAL(18,2)) AS additional_expenses,
-       CAST(fb.ib + e.ae AS DECIMAL(18,2)) AS expected_final_contract,
-       CAST(fc.fcv AS DECIMAL(18,2)) AS final_contract
-FROM final_values fc
-LEFT JOIN first_bids fb ON fc.ocid = fb.ocid
-LEFT JOIN expenses e ON fc.ocid = e.ocid
-LEFT JOIN m_parties p ON fb.supplier_id = p.party_id
-ORDER BY fc.ocid
-""", """
-initial_bids AS (
-  SELECT b.ocid, b.value AS ib, rp.party_id AS supplier_id,
-         ROW_NUMBER() OVER (PARTITION BY b.ocid ORDER BY b.l_linenumber, b.l_partkey, b.l_suppkey,
-                                                        b.l_extendedprice, b.l_shipdate) AS rn
-  FROM m_bids b JOIN m_release_parties rp ON b.ocid = rp.ocid AND b.party_id = rp.party_id
-  WHERE rp.role = 'supplier'),
-first_bids AS (SELECT ocid, ib, supplier_id FROM initial_bids WHERE rn = 1),
-""" + _GROWTH_TAIL))
+@register("growth_first_bid", with_model(_growth_sql(
+    _FIRST_BID_SQL, "supplier_id", "supplier_name", "initial_bid", "", "")))
 def q_growth_first_bid(spark, sf_dir):
     t = tables(spark, sf_dir)
     return A.growth_first_bid(t["contracts"], t["bids"], t["release_parties"], t["parties"],
@@ -211,10 +197,11 @@ def q_events_insert_if_absent(spark, sf_dir):
 
 @register("events_two_batch_fold", _INS_IF_ABSENT_SQL)
 def q_events_two_batch_fold(spark, sf_dir):
-    """ST2: fold the log in two batches (split at the middle day); same result as one."""
+    """ST2: fold the log in two batches (each user's log is cut some days after its start); same result as one."""
     log = _event_log(spark, sf_dir, kinds=True)
-    split = F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
-    b1, b2 = log.where(F.col("ts") < split), log.where(F.col("ts") >= split)
+    cut = log.groupBy("user_id").agg(F.date_add(F.min("ts"), (F.pmod("user_id", F.lit(20)) + 1).cast("int")).alias("cut"))
+    log = log.join(cut, "user_id").withColumn("early", F.to_date("ts") < F.col("cut")).drop("cut")
+    b1, b2 = log.where("early").drop("early"), log.where("not early").drop("early")
     cur1, hist1 = V.fold_increment(log.limit(0).drop("kind"), b1, "user_id")
     cur2, hist2 = V.fold_increment(cur1.drop("kind"), b2, "user_id")
     return (cur2.select(*_EV_COLS).withColumn("state", F.lit(V.CURRENT))
@@ -293,34 +280,34 @@ def q_supplier_identity(spark, sf_dir):
     """U8: parts as supplier writes, neq = brand; current + history versions."""
     part = spark.read.parquet(f"{sf_dir}/part.parquet").select(
         F.col("p_brand").alias("neq"), F.col("p_name").alias("nomorganisation"), F.col("p_partkey").alias("seq"))
-    v = supplier_versions(part, "seq", bucket=F.expr("seq div 100"))
+    v = supplier_versions(part, "seq", bucket=F.expr("seq div 100"))   # a monotone prefix of seq
     cls = V.classify(v, "supplier_key", kind=None)
     return cls.select("supplier_key", "neq", "nomorganisation", "existing_neq", "seq", "state")
 
 
 # ------------------------------------------------------- scalars, picks (X*, P2, P4)
+from tenderfold import codes  # noqa: E402
 from tenderfold.functions import scalars as X  # noqa: E402
 from tenderfold.functions.items import pick_classification, pick_item  # noqa: E402
 
 
-@register("code_maps", """
+def code_case(column: str, mapping: dict, default: str, quote_code: bool = False) -> str:
+    """CASE expression of a code map (the texts live in codes.py only)."""
+    text = lambda v: "'" + v.replace("'", "''") + "'"
+    whens = " ".join(f"WHEN {text(str(k)) if quote_code else k} THEN {text(v)}" for k, v in mapping.items())
+    return f"CASE {column} {whens} ELSE {text(default)} END"
+
+
+METHODS = {**{c: "open" for c in codes.METHOD_OPEN_TYPES}, **{c: "direct" for c in codes.METHOD_DIRECT_TYPES},
+           **{c: "limited" for c in codes.METHOD_LIMITED_TYPES}}
+
+
+@register("code_maps", f"""
 SELECT p_partkey, p_size AS code,
-       CASE WHEN p_size IN (3, 16, 17) THEN 'open' WHEN p_size = 9 THEN 'direct'
-            WHEN p_size IN (6, 10, 14) THEN 'limited' ELSE 'open' END AS tender_procurement_method,
-       CASE p_size WHEN 3 THEN 'Contrat adjugé suite à un appel d’offres public'
-                   WHEN 6 THEN 'Contrat adjugé suite à un appel d’offres sur invitation'
-                   WHEN 9 THEN 'Contrat octroyé de gré à gré'
-                   WHEN 10 THEN 'Contrat adjugé suite à un appel d’offres sur invitations'
-                   WHEN 14 THEN 'Contrat suite à un appel d’offres sur invitation publié au SEAO'
-                   WHEN 16 THEN 'Contrat conclu relatif aux infrastructures de transport'
-                   WHEN 17 THEN 'Contrat conclu - Appel d''offres public non publié au SEAO'
-                   ELSE 'Autre type de contrat' END AS tender_procurement_method_details,
-       CASE p_size WHEN 1 THEN 'Services professionnels' WHEN 2 THEN 'Services de nature technique'
-                   ELSE 'Autres' END AS tender_main_procurement_category,
-       CASE p_size WHEN 1 THEN 'Approvisionnement (biens)' WHEN 2 THEN 'Services'
-                   WHEN 3 THEN 'Travaux de construction' WHEN 5 THEN 'Autre' WHEN 6 THEN 'Concession'
-                   WHEN 7 THEN 'Vente de biens immeubles' WHEN 8 THEN 'Vente de biens meubles'
-                   ELSE '' END AS tender_additional_procurement_categories
+       {code_case("p_size", METHODS, codes.METHOD_DEFAULT)} AS tender_procurement_method,
+       {code_case("p_size", codes.METHOD_DETAILS, codes.METHOD_DETAILS_DEFAULT)} AS tender_procurement_method_details,
+       {code_case("p_size", codes.MAIN_CATEGORY, codes.MAIN_CATEGORY_DEFAULT)} AS tender_main_procurement_category,
+       {code_case("p_size", codes.ADDITIONAL_CATEGORY, "")} AS tender_additional_procurement_categories
 FROM part
 """)
 def q_code_maps(spark, sf_dir):
@@ -338,14 +325,17 @@ _CLEAN_SQL = ("replace(replace(regexp_replace(replace(replace(text, chr(13), '')
               "'[\\x00-\\x1F]+', ' ', 'g'), '’', ''''), '‘', '''')")
 
 
-@register("text_clean", f"""
+_TEXT_CLEAN_SQL = f"""
 WITH t AS (SELECT doc_id, text,
   replace(replace(replace(replace({_CLEAN_SQL}, 'ʼ', ''''), '‛', ''''), '“', '"'), '”', '"') AS c
   FROM documents)
 SELECT doc_id, CASE WHEN text IS NULL OR text = '' THEN NULL ELSE md5(c) END AS text_md5,
        CASE WHEN text IS NULL OR text = '' THEN NULL ELSE length(c) END AS n_chars_clean
 FROM t
-""")
+"""
+
+
+@register("text_clean", _TEXT_CLEAN_SQL)
 def q_text_clean(spark, sf_dir):
     """X12 without NFKC: control characters and quotes, whole texts."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
@@ -353,14 +343,36 @@ def q_text_clean(spark, sf_dir):
     return docs.select("doc_id", F.md5(c).alias("text_md5"), F.length(c).cast("bigint").alias("n_chars_clean"))
 
 
-@register("text_clean_nfkc")
+@register("text_clean_nfkc", _TEXT_CLEAN_SQL)
 def q_text_clean_nfkc(spark, sf_dir):
-    """X12 with NFKC (Arrow pandas_udf); no SQL built-in, so rows-only at the driver."""
+    """X12 with NFKC: some letters of each text are swapped for compatibility
+    forms (full-width letters, a ligature) that NFKC turns back, so the oracle
+    is the plain cleaned text."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    c = X.clean_text(F.col("text"), normalize=True)
+    odd = F.replace(F.translate(F.col("text"), "aeotz", "ａｅｏｔｚ"), F.lit("fi"), F.lit("ﬁ"))
+    c = X.clean_text(odd, normalize=True)
     return docs.select("doc_id", F.md5(c).alias("text_md5"), F.length(c).cast("bigint").alias("n_chars_clean"))
 
 
+@register("number_rejects", """
+SELECT event_id, CASE WHEN event_id % 5 IN (0, 1) THEN CAST(event_id AS INTEGER) WHEN event_id % 5 = 2 THEN 2147483647 END AS safe_int,
+       CASE WHEN event_id % 5 IN (0, 1, 2) THEN NULL WHEN event_id % 5 = 3 THEN 'duration_not_a_number'
+            ELSE 'duration_not_a_number' END AS reason
+FROM events
+""")
+def q_number_rejects(spark, sf_dir):
+    """X5 + U12: plain, padded, longest, too long and wordy number texts; what does not convert is reported."""
+    from tenderfold.sources.release_json import faults
+    e = F.col("event_id")
+    text = (F.when(e % 5 == 0, e.cast("string")).when(e % 5 == 1, F.concat(F.lit("\t\u00a0"), e.cast("string"), F.lit("\n")))
+            .when(e % 5 == 2, F.lit("2147483647")).when(e % 5 == 3, F.concat(F.lit("99999999999"), e.cast("string")))
+            .otherwise(F.concat(e.cast("string"), F.lit(" days"))))
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", text.alias("v"))
+    number = X.safe_int("v", default=None)
+    return ev.select("event_id", number.alias("safe_int"),
+                     F.get(faults(("duration_not_a_number", F.col("v"), number, False)), F.lit(0))["reason"].alias("reason"))
+
+
 @register("date_parse", """
 SELECT event_id,
        date_trunc('second', ts) AS iso_with_offset,

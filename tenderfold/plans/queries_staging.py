@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tenderfold import codes
 from tenderfold.operators import checks as C
 from tenderfold.operators import policies as P
-from tenderfold.plans.queries import register
+from tenderfold.plans.queries import METHODS, code_case, register
 from tenderfold.plans.staging_model import sql_list, staging, with_staging
 from tenderfold.session import ensure_checkpoint_dir
 from tenderfold.sources import files as SF
@@ -288,16 +288,12 @@ def X_ocid(c):
     return F.concat(F.lit(codes.OCID_PREFIX), c.cast("string"))
 
 
-@register("backfill_releases_history", with_staging("""
+@register("backfill_releases_history", with_staging(f"""
 SELECT 'ocds-ec9k95-' || CAST(numeroseao AS VARCHAR) AS ocid, CAST(numero AS VARCHAR) AS release_id,
        datepublication AS date, 'avis_history' AS tag,
-       CASE WHEN type IN ('3') THEN 'open' WHEN type = '9' THEN 'direct' WHEN type IN ('6') THEN 'limited'
-            ELSE 'open' END AS tender_procurement_method,
-       CASE WHEN type = '3' THEN 'Contrat adjugé suite à un appel d’offres public'
-            WHEN type = '6' THEN 'Contrat adjugé suite à un appel d’offres sur invitation'
-            WHEN type = '9' THEN 'Contrat octroyé de gré à gré'
-            ELSE 'Autre type de contrat' END AS tender_procurement_method_details,
-       'Autres' AS tender_main_procurement_category, '' AS tender_additional_procurement_categories,
+       {code_case("type", METHODS, codes.METHOD_DEFAULT, True)} AS tender_procurement_method,
+       {code_case("type", codes.METHOD_DETAILS, codes.METHOD_DETAILS_DEFAULT, True)} AS tender_procurement_method_details,
+       '{codes.MAIN_CATEGORY_DEFAULT}' AS tender_main_procurement_category, '' AS tender_additional_procurement_categories,
        'OP-' || CAST(numeroseao AS VARCHAR) AS tender_procuring_entity_id,
        trim(split_part(categorieseao, '-', 1)) AS tender_item_id, titre AS tender_title
 FROM s_avis

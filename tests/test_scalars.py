@@ -4,6 +4,7 @@ import datetime as dt
 import re
 import unicodedata
 
+import pytest
 from pyspark.sql import functions as F
 
 from tenderfold.functions import items as I
@@ -52,8 +53,30 @@ def test_xml_dates(spark):
 
 def test_ints_bits_codes(spark):
     assert _col(spark, [" 5 ", "x", None, "+7", "5.0"], X.safe_int) == [5, 0, 0, 7, 0]
+    assert _col(spark, ["1234567890", "2147483647", "-0000000000012", "2147483648"], X.safe_int) == [
+        1234567890, 2147483647, -12, 0]
     assert _col(spark, ["1", "0", " 1 ", "2", None], X.parse_bit) == [1, 0, 1, None, None]
-    assert _col(spark, ["12", "1a", "", None], X.municipal_flag) == [12, None, None, None]
+    assert _col(spark, ["12", "1a", "", None], X.municipal_flag) == [1, None, None, None]
+    assert _col(spark, ["00", "1", "12345678901"], X.municipal_flag) == [0, 1, 1]
+
+
+def test_strip_removes_all_white_space(spark):
+    texts = ["\t a b\n", "\u00a0x\u2003", " ", "y", None, "\x1f\r z"]
+    assert _col(spark, texts, X.strip) == [t if t is None else t.strip() for t in texts]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/Toronto"])
+def test_dates_do_not_depend_on_the_session_zone(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        want = dt.datetime(2021, 3, 14, 2, 30)
+        assert _col(spark, ["2021-03-14T02:30:00-05:00", "2021-03-14T02:30", "2021-03-01T10:00:00.1234567Z"],
+                    X.parse_iso_ts) == [want, want, dt.datetime(2021, 3, 1, 10)]
+        assert _col(spark, ["2021-3-14 2:30", "2021-03-14 02:30:00"], X.parse_xml_date) == [want, want]
+        assert _col(spark, ["2021-03-14 02:30:00"], X.strict_ts) == [want]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
     assert _col(spark, ["S3", "300", "Ab", "é9", None], X.has_letter_and_digit) == [True, False, False, True, False]
     assert _col(spark, ["S7 - Services", "  C01-x ", "", None, "nodash"], X.prefix_before_dash) == \
         ["S7", "C01", "", "", "nodash"]
