@@ -1,4 +1,4 @@
-"""Connected components by alternating large-star and small-star steps (DataFrame joins, staged each round)."""
+"""Connected components by contraction (DataFrame joins, staged each round)."""
 
 from __future__ import annotations
 
@@ -6,46 +6,43 @@ from pyspark.sql import DataFrame, functions as F
 
 from tenderfold.llm.common import staged
 
+JUMPS = 2       # pointer jumps per round
 
-def _with_min(edges: DataFrame, smaller_only: bool) -> DataFrame:
-    """Edges (u, v) with m, the least of u and its neighbours v.
 
-    The minimum is a map-side combined aggregate that is joined back, so a
-    node with very many neighbours is never gathered into one task.
-    """
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    return edges.join(least, "u").withColumn("m", F.col("m") if smaller_only else F.least("u", "m"))
-
-
-def _large_star(edges: DataFrame) -> DataFrame:
-    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    hits = _with_min(both, False).where(F.col("v") > F.col("u"))
-    return hits.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
-
-
-def _small_star(edges: DataFrame) -> DataFrame:
-    down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = _with_min(down, True)
-    hits = least.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
-        least.select("u", F.col("m").alias("v")))
-    return hits.where("u != v").distinct()
+def _mapped(edges: DataFrame, parent: DataFrame) -> DataFrame:
+    """Edges between the parents of their ends, larger end first, without loops and repeats."""
+    u = parent.select(F.col("node").alias("u"), F.col("parent").alias("pu"))
+    v = parent.select(F.col("node").alias("v"), F.col("parent").alias("pv"))
+    both = edges.join(u, "u").join(v, "v")
+    return both.select(F.greatest("pu", "pv").alias("u"), F.least("pu", "pv").alias("v")).where("u != v").distinct()
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """(node, component) for every node of the links; the component is its least node.
+    """(node, component) for every node of the links; nodes of one component share one of its nodes as name.
 
-    Rounds grow with the logarithm of the graph; each one is staged in the
-    shared folder, and the driver sees only a count and a checksum per round.
+    Each round gives every node its least neighbour as parent, if that is less
+    than the node, follows parents a few times, and goes on with the links
+    between different parents, of which there are ever fewer. The minimum is a
+    map-side combined aggregate, so a node with very many links is never
+    gathered into one task. The driver only learns whether links are left.
     Links of a node with itself and NULL ends are ignored.
     """
-    edges = staged(links.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u != v").distinct(), "links")
-    # a star forest: every u points at its least node, which points nowhere
-    state = None
-    while True:
-        summary = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
-        if state == (summary["n"], summary["s"]) or summary["n"] == 0:
-            break
-        state = (summary["n"], summary["s"])
-        edges = staged(_small_star(_large_star(edges)), "links")
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
-        edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+    edges = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where(f"{a} != {b}").distinct()
+    edges = staged(edges, "links")
+    names = None
+    while names is None or not edges.isEmpty():
+        low = edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("parent"))
+        top = edges.select(F.col("v").alias("node")).distinct()
+        parent = low.unionByName(top.join(low, "node", "left_anti").withColumn("parent", F.col("node")))
+        for _ in range(JUMPS):
+            up = parent.select(F.col("node").alias("parent"), F.col("parent").alias("above"))
+            parent = parent.join(up, "parent").select("node", F.col("above").alias("parent"))
+        parent = staged(parent, "parents")
+        if names is None:
+            names = parent.withColumnRenamed("parent", "component")
+        else:
+            step = parent.select(F.col("node").alias("component"), "parent")
+            names = staged(names.join(step, "component", "left").select(
+                "node", F.coalesce("parent", "component").alias("component")), "names")
+        edges = staged(_mapped(edges, parent), "links")
+    return names

@@ -13,13 +13,25 @@ empty partitions than spare ones; then all its empty partitions are signed.
 Two sets that agree on empty partitions only both have more than ``spare`` of
 them. So no pair is lost.
 
+Shingles that very many documents hold (shared passages, boilerplate lines)
+would fill partitions alike in unrelated documents. So the partitions are made
+over the other shingles only, which loses nothing: on any part of the domain
+two sets differ in at most k shingles. A set whose rest leaves more than the
+spare partitions empty is signed over all its shingles as well. Which
+shingles are frequent is counted over all documents; the list is bounded
+(every set adds to few shingles of a given share) and only saves work.
+
 Steps: (1) equal sets form a class; (2) one document of each class is
 signed, and signatures are combined within a task before the shuffle;
 (3) each bucket of a shared signature is a star around its least member, and
-the star pairs are verified on the whole sets; (4) buckets whose members are
-not yet in one component get further star rounds with other centres, and then
-every remaining pair across components is verified. Nothing is capped: the
-rounds only save pairs whose answer no longer matters to the components.
+the star pairs are verified on the whole sets; (4) in buckets whose members are
+not all in one component yet, members of different components are compared.
+Most of those are not similar enough, and a parity sketch (a bit per cell that
+tells whether an odd number of shingles fell into it) rules them out: two
+sketches never differ in more bits than the sets in shingles. Large buckets
+are compared in blocks that go to different tasks, and only pairs that the
+sketch cannot rule out leave a task to be verified. Nothing is capped: pairs
+within one component are the only ones that need no answer.
 
 Defined results: NULL or empty text, or text without words, is an empty set,
 which links with nothing (component_id is its own doc_id). A row with a NULL
@@ -46,8 +58,12 @@ from tenderfold.llm.components import components
 
 SHINGLE_WORDS = 4
 THRESHOLD_PERCENT = 85
-SKETCH = 32                # counters of the lower bound on the set difference
-PAIRS_PER_ROW = 8          # star rounds go on while the pairs that remain are more than this per bucket row
+SKETCH_LEAST = 64          # bits of the smallest parity sketch; a set of n shingles has 2n to 4n bits
+BLOCK_ROWS = 2_000         # members of a bucket that are compared as one block
+FREQUENT_SHARE = 0.0005    # shingles of at least so many of the documents are left out of the partitions
+FREQUENT_MOST = 1_000_000  # bound of that list (8 MB); a shorter list costs time, not links
+COUNTED_DOCS = 4_000       # documents of a task that are counted together
+COUNTED_LEAST = 3          # occurrences among them below which a shingle is not reported
 BATCH_SIGNATURES = 400_000  # signatures combined at once in a task
 
 _MIX1, _MIX2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
@@ -102,18 +118,30 @@ class Bands:
         return k + 1 + min(spare, k + 1), min(spare, k + 1)
 
 
-def signatures(s: np.ndarray, bands: Bands) -> np.ndarray:
-    """All signatures of a non-empty set: one per non-empty partition of its band's and the next band's instance."""
+def _instance(s: np.ndarray, band: int, parts: int, salt: int) -> tuple[np.ndarray, np.ndarray]:
+    """(signature of every partition, which partitions hold anything)."""
+    place = (_mix(s ^ np.uint64(salt)) % np.uint64(parts)).astype(np.int64)
+    total = np.zeros(parts, np.uint64)
+    np.add.at(total, place, _mix(s ^ np.uint64(0x9E3779B97F4A7C15)))
+    name = (np.uint64(band * 2 + salt) << np.uint64(32)) + np.arange(1, parts + 1, dtype=np.uint64)
+    return _mix(total ^ _mix(name)), np.bincount(place, minlength=parts) > 0
+
+
+def signatures(s: np.ndarray, bands: Bands, frequent: np.ndarray) -> np.ndarray:
+    """All signatures of a non-empty set: one per filled partition of its band's and the next band's instance."""
     own, out = bands.band(len(s)), []
-    content = _mix(s ^ np.uint64(0x9E3779B97F4A7C15))
+    if len(frequent):
+        at = np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)
+        rest = s[frequent[at] != s]
+    else:
+        rest = s
     for band in (own, own + 1):
         parts, spare = bands.partitions(band)
-        place = ((s >> np.uint64(20)) % np.uint64(parts)).astype(np.int64)
-        total = np.zeros(parts, np.uint64)
-        np.add.at(total, place, content)
-        filled = np.bincount(place, minlength=parts) > 0
-        at = np.arange(parts) if parts - filled.sum() > spare else np.flatnonzero(filled)
-        out.append(_mix(total[at] ^ _mix((np.uint64(band) << np.uint64(32)) + at.astype(np.uint64) + np.uint64(1))))
+        sigs, filled = _instance(rest, band, parts, 0)
+        out.append(sigs[filled])
+        if parts - filled.sum() > spare:
+            sigs, filled = _instance(s, band, parts, 1)
+            out.append(sigs if parts - filled.sum() > spare else sigs[filled])
     return np.concatenate(out)
 
 
@@ -132,23 +160,60 @@ def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[int, n
                     yield node, s
 
 
+def parity_sketch(s: np.ndarray) -> bytes:
+    """One bit per cell: whether an odd number of shingles fell into it; cells are a power of two."""
+    cells = max(SKETCH_LEAST, 1 << (2 * len(s) - 1).bit_length()) if len(s) else SKETCH_LEAST
+    return np.packbits(np.bincount((s & np.uint64(cells - 1)).astype(np.int64), minlength=cells) & 1, bitorder="little").tobytes()
+
+
+def _folded(sketch: bytes, size: int) -> np.ndarray:
+    """The sketch of the same set with fewer cells."""
+    return np.bitwise_xor.reduce(np.frombuffer(sketch, np.uint64).reshape(-1, size // 8), axis=0)
+
+
+def _close(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sizes and sketches (equal width) leave open that the sets reach the threshold."""
+    apart = np.bitwise_count(a ^ b).sum(axis=-1, dtype=np.int64)
+    return (np.minimum(na, nb) * 100 >= np.maximum(na, nb) * percent) & (apart * (100 + percent) <= (na + nb) * (100 - percent))
+
+
 def _classes_task(size: int):
+    """One row per document (set size, key, sketch), and rows of n = -1 that report locally frequent shingles."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[bytes, np.ndarray] = {}
+
+        def rows(ids: list, ns: list, keys: list, sketches: list, common: list) -> pa.RecordBatch:
+            return pa.record_batch([pa.array(ids, pa.int64()), pa.array(ns, pa.int64()), pa.array(keys, pa.binary()),
+                                    pa.array(sketches, pa.binary()), pa.array(common, pa.map_(pa.int64(), pa.int64()))],
+                                   names=["doc_id", "n", "key", "sketch", "common"])
+
+        def report() -> pa.RecordBatch:
+            items, counts = np.unique(np.concatenate(list(seen.values())), return_counts=True)
+            often = counts >= COUNTED_LEAST
+            found = list(zip(items[often].view(np.int64).tolist(), counts[often].tolist()))
+            seen.clear()
+            return rows([None], [-1], [None], [None], [found])
+
         for batch in batches:
-            ids, ns, keys, sketches = [], [], [], []
-            for i in range(batch.num_rows):
-                s = shingle_set(batch.column(1)[i].as_py(), size)
-                ids.append(batch.column(0)[i].as_py())
-                ns.append(len(s))
-                keys.append(_set_key(s))
-                sketches.append(np.minimum(np.bincount((s & np.uint64(SKETCH - 1)).astype(np.int64),
-                                                       minlength=SKETCH), 32767).astype(np.int16).tolist())
-            yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(ns, pa.int64()), pa.array(keys, pa.binary()),
-                                   pa.array(sketches, pa.list_(pa.int16()))], names=["doc_id", "n", "key", "sketch"])
+            for first in range(0, batch.num_rows, 256):
+                part = batch.slice(first, 256)
+                ids, ns, keys, sketches = part.column(0).to_pylist(), [], [], []
+                for text in part.column(1).to_pylist():
+                    s = shingle_set(text, size)
+                    ns.append(len(s))
+                    keys.append(_set_key(s))
+                    sketches.append(parity_sketch(s))
+                    if len(s):
+                        seen[keys[-1]] = s                  # copies count once
+                yield rows(ids, ns, keys, sketches, [None] * len(ids))
+                if len(seen) >= COUNTED_DOCS or sum(map(len, seen.values())) > 4_000_000:
+                    yield report()
+        if seen:
+            yield report()
     return run
 
 
-def _signatures_task(size: int, percent: int):
+def _signatures_task(size: int, percent: int, frequent: np.ndarray):
     """Signatures of each document, combined: one row per signature with its least member and the others."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands, sigs, nodes, held = Bands(percent), [], [], 0
@@ -169,7 +234,7 @@ def _signatures_task(size: int, percent: int):
                                    names=["sig", "node", "others"])
 
         for node_id, s in _sets(batches, size):
-            got = signatures(s, bands)
+            got = signatures(s, bands, frequent)
             sigs.append(got)
             nodes.append(np.full(len(got), node_id, np.int64))
             held += len(got)
@@ -232,6 +297,60 @@ def _sets_task(size: int):
     return run
 
 
+def _possible_task(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b, na, nb, sa, sb = (batch.column(i) for i in range(6))
+            open_ = []
+            for x, y, m, n in zip(sa.to_pylist(), sb.to_pylist(), na.to_pylist(), nb.to_pylist()):
+                width = min(len(x), len(y))
+                open_.append(bool(_close(_folded(x, width), _folded(y, width), m, n, percent)))
+            keep = pa.array(open_, pa.bool_())
+            yield pa.record_batch([a.filter(keep), b.filter(keep)], names=["a", "b"])
+    return run
+
+
+def _across_task(percent: int):
+    """Pairs (a, b) of one block pair in different components that sizes and sketches leave open.
+
+    Rows come sorted by (sig, block, other); a member's side is 0 or 1 where
+    two blocks meet. A block holds about BLOCK_ROWS rows, whatever the bucket.
+    """
+    def pairs(rows: list[tuple]) -> pa.RecordBatch | None:
+        node, comp, n, sketch, side = zip(*rows)
+        width = min(map(len, sketch))
+        m = np.stack([_folded(x, width) for x in sketch])
+        node, comp, n, side = (np.array(x) for x in (node, comp, n, side))
+        two = side.any()
+        left, right = [], []
+        for i in range(len(node) - 1):
+            if two and side[i]:
+                continue
+            rest = slice(0, len(node)) if two else slice(i + 1, len(node))
+            ok = (comp[rest] != comp[i]) & _close(m[rest], m[i], n[rest], n[i], percent)
+            if two:
+                ok &= side == 1
+            hit = node[rest][ok]
+            left.append(np.minimum(hit, node[i]))
+            right.append(np.maximum(hit, node[i]))
+        if not left or not sum(map(len, left)):
+            return None
+        return pa.record_batch([pa.array(np.concatenate(left)), pa.array(np.concatenate(right))], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, rows = None, []
+        for batch in batches:
+            for *group, node, comp, n, sketch, side in zip(*(c.to_pylist() for c in batch.columns)):
+                if group != key:
+                    if len(rows) > 1 and (out := pairs(rows)) is not None:
+                        yield out
+                    key, rows = group, []
+                rows.append((node, comp, n, sketch, side))
+        if len(rows) > 1 and (out := pairs(rows)) is not None:
+            yield out
+    return run
+
+
 class JaccardJoin:
     """One run of the join over ``docs`` (doc_id long, text string)."""
 
@@ -239,13 +358,15 @@ class JaccardJoin:
         self.size, self.percent = size, percent
         self.docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
         # one small row per document: set size, set key, sketch of counters
-        self.members = staged(self.docs.mapInArrow(
-            _classes_task(size), "doc_id long, n long, key binary, sketch array<smallint>"), "members")
+        rows = staged(self.docs.mapInArrow(_classes_task(size), "doc_id long, n long, key binary, sketch binary, "
+                                           "common map<long,long>"), "members")
+        self.members = rows.where("n >= 0").drop("common")
         # a class is named by 64 bits of its key: among 10 billion different sets about three pairs share a name
         self.classes = staged(
             self.members.where("n > 0 and doc_id is not null").groupBy("key").agg(
                 F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
             .withColumn("node", F.xxhash64("key")), "classes")
+        self.frequent = self._frequent(rows)
         # the text of each class comes from one document
         known = self.docs.where("doc_id is not null")
         self.repeated = not self.members.groupBy("doc_id").count().where("doc_id is not null and count > 1").isEmpty()
@@ -254,10 +375,18 @@ class JaccardJoin:
         self.texts = known.join(self.classes.select(F.col("rep").alias("doc_id"), "node", "key"), "doc_id").select(
             "node", "text", "key")
 
+    def _frequent(self, rows: DataFrame) -> np.ndarray:
+        """Sorted hashes of the frequent shingles: sets of n shingles on average have n / share of them at most."""
+        least = max(COUNTED_LEAST, int(self.classes.count() * FREQUENT_SHARE))
+        counted = rows.where("n = -1").select(F.explode("common").alias("item", "n")).groupBy("item").agg(F.sum("n").alias("n"))
+        top = counted.where(F.col("n") >= least).orderBy(F.desc("n"), "item").limit(FREQUENT_MOST).select("item")
+        got = top.toPandas()["item"].to_numpy(dtype=np.int64)
+        return np.sort(got.view(np.uint64))
+
     def buckets(self) -> DataFrame:
         """(sig, centre, member) of every signature that two or more classes share."""
         rows = self.texts.mapInArrow(
-            _signatures_task(self.size, self.percent), "sig long, node long, others array<long>")
+            _signatures_task(self.size, self.percent, self.frequent), "sig long, node long, others array<long>")
         dealt = rows.repartition("sig").sortWithinPartitions("sig", "node")
         return dealt.mapInArrow(_buckets_task, "sig long, centre long, member long")
 
@@ -271,17 +400,24 @@ class JaccardJoin:
         return scored.where(f"100 * i >= {self.percent} * (t - i)").select("a", "b")
 
     def possible(self, pairs: DataFrame) -> DataFrame:
-        """Pairs that the sizes and the counters do not rule out (lossless)."""
+        """Pairs that the sizes and the sketches do not rule out (lossless)."""
         c = self.classes.select("node", "n", "sketch")
         a = c.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
         b = c.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
-        return pairs.join(b, "b").join(a, "a").where(self._bound()).select("a", "b")
-
-    def _bound(self):
-        difference = F.aggregate(F.zip_with("sa", "sb", lambda x, y: F.abs(x - y).cast("int")), F.lit(0),
-                                 lambda acc, x: acc + x)
-        sizes = (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * self.percent)
-        return sizes & (difference * (100 + self.percent) <= (F.col("na") + F.col("nb")) * (100 - self.percent))
+        both = pairs.join(b, "b").join(a, "a").where(
+            F.least("na", "nb") * 100 >= F.greatest("na", "nb") * self.percent)
+        return both.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(_possible_task(self.percent), "a long, b long")
+
+    def across(self, mixed: DataFrame) -> DataFrame:
+        """All pairs of a bucket that lie in different components and are not ruled out, block by block."""
+        sized = mixed.join(mixed.groupBy("sig").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks")), "sig")
+        own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+        rows = (sized.join(self.classes.select("node", "n", "sketch"), "node").withColumn("own", own)
+                .withColumn("met", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+                .select("sig", F.least("own", "met").alias("block"), F.greatest("own", "met").alias("other"),
+                        "node", "component", "n", "sketch", (F.col("own") > F.col("met")).cast("int").alias("side")))
+        dealt = rows.repartition("sig", "block", "other").sortWithinPartitions("sig", "block", "other")
+        return dealt.mapInArrow(_across_task(self.percent), "a long, b long").distinct()
 
     def links(self) -> tuple[DataFrame, DataFrame]:
         """(links a-b between classes that suffice for the components, node -> component)."""
@@ -294,43 +430,24 @@ class JaccardJoin:
         sets = staged(self.texts.join(in_buckets, "node", "left_semi").mapInArrow(
             _sets_task(self.size), "node long, items array<long>"), "sets")
         found = staged(self.verified(candidates, sets), "found")
-        comp, n_links, turn = components(found), found.count(), 0
-        while True:
-            labelled = shared.join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
-            spread = labelled.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-            mixed = staged(labelled.join(spread.where("lo != hi").select("sig"), "sig"), "mixed")
-            sizes = mixed.groupBy("sig", "component").agg(F.count("*").cast("double").alias("n")).groupBy("sig").agg(
-                F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"))
-            left = sizes.agg(F.sum("n").alias("rows"), F.sum((F.col("n") * F.col("n") - F.col("same")) / 2).alias("pairs")).first()
-            if not left["rows"]:
-                break
-            last = left["pairs"] <= PAIRS_PER_ROW * left["rows"] or turn > 0 and not grown
-            pairs = self._across(mixed) if last else self.possible(self._recentred(mixed, turn))
-            found = staged(found.unionByName(self.verified(staged(pairs, "pairs"), sets)).distinct(), "found")
-            grown, n_links = found.count() > n_links, found.count()
-            if grown:
-                comp = components(found)
-            if last:                          # every pair of a bucket is now linked, ruled out, or within a component
-                break
-            turn += 1
-        return found, comp
-
-    @staticmethod
-    def _recentred(mixed: DataFrame, turn: int) -> DataFrame:
-        """Star pairs around another centre of each bucket, for members of other components."""
-        pick = mixed.groupBy("sig").agg(F.min_by(F.struct("node", "component"), F.xxhash64("node", F.lit(turn))).alias("c"))
-        return mixed.join(pick, "sig").where("component != c.component").select(
-            F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b")).distinct()
-
-    def _across(self, mixed: DataFrame) -> DataFrame:
-        """All pairs of a bucket that lie in different components and that sizes and counters do not rule out."""
-        side = mixed.join(self.classes.select("node", "n", "sketch"), "node")
-        a = side.select("sig", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"),
-                        F.col("sketch").alias("sa"))
-        b = side.select(F.col("sig").alias("sig_b"), F.col("node").alias("b"), F.col("component").alias("cb"),
-                        F.col("n").alias("nb"), F.col("sketch").alias("sb"))
-        return a.join(b, (F.col("sig") == F.col("sig_b")) & (F.col("a") < F.col("b"))
-                      & (F.col("ca") != F.col("cb")) & self._bound()).select("a", "b").distinct()
+        comp = components(found)
+        labelled = staged(shared.join(comp, "node", "left").withColumn("component", F.coalesce("component", "node")), "labelled")
+        spread = labelled.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+        mixed = labelled.join(spread.where("lo != hi").select("sig"), "sig")
+        more = staged(self.verified(staged(self.across(mixed), "pairs"), sets), "found")
+        if more.isEmpty():
+            return found, comp
+        found = found.unionByName(more)
+        # components of the components: the new links join them
+        names = comp.select("node", "component")
+        ends = more.join(names.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left").join(
+            names.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left").select(
+            F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+        above = components(ends).withColumnRenamed("component", "above")
+        joined = names.join(above.withColumnRenamed("node", "component"), "component", "left").select(
+            "node", F.coalesce("above", "component").alias("component"))
+        single = above.select("node", F.col("above").alias("component")).join(names, "node", "left_anti")
+        return found, staged(joined.unionByName(single), "components")
 
     def groups(self) -> DataFrame:
         """doc_id, n_shingles, component_id for every row of the input."""
