@@ -33,6 +33,7 @@ from __future__ import annotations
 import math
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -46,11 +47,12 @@ BITS = 5                    # sampled steps per table
 WALKS = 5
 CLASS_RATIO = 1.5           # longest over shortest item of a size class
 BLOCK_BYTES = 8 << 20       # items per pass
-GROUP = 1 << 18             # short documents are searched together up to so many bytes
+GROUP = 1 << 16             # short documents are searched together up to so many bytes (their arrays stay in cache)
 SECTION = 1 << 20           # bytes of a long document that are searched at once
-GRAM_TABLE_BITS = 22        # at least; the table grows with the block of items
+GRAM_TABLE_BITS = 20        # at least; the table grows with the block of items
 
 _K = np.uint64(0x9E3779B97F4A7C15)
+_K32 = 0x9E3779B1
 
 
 def normalised(text: str | None) -> bytes:
@@ -63,40 +65,53 @@ def allowed_edits(length: int) -> int:
 
 
 def _gram_hashes(b: np.ndarray, q: int) -> np.ndarray:
-    """A hash of the q bytes at each place, by joining hashes of halves."""
+    """A 32-bit hash of the q bytes at each place, by joining hashes of halves."""
     n = len(b) - q + 1
     if n <= 0:
-        return np.empty(0, np.uint64)
-    power = {1: b.astype(np.uint64) + np.uint64(1)}
+        return np.empty(0, np.uint32)
+    power = {1: b.astype(np.uint32)}
     size = 1
     while size * 2 <= q:
         h = power[size]
-        power[size * 2] = h[:-size] * (_K + np.uint64(2 * size)) + (h[size:] ^ (h[size:] >> np.uint64(31)))
+        joined = h[:-size] * np.uint32(_K32 + 2 * size)
+        joined += h[size:] ^ (h[size:] >> np.uint32(15))
+        power[size * 2] = joined
         size *= 2
     out, at = power[size][:n], size
     while at < q:
         while at + size > q:
             size //= 2
-        out = out * (_K + np.uint64(at * 2 + 1)) + power[size][at:at + n]
+        out = out * np.uint32(_K32 + 2 * at + 16)
+        out += power[size][at:at + n]
         at += size
-    return (out ^ (out >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return (out ^ (out >> np.uint32(16))) * np.uint32(0x85EBCA6B)
+
+
+@lru_cache(maxsize=50_000)
+def _places(item: bytes) -> dict[int, int]:
+    """For each byte, the bit set of its places in the item."""
+    places: dict[int, int] = defaultdict(int)
+    for i, c in enumerate(item):
+        places[c] |= 1 << i
+    return dict(places)
 
 
 def edit_distance_to_prefix(item: bytes, text: bytes, most: int) -> tuple[int, int]:
     """(least edit distance of the item to a prefix of the text, that prefix's length), by bit-parallel columns.
 
-    Distances above ``most`` may be reported as any larger number.
+    Distances above ``most`` may be reported as any larger number: the score
+    falls by one a byte at most, so a column that cannot come down to it ends.
     """
     if text.startswith(item):
         return 0, len(item)
     n = len(item)
     full, top = (1 << n) - 1, 1 << (n - 1)
-    places: dict[int, int] = defaultdict(int)
-    for i, c in enumerate(item):
-        places[c] |= 1 << i
+    places = _places(item)
     up, down, score = full, 0, n
     best, best_end = n, 0
-    for j, c in enumerate(text[:n + most]):
+    text = text[:n + most]
+    slack = most + len(text) - 1
+    for j, c in enumerate(text):
         eq = places.get(c, 0)
         diagonal = (((eq & up) + up) ^ up) | eq | down
         rise, fall = down | ~(diagonal | up) & full, up & diagonal
@@ -108,6 +123,8 @@ def edit_distance_to_prefix(item: bytes, text: bytes, most: int) -> tuple[int, i
         up, down = fall | ~(diagonal | rise) & full, rise & diagonal
         if score < best:
             best, best_end = score, j + 1
+        if score > slack - j:
+            break
     return best, best_end
 
 
@@ -162,7 +179,7 @@ class Searcher:
         # the random functions of the walks: whether the pointer moves, by step and character
         self.moves = [rng.integers(0, 2, (longest_walk, 256)).astype(np.uint8) for _ in range(WALKS)]
         grams = sum(len(t) for t in self.texts)
-        self.bits = max(GRAM_TABLE_BITS, (64 * max(1, grams)).bit_length())
+        self.bits = min(30, max(GRAM_TABLE_BITS, (16 * max(1, grams)).bit_length()))
         self.tables: dict[int, np.ndarray] = {}
         for c in self.classes:
             table = self.tables.setdefault(c.q, np.zeros(1 << self.bits, bool))
@@ -183,16 +200,14 @@ class Searcher:
                     c.keys[w].append((k[order], np.asarray(c.members)[order]))
 
     def _slots(self, b: np.ndarray, q: int) -> np.ndarray:
-        return (_gram_hashes(b, q) >> np.uint64(64 - self.bits)).astype(np.int64)
+        return _gram_hashes(b, q) >> np.uint32(32 - self.bits)
 
     def _walk(self, data: np.ndarray, starts: np.ndarray, walk: int, steps: int) -> np.ndarray:
         """What the pointers from ``starts`` read at each step: (steps, rows)."""
-        out, at, moves, last = np.empty((steps, len(starts)), np.uint8), starts.copy(), self.moves[walk], len(data) - 1
+        out, at, moves = np.empty((steps, len(starts)), np.uint8), starts.copy(), self.moves[walk]
         for j in range(steps):
-            np.take(data, at, out=out[j])
-            at += moves[j][out[j]]
-            if not j & 63:
-                np.minimum(at, last - 64, out=at, where=at > last - 64)
+            data.take(at, out=out[j], mode="clip")
+            at += moves[j].take(out[j])
         return out
 
     def _open_windows(self, data: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:

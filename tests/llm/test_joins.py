@@ -135,7 +135,8 @@ def test_edit_distance_to_prefix():
     for _ in range(500):
         a = bytes(r.choice(b"abc") for _ in range(r.randint(1, 30)))
         b = bytes(r.choice(b"abc") for _ in range(r.randint(0, 40)))
-        assert decontam.edit_distance_to_prefix(a, b, 10)[0] == min(edit_rows(a, b[:len(a) + 10]))
+        got, want = decontam.edit_distance_to_prefix(a, b, 10)[0], min(edit_rows(a, b[:len(a) + 10]))
+        assert got == want if want <= 10 else got > 10
 
 
 def edited(text, edits, r):
