@@ -95,12 +95,20 @@ def transactions_history(keys: DataFrame, depenses_history: DataFrame, modified:
 
 
 def parties_history(keys: DataFrame, links: DataFrame, fournisseurs: DataFrame,
-                    fournisseurs_history: DataFrame, modified: Column) -> DataFrame:
-    """U11e: every archived supplier version, once per link row that names its neq."""
-    j = _joined_links(keys, links, fournisseurs).select("neq")
+                    fournisseurs_history: DataFrame, modified: Column, replicate: bool = False) -> DataFrame:
+    """U11e: every archived supplier version with the number of link rows that name its neq.
+
+    The reference writes one equal row per link; here ``multiplicity`` holds
+    their number (links are counted per neq before the join), and ``replicate``
+    turns it back into rows.
+    """
+    j = _joined_links(keys, links, fournisseurs).groupBy("neq").agg(F.count("*").alias("multiplicity"))
     fh = fournisseurs_history.where(F.col("neq").isNotNull())
-    return j.join(fh, "neq").select(
-        _supplier_id().alias("party_id"), _s("nomorganisation").alias("name"),
+    both = j.join(fh, "neq")
+    if replicate:
+        both = both.withColumn("multiplicity", F.explode(F.sequence(F.lit(1).cast("long"), F.col("multiplicity"))) * 0 + 1)
+    return both.select(
+        "multiplicity", _supplier_id().alias("party_id"), _s("nomorganisation").alias("name"),
         F.concat(_s("adresse1"), F.lit(" "), _s("adresse2")).alias("street_address"),
         _s("ville").alias("locality"), _s("province").alias("region"), _s("codepostal").alias("postal_code"),
         _s("pays").alias("country_name"), F.concat(F.lit('{"NEQ": "'), _s("neq"), F.lit('"}')).alias("details"),

@@ -8,7 +8,8 @@ upserts row by row. Here each target is one set-based plan:
   exact name (U9): the first candidate id of a name wins, address and details
   follow the last writer; names whose candidate id is taken are conflicts;
 * supplier links join suppliers on neq (J1, so neq-less links drop out);
-* bids, contracts and transactions are last-write-wins per key; awards
+* bids, contracts and transactions are last-write-wins per key, and every
+  superseded write is kept as history; awards
   (first policy only) are insert-if-absent on award_id = notice number, so the
   first winner's amounts stay and later winners only add supplier links;
 * the tenderer count per release is the number of joined links (A4).
@@ -34,6 +35,13 @@ def _s(c) -> F.Column:
     return F.coalesce(X.strip(F.col(c) if isinstance(c, str) else c), F.lit(""))
 
 
+def _versions(rows: DataFrame, key) -> tuple[DataFrame, DataFrame]:
+    """(last write per key, the writes it superseded): every update archives the row before it."""
+    cls = V.classify(rows, key, kind=None)
+    return (cls.where(F.col("state") == V.CURRENT).drop("state", "seq"),
+            cls.where(F.col("state") == V.HISTORY).drop("state", "seq"))
+
+
 def migrate(policy: Policy, avis: DataFrame, links: DataFrame, fournisseurs: DataFrame,
             contrats: DataFrame, depenses: DataFrame, existing_parties: DataFrame | None = None
             ) -> tuple[dict[str, DataFrame], DataFrame]:
@@ -72,7 +80,7 @@ def migrate(policy: Policy, avis: DataFrame, links: DataFrame, fournisseurs: Dat
         _s("pays").alias("country_name"),
         F.concat(F.lit('{"NEQ": "'), _s("neq"), F.lit('"}')).alias("details"),
         F.when(F.col("adjudicataire").cast("int") == 1, F.lit("supplier")).otherwise(F.lit("tenderer")).alias("role"),
-        F.struct(order.alias("n"), F.col("link_pos").cast("int").alias("p"), F.lit("").alias("c")).alias("seq"),
+        F.struct(order.alias("n"), F.col("link_pos").cast("int").alias("p"), _s("neq").alias("c")).alias("seq"),
         X.truthy_bit("admissible").alias("admissible"), X.truthy_bit("conforme").alias("conform"),
         F.coalesce(F.col("montantsoumis"), F.lit(0)).cast("decimal(15,2)").alias("value"),
         X.bid_unit(F.col("montantssoumisunite"), policy.bid_unit_blank_is_missing).alias("value_unit"),
@@ -129,14 +137,15 @@ def migrate(policy: Policy, avis: DataFrame, links: DataFrame, fournisseurs: Dat
         .withColumn("tender_procuring_entity_id", F.col("buyer_party_id"))
         .withColumn("tender_number_of_tenderers", F.coalesce(F.col("n"), F.lit(0)))
         .drop("buyer_party_id", "n"))
-    releases = V.current(releases, "ocid", kind=None).drop("seq")
+    releases, releases_old = _versions(releases, "ocid")
 
     # ---- bids, awards -------------------------------------------------------------
-    sw = supplier_w.join(resolved.select("ocid", "seq", "party_id"), ["ocid", "seq"])
-    bids = V.current(sw.select("party_id", "ocid", F.lit(None).cast("string").alias("related_lot"), "admissible",
-                               "conform", "value", "value_unit", "seq"), ["party_id", "ocid"], kind=None).drop("seq")
+    # one row per write position: equal links (same notice, place and neq) resolve to one party
+    sw = supplier_w.join(resolved.select("ocid", "seq", "party_id").distinct(), ["ocid", "seq"])
+    bids, bids_old = _versions(sw.select("party_id", "ocid", F.lit(None).cast("string").alias("related_lot"), "admissible",
+                                         "conform", "value", "value_unit", "seq"), ["party_id", "ocid"])
     out = {"releases": releases, "parties": parties, "release_parties": release_parties, "bids": bids,
-           "party_versions": party_versions}
+           "party_versions": party_versions, "releases_history": releases_old, "bids_history": bids_old}
     if policy.build_awards:
         win = sw.where("winner").join(notices.select(ocid.alias("ocid"), _s("numero").alias("award_id")), "ocid")
         first = win.groupBy("award_id").agg(F.min_by(F.struct("ocid", "award_amount", "award_total"), "seq").alias("f"))
@@ -150,19 +159,19 @@ def migrate(policy: Policy, avis: DataFrame, links: DataFrame, fournisseurs: Dat
     # ---- contracts (P18), transactions (P19), stubs (P20) ---------------------------
     pub, fin = X.strict_ts(F.col("datepublicationfinale")), X.strict_ts(F.col("datefinale"))
     period_end, signed = (pub, F.coalesce(fin, pub)) if policy.swap_dates else (F.coalesce(fin, pub), pub)
-    out["contracts"] = V.current(contracts.select(
+    out["contracts"], out["contracts_history"] = _versions(contracts.select(
         _s("numero").alias("contract_id"), ocid.alias("ocid"), X.contract_status("datepublicationfinale").alias("status"),
         period_end.alias("period_end_date"), F.coalesce(F.col("montantfinal"), F.lit(0)).cast("decimal(15,2)")
         .alias("value_amount"), signed.alias("date_signed"),
-        F.struct(order.alias("n"), _s("numero").alias("c")).alias("seq")), "contract_id", kind=None).drop("seq")
-    out["contract_transactions"] = V.current(expenses.select(
+        F.struct(order.alias("n"), _s("numero").alias("c")).alias("seq")), "contract_id")
+    out["contract_transactions"], out["contract_transactions_history"] = _versions(expenses.select(
         ocid.alias("ocid"), F.concat(F.lit(codes.TRANSACTION_PREFIX), _s("depense_id")).alias("transaction_id"),
         F.lit(None).cast("string").alias("contract_id"), _s("description").alias("source"),
         X.strict_ts(F.col("datedepense")).alias("date"),
         F.coalesce(F.col("montantdepense"), F.lit(0)).cast("decimal(15,2)").alias("value_amount"),
         F.lit(codes.DEFAULT_CURRENCY).alias("value_currency"),
         F.struct(order.alias("n"), _s("depense_id").alias("d")).alias("seq")),
-        ["ocid", "transaction_id"], kind=None).drop("seq")
+        ["ocid", "transaction_id"])
     if policy.stub_releases:
         out["stub_releases"] = stub_releases(notices, contracts, expenses)
     return out, conflicts
@@ -172,6 +181,11 @@ def migrate(policy: Policy, avis: DataFrame, links: DataFrame, fournisseurs: Dat
 CLEARED_HISTORIES = ["bids", "contract_transactions", "contracts", "parties", "release_parties", "releases"]
 
 
+def stub_rows(stubs: DataFrame) -> DataFrame:
+    """P20: stub releases as rows of ``releases``."""
+    return stubs.select("ocid", "release_id", "tag", F.lit("tender").alias("initiation_type"), F.lit("fr").alias("language"))
+
+
 def _empty_like(df: DataFrame) -> DataFrame:
     return df.limit(0)
 
@@ -218,6 +232,12 @@ def apply_to_target(policy: Policy, target: dict[str, DataFrame], migrated: dict
         superseded = tgt.join(new.select(*key), key, "left_semi").withColumn("modified_date", modified)
         return cur, superseded
 
+    def own_versions(name: str, key: list[str]) -> DataFrame:
+        """Versions that the migration itself superseded, with the columns it never writes."""
+        tgt, old = target[name], migrated[f"{name}_history"]
+        carried = [c for c in tgt.columns if c not in old.columns]
+        return old.join(tgt.select(*key, *carried), key, "left").withColumn("modified_date", modified)
+
     def insert_if_absent(name: str, key: list[str], rows: DataFrame | None = None) -> DataFrame:
         tgt = target[name]
         add = (rows if rows is not None else migrated[name]).join(tgt.select(*key), key, "left_anti")
@@ -232,10 +252,10 @@ def apply_to_target(policy: Policy, target: dict[str, DataFrame], migrated: dict
                                                               if c not in migrated["releases"].columns]),
                           "ocid", "left")
                     .withColumn("modified_date", modified))
-    delta = superseded.unionByName(intermediate, allowMissingColumns=True)
+    delta = (superseded.unionByName(intermediate, allowMissingColumns=True)
+             .unionByName(own_versions("releases", ["ocid"]), allowMissingColumns=True))
     if "stub_releases" in migrated:
-        stubs = migrated["stub_releases"].select("ocid", "release_id", "tag", F.lit("tender").alias("initiation_type"),
-                                                 F.lit("fr").alias("language"))
+        stubs = stub_rows(migrated["stub_releases"])
         cur = cur.unionByName(stubs.join(cur.select("ocid"), "ocid", "left_anti"), allowMissingColumns=True)
     finish("releases", cur, delta)
 
@@ -268,13 +288,15 @@ def apply_to_target(policy: Policy, target: dict[str, DataFrame], migrated: dict
             .unionByName(nb.join(tb.select("party_id", "ocid").distinct(), ["party_id", "ocid"], "left_anti"),
                          allowMissingColumns=True))
     bhist = tb.join(nb.select("party_id", "ocid"), ["party_id", "ocid"], "left_semi").withColumn("modified_date", modified)
-    finish("bids", bcur, bhist)
+    finish("bids", bcur, bhist.unionByName(migrated["bids_history"].withColumn("modified_date", modified),
+                                           allowMissingColumns=True))
 
     if "awards" in migrated:
         finish("awards", insert_if_absent("awards", ["award_id"]), None)
         finish("suppliers_awards", insert_if_absent("suppliers_awards", ["award_id", "supplier_id"]), None)
     for name, key in (("contracts", ["contract_id"]), ("contract_transactions", ["ocid", "transaction_id"])):
-        finish(name, *upsert(name, key))
+        cur, superseded = upsert(name, key)
+        finish(name, cur, superseded.unionByName(own_versions(name, key), allowMissingColumns=True))
     for name in target:
         if name not in out:
             out[name] = (target[name], hist_in.get(name))

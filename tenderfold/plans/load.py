@@ -94,7 +94,7 @@ def run_migration(spark: SparkSession, policy, staging_paths: dict[str, str], ou
     Writes ``out_root/current/<table>``, ``out_root/history/<table>`` and
     ``out_root/conflicts``; never overwrites the target it reads.
     """
-    from tenderfold.operators.migrate import apply_to_target, migrate
+    from tenderfold.operators.migrate import apply_to_target, migrate, stub_rows
 
     ts = F.lit(batch_ts).cast("timestamp_ntz") if batch_ts else F.localtimestamp()
     st = {k: spark.read.parquet(v) for k, v in staging_paths.items()}
@@ -112,9 +112,16 @@ def run_migration(spark: SparkSession, policy, staging_paths: dict[str, str], ou
     _write(conflicts, f"{out_root}/conflicts")
     paths["conflicts"] = f"{out_root}/conflicts"
     if target is None:
-        for name, df in mig.items():
-            if name != "party_versions":
+        releases = mig["releases"]
+        if "stub_releases" in mig:
+            stubs = stub_rows(mig["stub_releases"]).join(releases.select("ocid"), "ocid", "left_anti")
+            releases = releases.unionByName(stubs, allowMissingColumns=True)
+        _write(releases, f"{out_root}/current/releases")
+        for name in mig:
+            cleared = name.endswith("_history") and policy.clear_history
+            if name != "party_versions" and not cleared:
                 paths[name] = f"{out_root}/_migrated/{name}"
+        paths["releases"] = f"{out_root}/current/releases"
         return paths
     for name, (cur, h) in apply_to_target(policy, target, mig, ts, hist).items():
         _write(cur, f"{out_root}/current/{name}")

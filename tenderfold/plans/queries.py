@@ -202,7 +202,7 @@ def q_events_two_batch_fold(spark, sf_dir):
     cut = log.groupBy("user_id").agg(F.date_add(F.min("ts"), (F.pmod("user_id", F.lit(20)) + 1).cast("int")).alias("cut"))
     log = log.join(cut, "user_id").withColumn("early", F.to_date("ts") < F.col("cut")).drop("cut")
     b1, b2 = log.where("early").drop("early"), log.where("not early").drop("early")
-    cur1, hist1 = V.fold_increment(log.limit(0).drop("kind"), b1, "user_id")
+    cur1, hist1 = V.fold_increment(log.limit(0).drop("kind", "early"), b1, "user_id")
     cur2, hist2 = V.fold_increment(cur1.drop("kind"), b2, "user_id")
     return (cur2.select(*_EV_COLS).withColumn("state", F.lit(V.CURRENT))
             .unionByName(hist1.select(*_EV_COLS).withColumn("state", F.lit(V.HISTORY)))

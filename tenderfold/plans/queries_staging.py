@@ -135,44 +135,95 @@ def q_orphans_check(spark, sf_dir):
                                       "avis_fournisseurs", "fk_supplier")))
 
 
+# ------------------------------------------------------- P15-P19 migration (all-data policy)
+def _migrated(spark, sf_dir):
+    from tenderfold.operators.migrate import migrate
+    s = staging(spark, sf_dir, pending=True)
+    text = {k: s[k].withColumn("neq", F.col("neq").cast("string")) for k in ("avis_fournisseurs", "fournisseurs")}
+    return migrate(P.ALL_DATA, s["avis"], text["avis_fournisseurs"], text["fournisseurs"], s["contrats"], s["depenses"])[0]
+
+
+def _both(tables, name, cols):
+    """Current rows and the migration's own superseded versions."""
+    return (tables[name].select(*cols, F.lit("current").alias("state"))
+            .unionByName(tables[f"{name}_history"].select(*cols, F.lit("history").alias("state"))))
+
+
 @register("tenderer_count", with_staging("""
 SELECT 'ocds-ec9k95-' || CAST(a.numeroseao AS VARCHAR) AS ocid,
-       COALESCE(t.n, 0) AS tender_number_of_tenderers
+       CAST(COALESCE(t.n, 0) AS INTEGER) AS tender_number_of_tenderers
 FROM s_avis a LEFT JOIN (SELECT l.numeroseao, count(*) AS n
                          FROM s_links l JOIN s_fournisseurs f ON l.neq = f.neq
                          GROUP BY l.numeroseao) t ON a.numeroseao = t.numeroseao
-"""))
+""", pending=True))
 def q_tenderer_count(spark, sf_dir):
-    """A4 + J1: supplier links joined to suppliers on neq, counted per notice."""
-    s = staging(spark, sf_dir)
-    n = (s["avis_fournisseurs"].join(s["fournisseurs"].select("neq"), "neq")
-         .groupBy("numeroseao").agg(F.count(F.lit(1)).alias("n")))
-    return (s["avis"].select("numeroseao").join(n, "numeroseao", "left")
-            .select(F.concat(F.lit(codes.OCID_PREFIX), F.col("numeroseao").cast("string")).alias("ocid"),
-                    F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("tender_number_of_tenderers")))
+    """A4 + J1 + P15: the migrated releases' number of supplier links that join a supplier."""
+    return _migrated(spark, sf_dir)["releases"].select("ocid", "tender_number_of_tenderers")
+
+
+@register("migrate_releases", with_staging(f"""
+SELECT 'ocds-ec9k95-' || CAST(numeroseao AS VARCHAR) AS ocid, CAST(numero AS VARCHAR) AS release_id,
+       datepublication AS date, 'avis' AS tag,
+       {code_case("type", METHODS, codes.METHOD_DEFAULT, True)} AS tender_procurement_method,
+       {code_case("type", codes.METHOD_DETAILS, codes.METHOD_DETAILS_DEFAULT, True)} AS tender_procurement_method_details,
+       trim(split_part(categorieseao, '-', 1)) AS tender_item_id, titre AS tender_title,
+       'OP-' || min(CAST(numeroseao AS VARCHAR)) OVER (PARTITION BY organisme_key) AS tender_procuring_entity_id
+FROM s_avis
+""", pending=True))
+def q_migrate_releases(spark, sf_dir):
+    """P15 + P16 + U9: notices as releases; the buyer's id is the first one its name got."""
+    return _migrated(spark, sf_dir)["releases"].select(
+        "ocid", "release_id", "date", "tag", "tender_procurement_method", "tender_procurement_method_details",
+        "tender_item_id", "tender_title", "tender_procuring_entity_id")
+
+
+@register("migrate_bids", with_staging("""
+, w AS (SELECT 'FO-' || CAST(l.neq AS VARCHAR) AS party_id, 'ocds-ec9k95-' || CAST(l.numeroseao AS VARCHAR) AS ocid,
+               l.admissible, l.conforme AS conform, CAST(l.montantsoumis AS DECIMAL(15,2)) AS value, 'CAD' AS value_unit,
+               rank() OVER (PARTITION BY l.neq, l.numeroseao ORDER BY l.link_pos DESC) AS rk
+        FROM s_links l JOIN s_avis a ON l.numeroseao = a.numeroseao JOIN s_fournisseurs f ON l.neq = f.neq)
+SELECT party_id, ocid, admissible, conform, value, value_unit, CASE WHEN rk = 1 THEN 'current' ELSE 'history' END AS state FROM w
+""", pending=True).replace(")\n, w AS", "),\nw AS"))
+def q_migrate_bids(spark, sf_dir):
+    """P17 + U1 + U3: one bid per supplier and release; earlier links of the pair are history."""
+    return _both(_migrated(spark, sf_dir), "bids", ["party_id", "ocid", "admissible", "conform", "value", "value_unit"])
+
+
+@register("migrate_contracts", with_staging("""
+, w AS (SELECT CAST(numero AS VARCHAR) AS contract_id, 'ocds-ec9k95-' || CAST(numeroseao AS VARCHAR) AS ocid, 'active' AS status,
+               datefinale AS period_end_date, CAST(montantfinal AS DECIMAL(15,2)) AS value_amount,
+               rank() OVER (PARTITION BY numero ORDER BY CAST(numeroseao AS VARCHAR) DESC) AS rk
+        FROM s_contrats)
+SELECT contract_id, ocid, status, period_end_date, value_amount, CASE WHEN rk = 1 THEN 'current' ELSE 'history' END AS state FROM w
+""", pending=True).replace(")\n, w AS", "),\nw AS"))
+def q_migrate_contracts(spark, sf_dir):
+    """P18 + U3: contract numbers repeat across notices; the last notice's stays, the others are history."""
+    return _both(_migrated(spark, sf_dir), "contracts", ["contract_id", "ocid", "status", "period_end_date", "value_amount"])
+
+
+@register("migrate_transactions", with_staging("""
+SELECT 'ocds-ec9k95-' || CAST(l_orderkey AS VARCHAR) AS ocid,
+       'txn-' || concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS transaction_id,
+       'ligne' AS source, l_shipdate AS date, CAST(l_extendedprice AS DECIMAL(15,2)) AS value_amount, 'CAD' AS value_currency
+FROM lineitem WHERE l_returnflag = 'R'
+""", pending=True))
+def q_migrate_transactions(spark, sf_dir):
+    """P19 + A7 text: expenses as transactions."""
+    return _migrated(spark, sf_dir)["contract_transactions"].select(
+        "ocid", "transaction_id", "source", "date", "value_amount", "value_currency")
 
 
 @register("history_backfill", with_staging("""
-SELECT 'ocds-ec9k95-' || CAST(h.numeroseao AS VARCHAR) AS ocid, CAST(h.numero AS VARCHAR) AS contract_id,
-       h.datefinale AS date_signed, CAST(h.montantfinal AS DECIMAL(15,2)) AS value_amount,
-       'active' AS status, f.nomorganisation AS supplier_name
-FROM s_contrats h
-JOIN s_avis a ON h.numeroseao = a.numeroseao
-JOIN s_links l ON l.numeroseao = h.numeroseao AND l.link_pos = h.numero
-JOIN s_fournisseurs f ON l.neq = f.neq
-"""))
+SELECT 'FO-' || CAST(f.neq AS VARCHAR) AS party_id, f.nomorganisation AS name, t.n AS multiplicity
+FROM s_fournisseurs f JOIN (SELECT l.neq, count(*) AS n FROM s_links l JOIN s_avis a ON l.numeroseao = a.numeroseao
+                            GROUP BY l.neq) t ON t.neq = f.neq
+""", pending=True))
 def q_history_backfill(spark, sf_dir):
-    """U11 + J11 + J12: staged contract versions of migrated notices become
-    contract history rows, fanned out through the supplier link and supplier."""
-    s = staging(spark, sf_dir)
-    h = s["contrats"].join(s["avis"].select("numeroseao"), "numeroseao")
-    links = s["avis_fournisseurs"].withColumnRenamed("link_pos", "numero")
-    h = h.join(links, ["numeroseao", "numero"]).join(s["fournisseurs"], "neq")
-    return h.select(F.concat(F.lit(codes.OCID_PREFIX), F.col("numeroseao").cast("string")).alias("ocid"),
-                    F.col("numero").cast("string").alias("contract_id"),
-                    F.col("datefinale").alias("date_signed"),
-                    F.col("montantfinal").cast("decimal(15,2)").alias("value_amount"),
-                    F.lit("active").alias("status"), F.col("nomorganisation").alias("supplier_name"))
+    """U11e + J12: archived supplier versions with the number of links that name them."""
+    s = staging(spark, sf_dir, pending=True)
+    text = {k: s[k].withColumn("neq", F.col("neq").cast("string")) for k in ("avis_fournisseurs", "fournisseurs")}
+    h = BF.parties_history(_backfill_keys(s), text["avis_fournisseurs"], text["fournisseurs"], text["fournisseurs"], _mod())
+    return h.select("party_id", "name", "multiplicity")
 
 
 @register("file_period_order", """
@@ -297,10 +348,10 @@ SELECT 'ocds-ec9k95-' || CAST(numeroseao AS VARCHAR) AS ocid, CAST(numero AS VAR
        'OP-' || CAST(numeroseao AS VARCHAR) AS tender_procuring_entity_id,
        trim(split_part(categorieseao, '-', 1)) AS tender_item_id, titre AS tender_title
 FROM s_avis
-"""))
+""", pending=True))
 def q_backfill_releases_history(spark, sf_dir):
     """U11a + J11: archived notices of migrated releases become release versions."""
-    s = staging(spark, sf_dir)
+    s = staging(spark, sf_dir, pending=True)
     h = BF.releases_history(_backfill_keys(s), s["avis"], _mod())
     return h.select("ocid", "release_id", "date", "tag", "tender_procurement_method",
                     "tender_procurement_method_details", "tender_main_procurement_category",
@@ -313,10 +364,10 @@ SELECT 'FO-' || CAST(l.neq AS VARCHAR) AS party_id, 'ocds-ec9k95-' || CAST(l.num
        l.admissible, l.conforme AS conform, CAST(l.montantsoumis AS DECIMAL(15,2)) AS value, 'CAD' AS value_unit
 FROM s_links l JOIN s_avis a ON l.numeroseao = a.numeroseao
 JOIN (SELECT DISTINCT neq FROM s_fournisseurs) f ON l.neq = f.neq
-"""))
+""", pending=True))
 def q_backfill_bids_history(spark, sf_dir):
     """U11b + J1: one bid version per link row of a migrated notice."""
-    s = staging(spark, sf_dir)
+    s = staging(spark, sf_dir, pending=True)
     links = s["avis_fournisseurs"].withColumn("neq", F.col("neq").cast("string"))
     four = s["fournisseurs"].withColumn("neq", F.col("neq").cast("string"))
     return BF.bids_history(_backfill_keys(s), links, four, _mod()).drop("modified_date", "related_lot")
@@ -327,8 +378,8 @@ SELECT CAST(c.numero AS VARCHAR) AS contract_id, 'ocds-ec9k95-' || CAST(c.numero
        'active' AS status, CAST(NULL AS TIMESTAMP) AS period_end_date,
        CAST(c.montantfinal AS DECIMAL(15,2)) AS value_amount, c.datefinale AS date_signed
 FROM s_contrats c JOIN s_avis a ON c.numeroseao = a.numeroseao
-"""))
+""", pending=True))
 def q_backfill_contracts_history(spark, sf_dir):
     """U11c + J11: archived contracts of migrated notices (swapped dates)."""
-    s = staging(spark, sf_dir)
+    s = staging(spark, sf_dir, pending=True)
     return BF.contracts_history(_backfill_keys(s), s["contrats"], _mod()).drop("modified_date")

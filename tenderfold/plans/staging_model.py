@@ -34,16 +34,22 @@ def _category(col: str) -> F.Column:
     return out.otherwise(expr)
 
 
-def staging(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def staging(spark: SparkSession, sf_dir: str, pending: bool = False) -> dict[str, DataFrame]:
+    """The staging tables. Pending orders are no notices (so that contracts and
+    expenses without a notice exist) unless ``pending`` asks for all."""
+    none = lambda *names: [F.lit(None).cast("string").alias(c) for c in names]
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    avis = (orders.where(F.col("o_orderstatus") != "P")
+    avis = (orders.where(F.lit(pending) | (F.col("o_orderstatus") != "P"))
             .select(F.col("o_orderkey").alias("numeroseao"), F.col("o_orderkey").alias("numero"),
                     F.col("o_custkey").alias("organisme_key"), _category("o_orderpriority").alias("categorieseao"),
                     F.col("o_orderdate").alias("datepublication"), F.col("o_orderpriority").alias("titre"),
                     F.substring("o_orderpriority", 1, 1).alias("type"),
                     *[F.lit(None).cast("string").alias(c) for c in
-                      ("nature", "precision", "hyperlienseao", "unspscprincipale", "disposition")],
+                      ("nature", "precision", "hyperlienseao", "unspscprincipale", "disposition", "adresse1", "adresse2",
+                       "ville", "province", "codepostal", "pays")],
+                    F.concat(F.lit("Client "), F.col("o_custkey").cast("string")).alias("organisme"),
+                    F.lit(0).alias("municipal"),
                     F.lit(None).cast("timestamp_ntz").alias("datefermeture")))
     contrats = (li.where(F.col("l_linestatus") == "O")
                 .select(F.col("l_orderkey").alias("numeroseao"), F.col("l_linenumber").alias("numero"),
@@ -52,16 +58,21 @@ def staging(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
                         F.lit(None).cast("timestamp_ntz").alias("datepublicationfinale")))
     depenses = (li.where(F.col("l_returnflag") == "R")
                 .select(F.col("l_orderkey").alias("numeroseao"), F.col("l_linenumber").alias("numero"),
-                        F.col("l_shipdate").alias("datedepense"),
+                        F.col("l_shipdate").alias("datedepense"), F.lit("ligne").alias("description"),
+                        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("depense_id"),
                         F.col("l_extendedprice").cast("decimal(18,2)").alias("montantdepense")))
     links = li.select(F.col("l_orderkey").alias("numeroseao"), F.col("l_suppkey").alias("neq"),
                       F.col("l_linenumber").alias("link_pos"),
                       F.when(F.col("l_linestatus") == "F", 1).otherwise(0).alias("admissible"),
                       F.when(F.col("l_returnflag") == "N", 1).otherwise(0).alias("conforme"),
                       F.col("l_extendedprice").cast("decimal(18,2)").alias("montantsoumis"),
+                      F.when(F.col("l_linestatus") == "F", 1).otherwise(0).alias("adjudicataire"),
+                      F.col("l_extendedprice").cast("decimal(18,2)").alias("montantcontrat"),
+                      F.col("l_extendedprice").cast("decimal(18,2)").alias("montanttotalcontrat"),
                       F.lit(None).cast("string").alias("montantssoumisunite"))
     fournisseurs = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(
-        F.col("s_suppkey").alias("neq"), F.col("s_name").alias("nomorganisation"))
+        F.col("s_suppkey").alias("neq"), F.col("s_name").alias("nomorganisation"),
+        *none("adresse1", "adresse2", "ville", "province", "pays", "codepostal"))
     return {"avis": avis, "contrats": contrats, "depenses": depenses,
             "avis_fournisseurs": links, "fournisseurs": fournisseurs}
 
@@ -90,8 +101,10 @@ s_fournisseurs AS (SELECT s_suppkey AS neq, s_name AS nomorganisation FROM suppl
 """
 
 
-def with_staging(body: str, extra: str = "") -> str:
+def with_staging(body: str, extra: str = "", pending: bool = False) -> str:
     ctes = STAGING_SQL.strip()
+    if pending:
+        ctes = ctes.replace("FROM orders WHERE o_orderstatus <> 'P'", "FROM orders")
     if extra:
         ctes += ",\n" + extra.strip()
     return f"WITH {ctes}\n{body.strip()}"
