@@ -157,3 +157,44 @@ def test_construction_variant(spark, tmp_path):
     assert [x.contract_id for x in t["contracts"].collect()] == ["K1C"]
     assert t["parties"].count() == 0 and t["release_parties"].count() == 0
     assert [x.status for x in t["awards"].collect()] == ["placeholder"]     # empty awardID placeholder
+
+
+def _fold_texts(spark, docs):
+    import json as _json
+    from tenderfold.operators.release_fold import fold_release_events
+    from tenderfold.sources import release_json as RJ
+    df = spark.createDataFrame([(n, _json.dumps({"releases": [d]})) for n, d in docs], "file_name string, value string")
+    files = RJ.releases_from_text(df)
+    return fold_release_events(RJ.release_events(RJ.explode_releases(files)), batch_ts="2024-01-01 00:00:00",
+                               file_rejects=RJ.file_rejects(files), materialize=lambda d, _n: d.checkpoint())
+
+
+def test_rejection_depends_on_committed_files_only(spark):
+    party = {"id": "P9", "name": "N", "roles": ["tenderer"]}
+    # A is rolled back, so B's bid has no party: it is skipped, and its unknown lot does not matter
+    a = {"ocid": "a", "parties": [party], "contracts": [{"id": "CA", "awardID": "x", "value": {"amount": "abc"}}]}
+    b = {"ocid": "b", "bids": [{"id": "P9", "relatedLots": ["nowhere"], "value": 1}]}
+    # C has the party: its bid on an unknown lot fails; D brings a lot but fails for C's reason; E needs D's lot
+    c = {"ocid": "c", "parties": [party], "bids": [{"id": "P9", "relatedLots": ["nowhere"]}]}
+    d = {"ocid": "d", "tender": {"lots": [{"id": "LD"}]}, "parties": [party], "bids": [{"id": "P9", "relatedLots": ["nowhere"]}]}
+    e = {"ocid": "e", "parties": [party], "bids": [{"id": "P9", "relatedLots": ["LD"]}]}
+    f = {"ocid": "f", "tender": {"lots": [{"id": "LF"}]}, "parties": [party], "bids": [{"id": "P9", "relatedLots": ["LF"]}]}
+    g = {"ocid": "g", "bids": [{"id": "P9", "relatedLots": ["LF"]}]}
+    docs = [(f"w_2021010{i}_2021010{i}.json", x) for i, x in enumerate((a, b, c, d, e, f, g), 1)]
+    tables, rejects = _fold_texts(spark, docs)
+    why = {(r.file_name[9], r.reason) for r in rejects.collect()}
+    assert why == {("1", "contracts_amount_not_numeric"), ("2", "bid_party_missing"), ("3", "bid_related_lot_unknown"),
+                   ("4", "bid_related_lot_unknown"), ("5", "bid_related_lot_unknown")}
+    assert rows(tables["releases"][0], "ocid") == [("b",), ("f",), ("g",)]
+
+
+def test_repeated_lot_wide_key_and_bad_numbers(spark):
+    doc = {"ocid": "x" * 300, "tender": {"lots": [{"id": "L"}], "numberOfTenderers": "many", "tenderPeriod": {"durationInDay": "2147483647"}},
+           "parties": [{"id": "P", "name": " N\t", "roles": []}],
+           "bids": [{"id": "P", "relatedLots": ["L", "L"], "value": 1, "admissible": "maybe"}]}
+    tables, rejects = _fold_texts(spark, [("w_20210101_20210107.json", doc)])
+    assert tables["bids"][0].count() == 1 and tables["bids"][1].count() == 1
+    assert tables["releases"][0].first().tender_duration_in_days == 2147483647
+    assert tables["parties"][0].first()["name"] == "N"
+    assert {r.reason for r in rejects.collect()} == {"releases_ocid_too_long", "releases_tenderers_not_a_number",
+                                                     "bids_admissible_not_a_bit"}
