@@ -24,8 +24,10 @@ shingles are frequent is counted over all documents; the list is bounded
 Steps: (1) equal sets form a class; (2) one document of each class is
 signed, and signatures are combined within a task before the shuffle;
 (3) each bucket of a shared signature is a star around its least member, and
-the star pairs are verified on the whole sets; (4) in buckets whose members are
-not all in one component yet, members of different components are compared.
+the star pairs are verified on the whole sets; then, where a bucket holds
+members of several components, each member and the nearest member of each
+larger component are tried as a bridge; (4) in buckets whose members are still
+not all in one component, all members of different components are compared.
 Most of those are not similar enough, and a parity sketch (a bit per cell that
 tells whether an odd number of shingles fell into it) rules them out: two
 sketches never differ in more bits than the sets in shingles. Large buckets
@@ -171,9 +173,13 @@ def _folded(sketch: bytes, size: int) -> np.ndarray:
     return np.bitwise_xor.reduce(np.frombuffer(sketch, np.uint64).reshape(-1, size // 8), axis=0)
 
 
-def _close(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, percent: int) -> np.ndarray:
-    """Whether sizes and sketches (equal width) leave open that the sets reach the threshold."""
-    apart = np.bitwise_count(a ^ b).sum(axis=-1, dtype=np.int64)
+def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Bits in which sketches of equal width differ: never more than the sets differ in shingles."""
+    return np.bitwise_count(a ^ b).sum(axis=-1, dtype=np.int64)
+
+
+def _close(apart: np.ndarray, na: np.ndarray, nb: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sizes and sketches leave open that the sets reach the threshold."""
     return (np.minimum(na, nb) * 100 >= np.maximum(na, nb) * percent) & (apart * (100 + percent) <= (na + nb) * (100 - percent))
 
 
@@ -304,50 +310,77 @@ def _possible_task(percent: int):
             open_ = []
             for x, y, m, n in zip(sa.to_pylist(), sb.to_pylist(), na.to_pylist(), nb.to_pylist()):
                 width = min(len(x), len(y))
-                open_.append(bool(_close(_folded(x, width), _folded(y, width), m, n, percent)))
+                open_.append(bool(_close(_apart(_folded(x, width), _folded(y, width)), m, n, percent)))
             keep = pa.array(open_, pa.bool_())
             yield pa.record_batch([a.filter(keep), b.filter(keep)], names=["a", "b"])
     return run
 
 
-def _across_task(percent: int):
+def _across_task(percent: int, nearest: bool):
     """Pairs (a, b) of one block pair in different components that sizes and sketches leave open.
 
+    With ``nearest`` only the nearest one (by the sketches) of each member and
+    each component that is larger in this block pair: one link joins them.
     Rows come sorted by (sig, block, other); a member's side is 0 or 1 where
     two blocks meet. A block holds about BLOCK_ROWS rows, whatever the bucket.
     """
-    def pairs(rows: list[tuple]) -> pa.RecordBatch | None:
+    def pairs(rows: list[tuple]) -> np.ndarray | None:
         node, comp, n, sketch, side = zip(*rows)
         width = min(map(len, sketch))
         m = np.stack([_folded(x, width) for x in sketch])
         node, comp, n, side = (np.array(x) for x in (node, comp, n, side))
-        two = side.any()
+        two, place = side.any(), np.arange(len(node))
+        _, number, count = np.unique(comp, return_inverse=True, return_counts=True)
+        rank = np.empty(len(count), np.int64)
+        rank[np.lexsort((np.arange(len(count)), count))] = np.arange(len(count))
+        rank = rank[number]                                   # larger components have higher ranks
         left, right = [], []
-        for i in range(len(node) - 1):
-            if two and side[i]:
-                continue
-            rest = slice(0, len(node)) if two else slice(i + 1, len(node))
-            ok = (comp[rest] != comp[i]) & _close(m[rest], m[i], n[rest], n[i], percent)
+        for i in range(len(node)):
+            # each pair is looked at from one of its ends
+            ok = (rank > rank[i]) if nearest else (comp != comp[i]) & (place > i)
             if two:
-                ok &= side == 1
-            hit = node[rest][ok]
-            left.append(np.minimum(hit, node[i]))
-            right.append(np.maximum(hit, node[i]))
-        if not left or not sum(map(len, left)):
+                ok &= side != side[i]
+            at = np.flatnonzero(ok)
+            if not len(at):
+                continue
+            apart = _apart(m[at], m[i])
+            close = _close(apart, n[at], n[i], percent)
+            at, apart = at[close], apart[close]
+            if nearest and len(at):
+                order = np.lexsort((apart, rank[at]))
+                at = at[order][np.r_[True, np.diff(rank[at][order]) != 0]]
+            left.append(np.minimum(node[at], node[i]))
+            right.append(np.maximum(node[at], node[i]))
+        if not sum(map(len, left)):
             return None
-        return pa.record_batch([pa.array(np.concatenate(left)), pa.array(np.concatenate(right))], names=["a", "b"])
+        return np.stack([np.concatenate(left), np.concatenate(right)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, rows = None, []
-        for batch in batches:
-            for *group, node, comp, n, sketch, side in zip(*(c.to_pylist() for c in batch.columns)):
-                if group != key:
-                    if len(rows) > 1 and (out := pairs(rows)) is not None:
-                        yield out
-                    key, rows = group, []
-                rows.append((node, comp, n, sketch, side))
-        if len(rows) > 1 and (out := pairs(rows)) is not None:
-            yield out
+        key, rows, held, size = None, [], [], 0
+
+        def flush() -> pa.RecordBatch:
+            both = np.unique(np.concatenate(held, axis=1), axis=1)      # a pair meets in many buckets
+            return pa.record_batch([pa.array(both[0]), pa.array(both[1])], names=["a", "b"])
+
+        def groups() -> Iterator[list[tuple]]:
+            nonlocal key, rows
+            for batch in batches:
+                for *group, node, comp, n, sketch, side in zip(*(c.to_pylist() for c in batch.columns)):
+                    if group != key:
+                        yield rows
+                        key, rows = group, []
+                    rows.append((node, comp, n, sketch, side))
+            yield rows
+
+        for members in groups():
+            if len(members) > 1 and (out := pairs(members)) is not None:
+                held.append(out)
+                size += out.shape[1]
+                if size >= BATCH_SIGNATURES:
+                    yield flush()
+                    held, size = [], 0
+        if held:
+            yield flush()
     return run
 
 
@@ -408,8 +441,8 @@ class JaccardJoin:
             F.least("na", "nb") * 100 >= F.greatest("na", "nb") * self.percent)
         return both.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(_possible_task(self.percent), "a long, b long")
 
-    def across(self, mixed: DataFrame) -> DataFrame:
-        """All pairs of a bucket that lie in different components and are not ruled out, block by block."""
+    def across(self, mixed: DataFrame, nearest: bool) -> DataFrame:
+        """Pairs of a bucket that lie in different components and are not ruled out, block by block: the nearest or all."""
         sized = mixed.join(mixed.groupBy("sig").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks")), "sig")
         own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
         rows = (sized.join(self.classes.select("node", "n", "sketch"), "node").withColumn("own", own)
@@ -417,7 +450,7 @@ class JaccardJoin:
                 .select("sig", F.least("own", "met").alias("block"), F.greatest("own", "met").alias("other"),
                         "node", "component", "n", "sketch", (F.col("own") > F.col("met")).cast("int").alias("side")))
         dealt = rows.repartition("sig", "block", "other").sortWithinPartitions("sig", "block", "other")
-        return dealt.mapInArrow(_across_task(self.percent), "a long, b long").distinct()
+        return dealt.mapInArrow(_across_task(self.percent, nearest), "a long, b long").distinct()
 
     def links(self) -> tuple[DataFrame, DataFrame]:
         """(links a-b between classes that suffice for the components, node -> component)."""
@@ -431,23 +464,32 @@ class JaccardJoin:
             _sets_task(self.size), "node long, items array<long>"), "sets")
         found = staged(self.verified(candidates, sets), "found")
         comp = components(found)
+        # one link is enough to join two components: the nearest members first, then all that is left
+        for nearest in (True, False):
+            more = staged(self.verified(staged(self.across(self.mixed(shared, comp), nearest), "pairs"), sets), "found")
+            found, comp = found.unionByName(more), self.joined(comp, more)
+        return found, comp
+
+    def mixed(self, shared: DataFrame, comp: DataFrame) -> DataFrame:
+        """(sig, node, component) of the buckets whose members are in several components."""
         labelled = staged(shared.join(comp, "node", "left").withColumn("component", F.coalesce("component", "node")), "labelled")
         spread = labelled.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-        mixed = labelled.join(spread.where("lo != hi").select("sig"), "sig")
-        more = staged(self.verified(staged(self.across(mixed), "pairs"), sets), "found")
-        if more.isEmpty():
-            return found, comp
-        found = found.unionByName(more)
-        # components of the components: the new links join them
-        names = comp.select("node", "component")
-        ends = more.join(names.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left").join(
-            names.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left").select(
+        return labelled.join(spread.where("lo != hi").select("sig"), "sig")
+
+    @staticmethod
+    def joined(comp: DataFrame, links: DataFrame) -> DataFrame:
+        """The components after more links: components of the components."""
+        if links.isEmpty():
+            return comp
+        name = comp.select("node", "component")
+        ends = links.join(name.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left").join(
+            name.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left").select(
             F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
         above = components(ends).withColumnRenamed("component", "above")
-        joined = names.join(above.withColumnRenamed("node", "component"), "component", "left").select(
+        old = name.join(above.withColumnRenamed("node", "component"), "component", "left").select(
             "node", F.coalesce("above", "component").alias("component"))
-        single = above.select("node", F.col("above").alias("component")).join(names, "node", "left_anti")
-        return found, staged(joined.unionByName(single), "components")
+        new = above.select("node", F.col("above").alias("component")).join(name, "node", "left_anti")
+        return staged(old.unionByName(new), "components")
 
     def groups(self) -> DataFrame:
         """doc_id, n_shingles, component_id for every row of the input."""
