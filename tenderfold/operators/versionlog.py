@@ -21,7 +21,8 @@ no-change one). The same outcome as sets:
 Plan: one grouped aggregate per key (``min(seq)`` and ``max(seq)`` over
 upserts, combined map-side, so a hot key never gathers in one task), joined
 back to the log on the key. The log is shuffled once; AQE's skew-join split
-handles a key that holds a large share of rows. No window, no per-key sort.
+handles a key that holds a large share of rows. There is no window; the struct
+minimum and maximum are sort-based aggregates.
 """
 
 from __future__ import annotations

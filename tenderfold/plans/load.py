@@ -67,6 +67,9 @@ def load_xml_staging(spark: SparkSession, src: str, out_root: str, batch_ts: str
 
     ts = F.lit(batch_ts).cast("timestamp_ntz") if batch_ts else F.localtimestamp()
     files = NX.read_xml_files(spark, src)
+    _write(NX.file_rejects(files), f"{out_root}/rejects")
+    rejects = spark.read.parquet(f"{out_root}/rejects")
+    files = files.join(rejects.select("file_name").distinct(), "file_name", "left_anti")
     _write(NX.avis_rows(files), f"{out_root}/_parsed/avis")          # parse the notices once
     n, s, l = NX.avis_events(files, ts, rows=spark.read.parquet(f"{out_root}/_parsed/avis"))
     raw = {"avis": n, "fournisseurs": s, "avis_fournisseurs": l,
@@ -77,7 +80,7 @@ def load_xml_staging(spark: SparkSession, src: str, out_root: str, batch_ts: str
         staged[name] = spark.read.parquet(f"{out_root}/_events/{name}")
     out = fold_staging(staged["avis"], staged["fournisseurs"], staged["avis_fournisseurs"],
                        staged["contrats"], staged["depenses"], ts)
-    paths = {}
+    paths = {"rejects": f"{out_root}/rejects"}
     for name, (cur, hist) in out.items():
         _write(cur, f"{out_root}/current/{name}")
         paths[name] = f"{out_root}/current/{name}"
