@@ -90,6 +90,11 @@ order 20231105 was sent with 3 items of 75 each
 the score was 3-2 after 90 minutes and 4 more
 ABC News and NASA said that the BBC and CNN agree
 @someone wrote that #this is a day for @others
+the file report2 and draft3 are in folder7 beside mp3 and h2o
+river12 stone3. green27 walks under9 bridge31 near the old water8
+children5 play36 games18. until evening22 falls4 birds39 sing14 softly.
+covid19 and web2 and 3d and 4k and a4 paper, B2B and G7 and Q3
+edit482913 or build20231 or item77 of model x200 and room 12b
 Donaudampfschifffahrt and Ezciónciónciíja, onhereingbletion. Ertzschöchgeteber
 Cióndociónmente Unerschöpflichkeit, Antidisestablishment. intercontinental
 """
