@@ -40,7 +40,9 @@ def _sized(docs: DataFrame) -> DataFrame:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = docs.select(F.struct("*").alias("_row"), "text")
-    kept = line_rules.judge(rows).where("kept")
+    judged = line_rules.judge(rows).select(F.struct("_row", "clean_text", "kept").alias("j"))
+    # a generator between the verdict and the filter: else the optimizer judges each text twice, for both of them
+    kept = judged.select(F.explode(F.array("j")).alias("j")).where("j.kept").select("j.*")
     return _sized(kept.select(F.col("_row").withField("text", F.col("clean_text")).alias("_row")).select("_row.*"))
 
 
