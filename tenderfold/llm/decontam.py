@@ -4,28 +4,40 @@ Texts and items are lower-cased and their white space is made one space. A
 document leaks an item if some stretch of it that starts at a word is within
 ``EDIT_PERCENT`` edits (of the item's length, counted on UTF-8 bytes).
 
-The windows to compare are the stretches of an item's size at every word.
-(1) A window within k edits of an item of length L keeps at least
+An item of more than ``STRETCH`` bytes is looked for by several stretches of
+at most about that size, which begin at its words and together make up the
+item: if the item has k edits, one of them has no more than its share of k.
+(Walks drift apart with every edit, so one walk over a long item would seldom
+agree.) In a word of more than ``LONG_WORD`` bytes stretches also begin at
+places chosen by the bytes there. Below, a piece is such a stretch or a whole
+shorter item.
+
+The windows to compare are the stretches of a piece's size at every word.
+(1) A window within k edits of a piece of length L keeps at least
 L - q + 1 - k q of its q-grams, so a window in which fewer of its q-grams
-belong to any item is ruled out (lossless). (2) The CGK random walk reads a
+belong to any piece is ruled out (lossless). (2) The CGK random walk reads a
 window with a pointer that stays or moves on by a random function of step and
 character; what it reads at each step is the embedding, and few edits change
 few steps. The walk of a window does not depend on where the window ends, so
-one walk serves all item sizes. (3) Bit sampling draws ``BITS`` steps of the
-walk per table, among the steps that stay inside the shortest item of a size
-class; windows and items that agree on them in any table are candidates. The
-number of tables per walk follows from the target recall and the agreement
-that pairs at the edit bound keep; ``WALKS`` independent walks are drawn.
+one walk serves all sizes. (3) Bit sampling draws ``BITS`` steps of the
+walk per table, among the steps that stay inside the shortest piece of a size
+class; windows and pieces that agree on them in any table are candidates. The
+number of tables per walk follows, for each size class, from the target recall
+and the agreement measured on edited copies of its pieces at the edit bound
+(the least of mixed edits, replacements, deletions and insertions);
+``WALKS`` independent walks are drawn.
 (4) Every candidate is verified by the exact edit distance of the item to the
-best-ending stretch at that word.
+best-ending stretch at that word. If a piece of a longer item is found, the
+item is compared at every word at which it could begin.
 
 All documents are read in one pass without a shuffle; the items are the stated
 query set. They go to the tasks in blocks of bounded size, one pass for each.
 
 Defined results: NULL or empty texts and items match nothing. Items with equal
 text are all reported. Rows are one per document and item, with the least
-distance, the first such place and the number of separate places. A repeated
-doc_id is reported once per row.
+distance, the first such place and the number of separate places (of
+overlapping places of a longer item the one with the least distance counts). A
+repeated doc_id is reported once per row.
 """
 
 from __future__ import annotations
@@ -42,9 +54,12 @@ from pyspark.sql import DataFrame, functions as F
 EDIT_PERCENT = 5
 GRAM = 10                   # longest q-gram of the window filter; shorter for short items
 RECALL = 0.97               # of the sampling, for a pair at the edit bound
-AGREEMENT = 0.6            # share of walk steps on which such a pair agrees (measured in the tests)
+TRIALS = 200                # edited copies per kind of edit by which a size class measures its agreement
+MOST_TABLES = 40            # per walk, for pieces that cannot reach the recall (walks that agree nowhere)
 BITS = 5                    # sampled steps per table
 WALKS = 5
+STRETCH = 192               # longer items are looked for by stretches of at most about this size
+LONG_WORD = 64              # longer words have places inside at which a stretch may begin
 CLASS_RATIO = 1.5           # longest over shortest item of a size class
 BLOCK_BYTES = 8 << 20       # items per pass
 GROUP = 1 << 16             # short documents are searched together up to so many bytes (their arrays stay in cache)
@@ -128,21 +143,100 @@ def edit_distance_to_prefix(item: bytes, text: bytes, most: int) -> tuple[int, i
     return best, best_end
 
 
+def distances_from(item: bytes, text: bytes, most: int, width: int) -> list[int]:
+    """For the first ``width`` places of the text, the least edit distance of the item to a stretch that starts there.
+
+    One bit-parallel search of the item in the text, both from their ends.
+    Distances above ``most`` may be reported as any larger number.
+    """
+    n = len(item)
+    full, top = (1 << n) - 1, 1 << (n - 1)
+    places: dict[int, int] = defaultdict(int)
+    for c in set(item):
+        places[c] = int(item.translate(bytes(49 if x == c else 48 for x in range(256))), 2)     # bit i: the i-th byte from the end
+    out = [most + 1] * width
+    up, down, score = full, 0, n
+    for j in range(len(text) - 1, -1, -1):
+        eq = places.get(text[j], 0)
+        diagonal = (((eq & up) + up) ^ up) | eq | down
+        rise, fall = down | ~(diagonal | up) & full, up & diagonal
+        if rise & top:
+            score += 1
+        elif fall & top:
+            score -= 1
+        rise, fall = rise << 1 & full, fall << 1 & full
+        up, down = fall | ~(diagonal | rise) & full, rise & diagonal
+        if j < width:
+            out[j] = score
+        if score > most + j:
+            break
+    return out
+
+
+def _word_starts(b: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.flatnonzero((b[:-1] == 32) | (b[:-1] == 10)) + 1]) if len(b) else np.empty(0, np.int64)
+
+
+def _inner_starts(b: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Places inside long words at which a stretch may begin: chosen by the bytes there, so a copy has the same."""
+    if not len(words) or np.diff(words, append=len(b)).max() <= LONG_WORD:
+        return np.empty(0, np.int64)
+    at = np.flatnonzero(_gram_hashes(b, 4) >> np.uint32(28) == 0)
+    return at[at - words[np.searchsorted(words, at, side="right") - 1] >= LONG_WORD]
+
+
+def pieces(item: bytes) -> list[tuple[int, bytes]]:
+    """(offset, stretch) of the stretches by which an item is looked for; together they make up the item."""
+    if len(item) <= STRETCH:
+        return [(0, item)]
+    b = np.frombuffer(item, np.uint8)
+    words = _word_starts(b)
+    starts = np.unique(np.concatenate([words, _inner_starts(b, words)]))
+    goals = np.arange(0, len(item), len(item) / math.ceil(len(item) / STRETCH))
+    above = np.minimum(np.searchsorted(starts, goals), len(starts) - 1)
+    below = np.maximum(above - 1, 0)
+    nearest = np.where(np.abs(starts[above] - goals) < np.abs(starts[below] - goals), above, below)
+    cuts = [int(x) for x in np.unique(starts[nearest])]
+    return [(at, item[at:end]) for at, end in zip(cuts, cuts[1:] + [len(item)])]
+
+
+def _with_edits(text: bytes, edits: int, kind: int, rng: np.random.Generator) -> bytes:
+    """The text with random edits: 0 replaced, 1 deleted, 2 inserted, 3 mixed."""
+    out = bytearray(text)
+    for _ in range(edits):
+        k, c, how = int(rng.integers(len(out))), text[rng.integers(len(text))], kind if kind < 3 else int(rng.integers(3))
+        out[k:k + (how != 2)] = bytes([c] if how != 1 else [])
+    return bytes(out)
+
+
 class SizeClass:
-    """Items of similar length: their q-gram bound, sampled steps and keys."""
+    """Pieces of similar length: their q-gram bound, sampled steps and keys."""
 
-    def __init__(self, items: list[tuple[int, bytes]], tables: int, rng: np.random.Generator):
-        lengths = [len(t) for _, t in items]
+    def __init__(self, members: range, texts: list[bytes]):
+        self.members = members
+        lengths = [len(texts[i]) for i in members]
         self.least, self.most = min(lengths), max(lengths)
         edits = allowed_edits(self.most)
         self.q = max(1, min(GRAM, self.least // (edits + 1)))
         self.need = max(1, min(n - self.q + 1 - allowed_edits(n) * self.q for n in lengths))
         self.span = self.most + edits
-        # a pointer moves every second step on average, so these steps stay inside the shortest item
+        # a pointer moves every second step on average, so these steps stay inside the shortest piece
         self.steps = max(1, int(1.6 * self.least))
-        self.samples = [[np.sort(rng.integers(0, self.steps, BITS)) for _ in range(tables)] for _ in range(WALKS)]
+        self.samples: list[list[np.ndarray]] = []
         self.keys: list[list[tuple[np.ndarray, np.ndarray]]] = []
 
+    def draw(self, tables: int, rng: np.random.Generator) -> None:
+        self.samples = [[np.sort(rng.integers(0, self.steps, BITS)) for _ in range(tables)] for _ in range(WALKS)]
+
+
+def tables_needed(agreement: np.ndarray) -> int:
+    """Tables per walk that the recall takes: agreement is (kinds of edits, copies, walks)."""
+    missed = np.prod(1 - agreement ** BITS, axis=2)              # by one table of every walk
+    tables = 1
+    while tables < MOST_TABLES and (missed ** tables).mean(axis=1).max() > 1 - RECALL:
+        tables += 1
+    return tables
+
 
 def _keys(read: np.ndarray, samples: np.ndarray, salt: int) -> np.ndarray:
     """One hash per row of the bytes read at the sampled steps: read is (steps, rows)."""
@@ -154,51 +248,74 @@ def _keys(read: np.ndarray, samples: np.ndarray, salt: int) -> np.ndarray:
 
 
 class Searcher:
-    """Finds the items of one block in normalised documents."""
+    """Finds the items of one block in normalised documents; table_counts are those of an equal Searcher, else measured."""
 
-    def __init__(self, items: list[tuple[int, bytes]], seed: int = 11):
+    def __init__(self, items: list[tuple[int, bytes]], seed: int = 11, table_counts: list[int] | None = None):
         by_text: dict[bytes, list[int]] = defaultdict(list)
         for item_id, text in items:
             if text:
                 by_text[text].append(item_id)
         self.texts = sorted(by_text, key=lambda t: (len(t), t))
         self.ids = [sorted(by_text[t]) for t in self.texts]
+        by_piece: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
+        for i, text in enumerate(self.texts):
+            for offset, piece in pieces(text):
+                by_piece[piece].append((i, offset))
+        self.pieces = sorted(by_piece, key=lambda t: (len(t), t))
+        self.owners = [by_piece[t] for t in self.pieces]         # (item, offset) of each piece
+        self.split = len(self.texts) > 0 and len(self.texts[-1]) > STRETCH
         rng = np.random.default_rng(seed)
-        tables = math.ceil(math.log(1 - RECALL) / math.log(1 - AGREEMENT ** BITS) / WALKS)
         self.classes: list[SizeClass] = []
         at = 0
-        while at < len(self.texts):
+        while at < len(self.pieces):
             end = at
-            while end < len(self.texts) and len(self.texts[end]) <= len(self.texts[at]) * CLASS_RATIO:
+            while end < len(self.pieces) and len(self.pieces[end]) <= len(self.pieces[at]) * CLASS_RATIO:
                 end += 1
-            self.classes.append(SizeClass([(i, self.texts[i]) for i in range(at, end)], tables, rng))
-            self.classes[-1].members = range(at, end)
+            self.classes.append(SizeClass(range(at, end), self.pieces))
             at = end
-        self.longest = max((c.span for c in self.classes), default=0)
+        self.longest = len(self.texts[-1]) + allowed_edits(len(self.texts[-1])) if self.texts else 0
         longest_walk = max((c.steps for c in self.classes), default=0)
         # the random functions of the walks: whether the pointer moves, by step and character
         self.moves = [rng.integers(0, 2, (longest_walk, 256)).astype(np.uint8) for _ in range(WALKS)]
-        grams = sum(len(t) for t in self.texts)
+        grams = sum(len(t) for t in self.pieces)
         self.bits = min(30, max(GRAM_TABLE_BITS, (16 * max(1, grams)).bit_length()))
         self.tables: dict[int, np.ndarray] = {}
         for c in self.classes:
             table = self.tables.setdefault(c.q, np.zeros(1 << self.bits, bool))
             for i in c.members:
-                table[self._slots(np.frombuffer(self.texts[i], np.uint8), c.q)] = True
-        for c in self.classes:
-            width = max(len(self.texts[i]) for i in c.members)
-            rows = np.zeros((len(c.members), width + 1), np.uint8)
-            for r, i in enumerate(c.members):
-                rows[r, :len(self.texts[i])] = np.frombuffer(self.texts[i], np.uint8)
-            flat, starts = rows.ravel(), np.arange(len(rows)) * (width + 1)
+                table[self._slots(np.frombuffer(self.pieces[i], np.uint8), c.q)] = True
+        if table_counts is None:
+            trials = np.random.default_rng(seed + 1)
+            table_counts = [tables_needed(self._agreement(c, trials)) for c in self.classes]
+        self.table_counts = table_counts
+        for c, tables in zip(self.classes, table_counts):
+            c.draw(tables, rng)
             for w in range(WALKS):
-                read = self._walk(flat, starts, w, c.steps)
+                read = self._walk(*self._rows([self.pieces[i] for i in c.members]), w, c.steps)
                 c.keys.append([])
                 for t, samples in enumerate(c.samples[w]):
                     k = _keys(read, samples, t)
                     order = np.argsort(k, kind="stable")
                     c.keys[w].append((k[order], np.asarray(c.members)[order]))
 
+    @staticmethod
+    def _rows(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The texts one after the other, each followed by zeros to the same width, and their starts."""
+        width = max(len(t) for t in texts) + 1
+        return np.frombuffer(b"".join(t.ljust(width, b"\0") for t in texts), np.uint8), np.arange(len(texts)) * width
+
+    def _agreement(self, c: SizeClass, rng: np.random.Generator) -> np.ndarray:
+        """Share of steps on which pieces of a class and copies at the edit bound agree: (kinds of edits, copies, walks)."""
+        chosen = [self.pieces[int(i)] for i in rng.integers(c.members.start, c.members.stop, TRIALS)]
+        after = [self.pieces[int(i)] for i in rng.integers(c.members.start, c.members.stop, TRIALS)]
+        whole = self._rows(chosen)
+        out = np.empty((4, TRIALS, WALKS))
+        for kind in range(4):
+            copies = self._rows([_with_edits(t, allowed_edits(len(t)), kind, rng) + b" " + a for t, a in zip(chosen, after)])
+            for w in range(WALKS):
+                out[kind, :, w] = (self._walk(*whole, w, c.steps) == self._walk(*copies, w, c.steps)).mean(axis=0)
+        return out
+
     def _slots(self, b: np.ndarray, q: int) -> np.ndarray:
         return _gram_hashes(b, q) >> np.uint32(32 - self.bits)
 
@@ -225,7 +342,7 @@ class Searcher:
         return out
 
     def candidates(self, data: np.ndarray, starts: np.ndarray) -> set[tuple[int, int]]:
-        """(start number, item number) of windows that share a key with an item."""
+        """(start number, piece number) of windows that share a key with a piece."""
         found: set[tuple[int, int]] = set()
         open_ = self._open_windows(data, starts)
         some = np.unique(np.concatenate(open_)) if open_ else np.empty(0, np.int64)
@@ -248,6 +365,37 @@ class Searcher:
                             found.update((int(part[rows[r]]), int(m)) for m in members[lo[r]:hi[r]])
         return found
 
+    @staticmethod
+    def _long_places(item: bytes, section: bytes, offsets: list[int], words: np.ndarray) -> list[tuple[int, int, int]]:
+        """(start, distance, bytes) of a longer item near the offsets, at the words given; overlapping ones are one."""
+        most, out = allowed_edits(len(item)), []
+        ranges: list[list[int]] = []
+        for at in offsets:
+            if ranges and at - most <= ranges[-1][1]:
+                ranges[-1][1] = at + most
+            else:
+                ranges.append([at - most, at + most])
+        for lo, hi in ranges:
+            near = [int(x) for x in words[np.searchsorted(words, lo):np.searchsorted(words, hi, side="right")]]
+            if not near:
+                continue
+            exact = next((x for x in near if section.startswith(item, x)), None)
+            if exact is not None and exact - len(item) + most < lo and hi < exact + len(item):     # all others overlap it
+                out.append((exact, 0, len(item)))
+                continue
+            first, width = near[0], near[-1] - near[0] + 1
+            least = distances_from(item, section[first:first + width + len(item) + most], most, width)
+            taken: list[tuple[int, int, int]] = []
+            for distance, x in sorted((least[x - first], x) for x in near if least[x - first] <= most):
+                # a stretch has between len(item) - distance and len(item) + distance bytes
+                if any(s < x + len(item) - distance and x < s + size for s, _, size in taken):
+                    continue
+                size = edit_distance_to_prefix(item, section[x:x + len(item) + most], most)[1]
+                if not any(s < x + size and x < s + n for s, _, n in taken):
+                    taken.append((x, distance, size))
+            out += taken
+        return out
+
     def search(self, docs: list[bytes]) -> list[list[tuple[int, int, int, int, int]]]:
         """For each document, (item_id, distance, first word, bytes, places) of every item it leaks."""
         out: list[list[tuple[int, int, int, int, int]]] = [[] for _ in docs]
@@ -261,21 +409,34 @@ class Searcher:
             joined = b"\n".join(p for p, _ in parts)
             data = np.frombuffer(joined, np.uint8)
             begin = np.cumsum([0] + [len(p) + 1 for p, _ in parts])[:-1]
-            starts = np.flatnonzero((data[:-1] == 32) | (data[:-1] == 10)) + 1
-            starts = np.unique(np.concatenate([begin, starts]))
-            starts = starts[starts < len(data)]
+            words = _word_starts(data)
+            starts = np.unique(np.concatenate([words, _inner_starts(data, words)])) if self.split else words
             owner = np.searchsorted(begin, starts, side="right") - 1
-            keep = starts - begin[owner] < np.array([own for _, own in parts])[owner]
-            starts, owner = starts[keep], owner[keep]
-            for s, item in self.candidates(data, starts):
-                o = owner[s]
+            owned = starts - begin[owner] < np.array([own for _, own in parts])[owner]
+            if not self.split:                                # else an item may begin before the end of what is owned
+                starts, owner, owned = starts[owned], owner[owned], owned[owned]
+            at_word = np.isin(starts, words, assume_unique=True)
+            begins: dict[tuple[int, int], set[int]] = defaultdict(set)
+            for s, piece in self.candidates(data, starts):
+                o = int(owner[s])
                 doc, base = group[o]
                 offset = int(starts[s] - begin[o])
-                text, section = self.texts[item], parts[o][0]
+                text, section = self.pieces[piece], parts[o][0]
                 most = allowed_edits(len(text))
-                distance, size = edit_distance_to_prefix(text, section[offset:offset + len(text) + most], most)
-                if distance <= most:
-                    places[doc][item].append((base + offset, distance, size))
+                whole = len(self.texts[self.owners[piece][0][0]]) == len(text)
+                near = most if whole and len(self.owners[piece]) == 1 else 2 * most
+                distance, size = edit_distance_to_prefix(text, section[offset:offset + len(text) + near], near)
+                for item, shift in self.owners[piece] if distance <= near else ():
+                    if len(self.texts[item]) > len(text):
+                        begins[o, item].add(offset - shift)
+                    elif distance <= most and owned[s] and at_word[s]:
+                        places[doc][item].append((base + offset, distance, size))
+            for (o, item), offsets in begins.items():
+                doc, base = group[o]
+                lo, hi = np.searchsorted(words, begin[o]), np.searchsorted(words, begin[o] + parts[o][1])
+                for at, distance, size in self._long_places(
+                        self.texts[item], parts[o][0], sorted(offsets), words[lo:hi] - begin[o]):
+                    places[doc][item].append((base + at, distance, size))
 
         for d, text in enumerate(docs):
             for at in range(0, max(1, len(text)), SECTION):
@@ -322,8 +483,10 @@ MATCH_SCHEMA = "doc_id long, item_id long, distance int, word long, n_bytes long
 
 
 def _search_task(block: list[tuple[int, bytes]]):
+    counts = Searcher(block).table_counts           # measured once, not by every task
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        search = Searcher(block)
+        search = Searcher(block, table_counts=counts)
         for batch in batches:
             for i in range(0, batch.num_rows, 512):
                 part = batch.slice(i, 512)
@@ -352,8 +515,9 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text") ->
     """The rows of ``docs`` that leak no item, with all their columns; judged row by row, so NULL or repeated ids don't matter."""
     at = docs.columns.index(text)
     for block in item_blocks(benchmark):
-        def run(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
-            search = Searcher(block)
+        def run(batches: Iterator[pa.RecordBatch], block=block,
+                counts=Searcher(block).table_counts) -> Iterator[pa.RecordBatch]:
+            search = Searcher(block, table_counts=counts)
             for batch in batches:
                 for i in range(0, batch.num_rows, 512):
                     part = batch.slice(i, 512)

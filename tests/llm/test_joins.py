@@ -174,6 +174,49 @@ def test_recall_at_the_edit_bound_and_no_false_match():
     assert search.search([decontam.normalised(prose(7000 + n)) for n in range(50)]) == [[]] * 50
 
 
+def test_recall_of_long_items_at_the_edit_bound():
+    r, per_length, share = random.Random(7), 8, {}
+    for n in (394, 1000, 3000, 10000):
+        items = [(i, decontam.normalised(prose(1000 * n + i, n // 3))[:n].rsplit(b" ", 1)[0]) for i in range(per_length)]
+        search, hits = decontam.Searcher(items), 0
+        for i, t in items:
+            edits = decontam.allowed_edits(len(t)) if i else 0
+            if i % 2:
+                mine = bytearray(t)
+                for _ in range(edits):
+                    del mine[r.randrange(1, len(mine))]
+                mine = b" ".join(bytes(mine).split())            # may be one deletion more
+            else:
+                mine = edited(t, edits, r)
+            inside = decontam.distances_from(t, mine, len(t), 1)[0] <= decontam.allowed_edits(len(t))
+            before = decontam.normalised(prose(9000 + i, 60))
+            (found,) = search.search([before + b" " + mine + b" " + decontam.normalised(prose(8000 + i, 60))])
+            hits += [x[0] for x in found] == [i] * inside
+            if found:
+                _, distance, word, size, places = found[0]
+                assert inside and distance <= decontam.allowed_edits(len(t)) and places == 1
+                assert i or (distance, word, size) == (0, before.count(b" ") + 1, len(t))
+        share[n] = hits / per_length
+    assert min(share.values()) >= 0.9, share
+
+
+def test_distances_from_every_place_and_pieces():
+    r = random.Random(9)
+    for _ in range(200):
+        a = bytes(r.choice(b"abc") for _ in range(r.randint(5, 30)))
+        b = bytes(r.choice(b"abc") for _ in range(r.randint(8, 40)))
+        got = decontam.distances_from(a, b, 6, 8)
+        want = [min(edit_rows(a, b[i:])) for i in range(8)]
+        assert all(g == w if w <= 6 else g > 6 for g, w in zip(got, want))
+    for text in (decontam.normalised(prose(4, 900)), bytes(r.choice(b"abcdefgh") for _ in range(3000)), b"x" * 900):
+        parts = decontam.pieces(text)
+        assert b"".join(p for _, p in parts) == text and [at for at, _ in parts][0] == 0
+    text = bytes(r.choice(b"abcdefgh") for _ in range(3000))         # one word, copied with edits and twice as it is
+    docs = [b"one two " + edited(text, 100, r), text + b" " + text]
+    found = decontam.Searcher([(1, text)]).search(docs)
+    assert [[(x[0], x[2], x[4]) for x in f] for f in found] == [[(1, 2, 1)], [(1, 0, 2)]]
+
+
 def test_decontamination_takes_odd_rows(spark, monkeypatch):
     bench = spark.createDataFrame([(1, prose(3, 6000)[:300]), (2, None), (3, ""), (4, "one two three"), (4, "one two three"),
                                    (None, "zebra crossing"), (5, "x")], "item_id long, text string")
