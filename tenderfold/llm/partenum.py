@@ -54,6 +54,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from tenderfold.llm.common import staged
 from tenderfold.llm.components import components
@@ -493,15 +494,19 @@ class JaccardJoin:
 
     def groups(self) -> DataFrame:
         """doc_id, n_shingles, component_id for every row of the input."""
+        return self.keyed_groups().drop("key")
+
+    def keyed_groups(self) -> DataFrame:
+        """The groups with the key of each row's set."""
         found, comp = self.links()
         c = self.classes.join(comp, "node", "left").select(
             "key", "rep", F.coalesce("component", "node").alias("component"))
         least = c.groupBy("component").agg(F.min("rep").alias("component_id"))
         named = c.join(least, "component").select("key", "component_id")
         linked = self.members.where("n > 0 and doc_id is not null").join(named, "key").select(
-            "doc_id", F.col("n").alias("n_shingles"), "component_id")
+            "doc_id", F.col("n").alias("n_shingles"), "component_id", "key")
         alone = self.members.where("n = 0 or doc_id is null").select(
-            "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+            "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), "key")
         return linked.unionByName(alone)
 
 
@@ -510,14 +515,31 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int
     return JaccardJoin(docs, size, percent).groups()
 
 
+def _keys_task(size: int, at: int):
+    """The rows with the key of the set of their text (column number ``at``)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(0, batch.num_rows, 256):
+                part = batch.slice(i, 256)
+                keys = [_set_key(shingle_set(t, size)) for t in part.column(at).to_pylist()]
+                yield pa.record_batch([*part.columns, pa.array(keys, pa.binary())], names=[*part.schema.names, "_key"])
+    return run
+
+
 def representatives(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = THRESHOLD_PERCENT) -> DataFrame:
     """The rows of ``docs`` without near copies: of each group the document with the least doc_id stays.
 
     Rows with a NULL doc_id, and sets without words, belong to no group and
-    stay. Of rows that repeat both doc_id and text, one stays.
+    stay. Of rows that repeat both doc_id and text, one stays. Rows of one
+    doc_id with different texts are judged each by its own text.
     """
     join = JaccardJoin(docs, size, percent)
-    copies = join.groups().where("doc_id != component_id").select(F.col("doc_id").alias("_copy")).distinct()
-    if join.repeated:
-        docs = docs.where("doc_id is null").unionByName(docs.where("doc_id is not null").dropDuplicates(["doc_id", "text"]))
-    return docs.join(staged(copies, "copies"), F.col("doc_id") == F.col("_copy"), "left_anti")
+    copies = join.keyed_groups().where("doc_id != component_id").select(
+        F.col("doc_id").alias("_copy"), F.col("key").alias("_copied")).distinct()
+    if not join.repeated:
+        return docs.join(staged(copies.select("_copy"), "copies"), F.col("doc_id") == F.col("_copy"), "left_anti")
+    docs = docs.where("doc_id is null").unionByName(docs.where("doc_id is not null").dropDuplicates(["doc_id", "text"]))
+    keyed = docs.mapInArrow(_keys_task(size, docs.columns.index("text")), StructType(
+        [*docs.schema.fields, StructField("_key", BinaryType())]))
+    return keyed.join(staged(copies, "copies"), (F.col("doc_id") == F.col("_copy")) & (F.col("_key") == F.col("_copied")),
+                      "left_anti").drop("_key")

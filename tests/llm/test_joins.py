@@ -73,6 +73,16 @@ def test_jaccard_join_takes_odd_rows(spark):
     assert kept.columns == odd_docs(spark).columns
 
 
+def test_rows_of_a_repeated_id_are_judged_by_their_own_text(spark):
+    a, b, c = prose(1), prose(2), prose(3)
+    rows = [(1, a), (2, a + " tail"), (2, b), (2, ""), (3, b), (4, c), (4, b + " tail"), (None, b)]
+    docs = spark.createDataFrame([(t, i, "k") for i, t in rows], "text string, doc_id long, kept string")
+    kept = partenum.representatives(docs, 5, 80)
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(
+        [(1, a), (2, b), (2, ""), (4, c), (None, b)], key=str)
+
+
 def test_similar_sets_share_a_signature():
     r, bands = np.random.default_rng(4), partenum.Bands(85)
     for _ in range(400):
