@@ -11,8 +11,8 @@ out, so the CRF only adds.
 Decoding is exact Viterbi. A word whose score for "other" is ahead of all
 others by more than any pair of transitions can make up is "other" on every
 best path; the stretches between such words are decoded in numpy batches of
-equal length. A line longer than ``MAX_WORDS`` words is decoded in pieces of
-that length.
+equal length. Lines are labelled whole: one that doesn't fit into a section is
+cut between two such words, with both of them in both parts.
 
 Defined results: NULL or empty text has no spans. Positions are code points,
 the end is exclusive. Texts of any length are read whole. Equal texts get
@@ -32,7 +32,6 @@ from pyspark.sql import DataFrame, functions as F
 
 BASE_KINDS = ["email", "ip", "card", "phone"]
 LABELS = ["other", "email", "ip", "card", "phone", "secret"]
-MAX_WORDS = 512
 GROUP = 1 << 18             # short texts are labelled together up to so many bytes
 SECTION = 1 << 20           # bytes of a text whose words are labelled at once, cut at a line end where there is one
 
@@ -124,7 +123,7 @@ class Words:
     """The words of some bytes: places, lines, and an array of feature numbers per feature group."""
     start: np.ndarray
     end: np.ndarray
-    line: np.ndarray         # words of one line, or piece of a long line, share a number
+    line: np.ndarray         # words of one line share a number
     features: list[np.ndarray]
 
 
@@ -149,12 +148,8 @@ def read_words(data: bytes) -> Words:
     breaks = np.searchsorted(start, np.flatnonzero(b == 10))
     first[breaks[breaks < len(start)]] = True
     at = np.flatnonzero(first)
-    long_lines = np.flatnonzero(np.diff(np.append(at, len(start))) > MAX_WORDS)
-    for k in long_lines:
-        first[at[k]:(at[k + 1] if k + 1 < len(at) else len(start)):MAX_WORDS] = True
     before, after = np.empty_like(flags), np.empty_like(flags)
     before[1:], after[:-1] = flags[:-1], flags[1:]
-    at = np.flatnonzero(first)
     before[at] = _FLAGS
     after[at - 1] = _FLAGS                             # the word before a first one; also the very last word
     return Words(start, end, np.cumsum(first), [flags, shape, ends, before, after])
@@ -332,21 +327,43 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
-def _sections(data: bytes) -> Iterator[tuple[int, bytes]]:
-    """The bytes in parts of about SECTION, cut after a line end, else after white space, else as a whole word goes on."""
-    at = 0
+def _sure_cut(model: Model, data: bytes, begin: int, stop: int) -> tuple[int, int, int] | None:
+    """(start of a word, start and end of the next one), both surely "other": the last such words before ``stop``."""
+    words = read_words(data[begin:stop])
+    sure = np.ones(len(words.start), bool)
+    sure[model.undecided(words.features)[0]] = False
+    # the outermost words may be cut or lack a neighbour
+    pairs = np.flatnonzero(sure[1:-3] & sure[2:-2]) + 1
+    if not len(pairs):
+        return None
+    j = int(pairs[-1])
+    return begin + int(words.start[j]), begin + int(words.start[j + 1]), begin + int(words.end[j + 1])
+
+
+def _sections(model: Model, data: bytes) -> Iterator[tuple[int, bytes, int, int]]:
+    """The bytes in parts of about SECTION as (place, part, start and end of what the part owns), cut after a line end.
+
+    A longer line is cut between two words that are surely "other"; each part
+    holds both, so that every owned word has its neighbours.
+    """
+    begin = at = 0
     while at < len(data):
-        stop = at + SECTION
-        if stop < len(data):
-            cut = data.rfind(b"\n", at, stop)
-            if cut < 0:
-                cut = max(data.rfind(b" ", at, stop), data.rfind(b"\t", at, stop))
-            if cut < 0:
-                m = re.compile(rb"[ \t\n\x0b\x0c\r]").search(data, stop)
-                cut = m.start() if m else len(data) - 1
-            stop = cut + 1
-        yield at, data[at:stop]
-        at = stop
+        size = SECTION
+        while True:
+            stop = at + size
+            if stop >= len(data):
+                cut = end = following = len(data)
+                break
+            cut = end = following = data.rfind(b"\n", at, stop) + 1
+            if cut:
+                break
+            found = _sure_cut(model, data, begin, stop)
+            if found and found[1] > at:
+                following, cut, end = found
+                break
+            size *= 2
+        yield begin, data[begin:end], at - begin, cut - begin
+        begin, at = following, cut
 
 
 _TRIM = b".,;:!?()\"'|*#$%&<>"
@@ -362,7 +379,7 @@ def crf_spans(model: Model, texts: list[bytes]) -> list[list[tuple[str, int, int
     group, offsets, held = [], [], 0
 
     def label() -> None:
-        data = b"\n".join(d for _, _, d in group)
+        data = b"\n".join(d for _, _, d, _, _ in group)
         words = read_words(data)
         labels = decode(model, words)
         hits = np.flatnonzero(labels)
@@ -377,15 +394,15 @@ def crf_spans(model: Model, texts: list[bytes]) -> list[list[tuple[str, int, int
                 s += 1
             while s < e and data[e - 1] in _TRIM and not (kind == "secret" and data[e - 1] == 34):
                 e -= 1
-            if s < e:
-                text, base, _ = group[owner]
+            text, base, _, own, own_end = group[owner]
+            if s < e and own <= words.start[f] - offsets[owner] < own_end:
                 shift = base - offsets[owner]
                 out[text].append((kind, s + shift, e + shift))
 
     for i, data in enumerate(texts):
-        for base, part in _sections(data):
+        for base, part, own, own_end in _sections(model, data):
             offsets.append(held)
-            group.append((i, base, part))
+            group.append((i, base, part, own, own_end))
             held += len(part) + 1
             if held >= GROUP:
                 label()
