@@ -3,7 +3,9 @@
 Native only: URL parts, rules and features are SQL functions; the trees are
 trained by Spark ML's ``GBTClassifier`` on a bounded sample of the URLs that a
 rule labels, and scored as plain CASE expressions built from the trained
-splits, so the scan of all pages stays inside generated code.
+splits, so the scan of all pages stays inside generated code. The suffix
+statistics are counted over all pages: the count over all rows, the rate of
+blocked ones over all rows that a rule labels.
 
 Defined results: a NULL url, or one without ``://``, has an empty host and
 path, fits no rule and is judged by the trees on its (zero) features. If the
@@ -91,6 +93,10 @@ def _entropy(text: Column) -> Column:
         acc - F.when(c != "", let(share(c), lambda p: p * F.log2(p))).otherwise(0.0)))).otherwise(0.0)
 
 
+def _suffix() -> Column:
+    return F.when(F.col("host") == "", "").otherwise(F.element_at(F.split("host", r"\."), -1))
+
+
 def with_features(df: DataFrame, url: str = "url") -> DataFrame:
     """Lexical features of the url and its parts (the suffix statistics are joined later)."""
     u, host, path, query = F.coalesce(F.col(url), F.lit("")), F.col("host"), F.col("path"), F.col("_query")
@@ -98,7 +104,7 @@ def with_features(df: DataFrame, url: str = "url") -> DataFrame:
     depth = F.size(F.filter(F.split(path, "/"), lambda x: x != ""))
     length = F.length(u).cast("double")
     return df.withColumns({
-        "suffix": F.when(host == "", "").otherwise(F.element_at(labels, -1)),
+        "suffix": _suffix(),
         "f_length": length, "f_host_length": F.length(host).cast("double"), "f_path_length": F.length(path).cast("double"),
         "f_depth": depth.cast("double"), "f_labels": F.size(labels).cast("double"),
         "f_digit_ratio": F.when(length > 0, _count_of(u, "0123456789") / length).otherwise(0.0),
@@ -109,16 +115,17 @@ def with_features(df: DataFrame, url: str = "url") -> DataFrame:
         "f_hyphens": _count_of(u, "-_")})
 
 
-def suffix_statistics(sample: DataFrame) -> DataFrame:
-    """Smoothed rate of blocked URLs and log count per host suffix; at most one row per sampled URL."""
-    g = sample.groupBy("suffix").agg(F.sum("label").alias("blocked"), F.count("*").alias("n"))
-    return g.select("suffix", ((F.col("blocked") + 0.5 * SMOOTHING) / (F.col("n") + SMOOTHING)).alias("f_suffix_rate"),
+def suffix_statistics(parsed: DataFrame) -> DataFrame:
+    """Per host suffix: smoothed rate of blocked URLs among all labelled ones, and log count of all pages."""
+    g = parsed.groupBy(_suffix().alias("suffix")).agg(
+        F.count_if(F.col("_ruled") == "block").alias("blocked"), F.count("_ruled").alias("ruled"), F.count("*").alias("n"))
+    return g.select("suffix", ((F.col("blocked") + 0.5 * SMOOTHING) / (F.col("ruled") + SMOOTHING)).alias("f_suffix_rate"),
                     F.log1p(F.col("n").cast("double")).alias("f_suffix_log_count"))
 
 
 def with_suffix(df: DataFrame, stats: DataFrame) -> DataFrame:
-    # broadcast: at most TRAIN_ROWS rows by construction
-    return df.join(F.broadcast(stats), "suffix", "left").na.fill({"f_suffix_rate": 0.5, "f_suffix_log_count": 0.0})
+    # no hint: there may be many suffixes, so the join is chosen by their measured size
+    return df.join(stats, "suffix", "left")
 
 
 def _tree_sql(node) -> str:
@@ -147,7 +154,7 @@ def judge(pages: DataFrame, rules: list[Rule] = RULES, url: str = "url", train_r
         url, "host", "path", "_query", (F.col("_ruled") == "block").cast("double").alias("label"))
     sample = labelled.orderBy(F.xxhash64(url), url).limit(train_rows)
     sample = staged(with_features(sample, url).select("suffix", *FEATURES[:-2], "label"), "url-sample")
-    stats = suffix_statistics(sample)
+    stats = staged(suffix_statistics(parsed), "url-suffixes")
     score = train(with_suffix(sample, stats))
     out = with_suffix(with_features(parsed, url), stats).withColumn("score", score)
     verdict = F.coalesce(F.col("_ruled"), F.when(F.col("score") >= 0.5, "block").otherwise("allow"))

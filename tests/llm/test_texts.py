@@ -1,6 +1,7 @@
 """op1, op2, op3, op7, op10: brute force, held-out accuracy, odd rows."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -77,6 +78,20 @@ def test_url_rules_and_trees(spark):
     assert url_gbt.judge(df.limit(0)).count() == 0
 
 
+def test_url_suffix_statistics_count_all_pages(spark):
+    pages = [(i, f"http://h{i}.net/a") for i in range(40)] + [(100 + i, f"http://y{i}.com/{'de' if i % 4 else 'fr'}/") for i in range(20)]
+    df = spark.createDataFrame(pages + [(200, None)], "page_id long, url string")
+    parsed = url_gbt.with_rule(url_gbt.with_parts(df), url_gbt.RULES)
+    got = {r.suffix: (r.f_suffix_rate, r.f_suffix_log_count) for r in url_gbt.suffix_statistics(parsed).collect()}
+    want = {"net": (0.5, math.log1p(40)), "com": (16 / 22, math.log1p(20)), "": (0.5, math.log1p(1))}
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
+    seen, train = [], url_gbt.train
+    with pytest.MonkeyPatch.context() as m:                # the fit is bounded, the statistics of its rows are not
+        m.setattr(url_gbt, "train", lambda sample: seen.append(sample.collect()) or train(sample))
+        assert url_gbt.judge(df, train_rows=5).count() == 61
+    assert len(seen[0]) == 5 and all((r.f_suffix_rate, r.f_suffix_log_count) == pytest.approx(want["com"]) for r in seen[0])
+
+
 # ---------------------------------------------------------------- op1, op3
 @pytest.mark.parametrize("column, module, threshold", [("toxic", toxicity, 0.5), ("quality", quality_cnn, 0.3)])
 def test_classifier_on_held_out_rows(spark, column, module, threshold):
