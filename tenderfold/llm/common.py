@@ -52,3 +52,24 @@ def staged(df: DataFrame, name: str, partition_by: str | None = None) -> DataFra
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def heavy_bound(total: int, most: int, least: int) -> int:
+    """Rows from which a key counts as heavy: ``most`` keys at most can reach it among ``total`` rows."""
+    return max(least, -(-total // most))
+
+
+HEAVY_LEAST = 2_000         # rows of a key below which it is never heavy
+HEAVY_KEYS = 100_000        # heavy keys that a broadcast list may hold
+
+
+def join_heavy(rows: DataFrame, side: DataFrame, on: list[str], weight: str, total: int) -> DataFrame:
+    """Inner join of ``rows`` with ``side`` (one row per key; ``weight``: about how many of the ``total`` rows have it).
+
+    Rows of heavy keys stay where they are: those keys are broadcast, HEAVY_KEYS
+    at most by the bound on their weight. All other rows are shuffled by key.
+    """
+    bound = heavy_bound(total, HEAVY_KEYS, HEAVY_LEAST)
+    heavy = F.broadcast(side.where(F.col(weight) >= bound))
+    light = rows.join(heavy.select(on), on, "left_anti").join(side.where(F.col(weight) < bound), on)
+    return rows.join(heavy, on).unionByName(light)
