@@ -245,11 +245,12 @@ class SubstringDedup:
             F.collect_list("gram").alias("open"))
 
     def heavy_prefixes(self, suffixes: DataFrame, bound: int) -> list[DataFrame]:
-        """The prefixes of one, two, ... symbols that have at least ``bound`` suffixes, as far as there are any."""
+        """The prefixes of one, two, ... symbols that have at least ``bound`` suffixes, with their least doc_id, as far as there are any."""
         out, under = [], suffixes
         for depth in range(1, self.depth + 1):
             prefix = self.symbols[:depth]
-            heavy = staged(under.groupBy(prefix).agg(F.count("*").alias("n")).where(F.col("n") >= bound).select(prefix), "heavy")
+            heavy = staged(under.groupBy(prefix).agg(F.count("*").alias("n"), F.min("doc_id").alias("owner")).where(
+                F.col("n") >= bound).select(*prefix, "owner"), "heavy")
             if heavy.isEmpty():
                 break
             out.append(heavy)
@@ -262,16 +263,14 @@ class SubstringDedup:
         heavy = self.heavy_prefixes(suffixes, heavy_bound(suffixes.count(), HEAVY_KEYS, HEAVY_LEAST))
         leaves, length = suffixes, F.lit(1)
         for depth, names in enumerate(heavy[:self.depth - 1], 1):
-            flag = F.broadcast(names.withColumn(f"_h{depth}", F.lit(1)))
+            flag = F.broadcast(names.select(*self.symbols[:depth], F.lit(1).alias(f"_h{depth}")))
             leaves = leaves.join(flag, self.symbols[:depth], "left")
             length = length + F.coalesce(F.col(f"_h{depth}"), F.lit(0))
         whole = None
         if len(heavy) == self.depth:                    # prefixes of full depth: deep nodes by themselves
-            nodes = F.broadcast(heavy[-1])
-            leaves = leaves.join(nodes, self.symbols, "left_anti")
-            own = suffixes.join(nodes, self.symbols)
-            least = staged(own.groupBy(self.symbols).agg(F.min("doc_id").alias("owner")), "owners")
-            whole = own.join(F.broadcast(least), self.symbols).where("doc_id > owner").select("doc_id", "node", "pos")
+            leaves = leaves.join(F.broadcast(heavy[-1]), self.symbols, "left")
+            whole = leaves.where("doc_id > owner").select("doc_id", "node", "pos")
+            leaves = leaves.where("owner is null")
         parts = [F.when(F.lit(i) < F.col("_length"), F.col(p)).otherwise(F.lit(0)) for i, p in enumerate(self.symbols)]
         groups = leaves.withColumn("_length", length).withColumn("_group", F.xxhash64("_length", *parts))
         trees = groups.repartition("_group").sortWithinPartitions(*self.symbols, "doc_id").select(
