@@ -7,6 +7,7 @@ own configuration (shuffle partitions, checkpoint folder, AQE) always wins.
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -58,3 +59,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(current)
     return current
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new folder name under the shared folder of ``spark.checkpoint.dir``."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -79,8 +79,9 @@ def compare(spark, con, name, fn, sql, sf_dir):
         return res
     a, b = rows_key(scols, srows), rows_key(dcols, drows)
     if a != b:
-        diff = [x for x in a if x not in set(b)][:3] if len(a) < 200000 else []
-        other = [x for x in b if x not in set(a)][:3] if len(b) < 200000 else []
+        in_a, in_b = set(a), set(b)
+        diff = [x for x in a if x not in in_b][:3]
+        other = [x for x in b if x not in in_a][:3]
         res.update(ok=False, why=f"values differ; spark-only {diff}; duck-only {other}")
         return res
     res["ok"] = True
