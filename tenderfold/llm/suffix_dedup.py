@@ -246,15 +246,18 @@ class SubstringDedup:
 
     def heavy_prefixes(self, suffixes: DataFrame, bound: int) -> list[DataFrame]:
         """The prefixes of one, two, ... symbols that have at least ``bound`` suffixes, with their least doc_id, as far as there are any."""
-        out, under = [], suffixes
+        out, under = [], suffixes.withColumn("_under", F.lit(True))
         for depth in range(1, self.depth + 1):
             prefix = self.symbols[:depth]
-            heavy = staged(under.groupBy(prefix).agg(F.count("*").alias("n"), F.min("doc_id").alias("owner")).where(
-                F.col("n") >= bound).select(*prefix, "owner"), "heavy")
+            # suffixes under no heavy prefix are one group of NULLs, combined within each task
+            named = [F.when(F.col("_under"), F.col(p)).alias(p) for p in prefix]
+            counted = staged(under.groupBy(*named).agg(F.count("*").alias("n"), F.min("doc_id").alias("owner")).where(
+                F.col("n") >= bound), "heavy")
+            heavy = counted.where("p0 is not null").select(*prefix, "owner")
             if heavy.isEmpty():
                 break
             out.append(heavy)
-            under = suffixes.join(F.broadcast(heavy), prefix, "left_semi")
+            under = suffixes.join(F.broadcast(heavy.select(*prefix, F.lit(True).alias("_under"))), prefix, "left")
         return out
 
     def marked(self, suffixes: DataFrame) -> DataFrame:
@@ -269,7 +272,7 @@ class SubstringDedup:
         whole = None
         if len(heavy) == self.depth:                    # prefixes of full depth: deep nodes by themselves
             leaves = leaves.join(F.broadcast(heavy[-1]), self.symbols, "left")
-            whole = leaves.where("doc_id > owner").select("doc_id", "node", "pos")
+            whole = leaves.where("doc_id > coalesce(owner, doc_id)").select("doc_id", "node", "pos")
             leaves = leaves.where("owner is null")
         parts = [F.when(F.lit(i) < F.col("_length"), F.col(p)).otherwise(F.lit(0)) for i, p in enumerate(self.symbols)]
         groups = leaves.withColumn("_length", length).withColumn("_group", F.xxhash64("_length", *parts))
