@@ -17,8 +17,8 @@ results stay exact up to components of MOST; larger ones raise an error.
 Defined results: vectors that are NULL, of another size, or with a NULL or
 non-finite component are left out. A NULL vec_id is hashed as the empty
 string. Rows that repeat a vec_id are vectors of their own (equal hashes are
-ordered by their components). A distance beyond 64 bits is NULL and left out
-of the sums. Fewer vectors than centroids: each is a centroid.
+ordered by their components). A distance or sum beyond 64 bits is NULL
+(such a distance is left out of the sums). Fewer vectors than centroids: each is a centroid.
 No vectors, or an empty table: no rows. Other columns are not read.
 """
 
@@ -112,8 +112,9 @@ def clustered(table: DataFrame, clusters: int = 8, rounds: int = 10, dims: int =
     rows = staged(found.assigned(), "assigned")
     inertia = {r["cluster"]: int(r["s"] or 0) for r in rows.groupBy("cluster").agg(
         F.sum(F.col("distance").cast("decimal(38,0)")).alias("s")).collect()}
-    per_cluster = F.array(*[F.lit(inertia.get(j, 0)).cast("long") for j in range(len(found.centroids))])
+    # as text, since a sum may be beyond 64 bits: then it is NULL
+    per_cluster = F.array(*[F.lit(str(inertia.get(j, 0))).try_cast("long") for j in range(len(found.centroids))])
     digests = F.array(*[F.lit(centroid_digest(c)) for c in found.centroids])
     return rows.select("vec_id", "cluster", "distance", F.get(per_cluster, F.col("cluster")).alias("cluster_inertia"),
-                       F.lit(sum(inertia.values())).cast("long").alias("inertia"),
+                       F.lit(str(sum(inertia.values()))).try_cast("long").alias("inertia"),
                        F.get(digests, F.col("cluster")).alias("centroid_sha256"))
