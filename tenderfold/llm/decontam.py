@@ -25,7 +25,9 @@ class; windows and pieces that agree on them in any table are candidates. The
 number of tables per walk follows, for each size class, from the target recall
 and the agreement measured on edited copies of its pieces at the edit bound
 (the least of mixed edits, replacements, deletions and insertions);
-``WALKS`` independent walks are drawn.
+``WALKS`` independent walks are drawn. A class that would need more than
+``MOST_TABLES`` (its walks seldom agree) takes none: there every window that
+keeps enough q-grams of one piece is a candidate for it, which loses nothing.
 (4) Every candidate is verified by the exact edit distance of the item to the
 best-ending stretch at that word. If a piece of a longer item is found, the
 item is compared at every word at which it could begin.
@@ -43,6 +45,7 @@ repeated doc_id is reported once per row.
 from __future__ import annotations
 
 import math
+import uuid
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
@@ -55,16 +58,17 @@ EDIT_PERCENT = 5
 GRAM = 10                   # longest q-gram of the window filter; shorter for short items
 RECALL = 0.97               # of the sampling, for a pair at the edit bound
 TRIALS = 200                # edited copies per kind of edit by which a size class measures its agreement
-MOST_TABLES = 40            # per walk, for pieces that cannot reach the recall (walks that agree nowhere)
+MOST_TABLES = 40            # per walk; classes that would need more are searched by their q-grams alone, without sampling
 BITS = 5                    # sampled steps per table
 WALKS = 5
-STRETCH = 192               # longer items are looked for by stretches of at most about this size
+STRETCH = 112               # longer items are looked for by stretches of at most about this size
 LONG_WORD = 64              # longer words have places inside at which a stretch may begin
 CLASS_RATIO = 1.5           # longest over shortest item of a size class
 BLOCK_BYTES = 8 << 20       # items per pass
 GROUP = 1 << 16             # short documents are searched together up to so many bytes (their arrays stay in cache)
 SECTION = 1 << 20           # bytes of a long document that are searched at once
 GRAM_TABLE_BITS = 20        # at least; the table grows with the block of items
+KEPT_SEARCHERS = 2          # a worker keeps the indexes of so many blocks for its next tasks
 
 _K = np.uint64(0x9E3779B97F4A7C15)
 _K32 = 0x9E3779B1
@@ -230,12 +234,12 @@ class SizeClass:
 
 
 def tables_needed(agreement: np.ndarray) -> int:
-    """Tables per walk that the recall takes: agreement is (kinds of edits, copies, walks)."""
+    """Tables per walk that the recall takes, 0 if MOST_TABLES do not reach it: agreement is (kinds of edits, copies, walks)."""
     missed = np.prod(1 - agreement ** BITS, axis=2)              # by one table of every walk
-    tables = 1
-    while tables < MOST_TABLES and (missed ** tables).mean(axis=1).max() > 1 - RECALL:
-        tables += 1
-    return tables
+    for tables in range(1, MOST_TABLES + 1):
+        if (missed ** tables).mean(axis=1).max() <= 1 - RECALL:
+            return tables
+    return 0
 
 
 def _keys(read: np.ndarray, samples: np.ndarray, salt: int) -> np.ndarray:
@@ -288,8 +292,13 @@ class Searcher:
             trials = np.random.default_rng(seed + 1)
             table_counts = [tables_needed(self._agreement(c, trials)) for c in self.classes]
         self.table_counts = table_counts
-        for c, tables in zip(self.classes, table_counts):
+        # q-gram -> pieces, for the classes without tables
+        self.holders: dict[int, dict[int, np.ndarray]] = {}
+        for n, (c, tables) in enumerate(zip(self.classes, table_counts)):
             c.draw(tables, rng)
+            if not tables:
+                self.holders[n] = self._holders(c)
+                continue
             for w in range(WALKS):
                 read = self._walk(*self._rows([self.pieces[i] for i in c.members]), w, c.steps)
                 c.keys.append([])
@@ -319,6 +328,26 @@ class Searcher:
     def _slots(self, b: np.ndarray, q: int) -> np.ndarray:
         return _gram_hashes(b, q) >> np.uint32(32 - self.bits)
 
+    def _holders(self, c: SizeClass) -> dict[int, np.ndarray]:
+        lists: dict[int, list[int]] = defaultdict(list)
+        for i in c.members:
+            for slot in np.unique(self._slots(np.frombuffer(self.pieces[i], np.uint8), c.q)).tolist():
+                lists[slot].append(i)
+        return {slot: np.array(members) for slot, members in lists.items()}
+
+    def _sharing(self, n: int, data: np.ndarray, starts: np.ndarray, rows: np.ndarray) -> Iterator[tuple[int, int]]:
+        """(start number, piece number) of the windows that hold as many q-grams of a piece as it keeps after its edits."""
+        c, lists = self.classes[n], self.holders[n]
+        if not len(rows):
+            return
+        slots = self._slots(data, c.q)
+        least = np.array([max(1, len(t) - c.q + 1 - allowed_edits(len(t)) * c.q) for t in (self.pieces[i] for i in c.members)])
+        for r in rows.tolist():
+            held = [lists[x] for x in slots[starts[r]:starts[r] + max(1, c.span - c.q + 1)].tolist() if x in lists]
+            if held:
+                counts = np.bincount(np.concatenate(held) - c.members.start, minlength=len(c.members))
+                yield from ((r, c.members.start + int(i)) for i in np.flatnonzero(counts >= least))
+
     def _walk(self, data: np.ndarray, starts: np.ndarray, walk: int, steps: int) -> np.ndarray:
         """What the pointers from ``starts`` read at each step: (steps, rows)."""
         out, at, moves = np.empty((steps, len(starts)), np.uint8), starts.copy(), self.moves[walk]
@@ -345,6 +374,9 @@ class Searcher:
         """(start number, piece number) of windows that share a key with a piece."""
         found: set[tuple[int, int]] = set()
         open_ = self._open_windows(data, starts)
+        for n in self.holders:
+            found.update(self._sharing(n, data, starts, open_[n]))
+        open_ = [np.empty(0, np.int64) if n in self.holders else o for n, o in enumerate(open_)]
         some = np.unique(np.concatenate(open_)) if open_ else np.empty(0, np.int64)
         padded = np.concatenate([data, np.zeros(130, np.uint8)])
         for first in range(0, len(some), 4096):              # bounds the memory of the walks
@@ -482,11 +514,23 @@ def item_blocks(benchmark: DataFrame, item_id: str = "item_id", text: str = "tex
 MATCH_SCHEMA = "doc_id long, item_id long, distance int, word long, n_bytes long, places int"
 
 
+_SEARCHERS: dict[str, Searcher] = {}
+
+
+def _searcher(name: str, block: list[tuple[int, bytes]], counts: list[int]) -> Searcher:
+    """The index of a block, built once per worker; the longest unused one goes first."""
+    search = _SEARCHERS.pop(name, None) or Searcher(block, table_counts=counts)
+    while len(_SEARCHERS) >= KEPT_SEARCHERS:
+        _SEARCHERS.pop(next(iter(_SEARCHERS)))
+    _SEARCHERS[name] = search
+    return search
+
+
 def _search_task(block: list[tuple[int, bytes]]):
-    counts = Searcher(block).table_counts           # measured once, not by every task
+    counts, name = Searcher(block).table_counts, uuid.uuid4().hex           # measured once, not by every task
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        search = Searcher(block, table_counts=counts)
+        search = _searcher(name, block, counts)
         for batch in batches:
             for i in range(0, batch.num_rows, 512):
                 part = batch.slice(i, 512)
@@ -515,9 +559,9 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text") ->
     """The rows of ``docs`` that leak no item, with all their columns; judged row by row, so NULL or repeated ids don't matter."""
     at = docs.columns.index(text)
     for block in item_blocks(benchmark):
-        def run(batches: Iterator[pa.RecordBatch], block=block,
+        def run(batches: Iterator[pa.RecordBatch], block=block, name=uuid.uuid4().hex,
                 counts=Searcher(block).table_counts) -> Iterator[pa.RecordBatch]:
-            search = Searcher(block, table_counts=counts)
+            search = _searcher(name, block, counts)
             for batch in batches:
                 for i in range(0, batch.num_rows, 512):
                     part = batch.slice(i, 512)

@@ -227,6 +227,24 @@ def test_distances_from_every_place_and_pieces():
     assert [[(x[0], x[2], x[4]) for x in f] for f in found] == [[(1, 2, 1)], [(1, 0, 2)]]
 
 
+def test_classes_without_tables_are_searched_by_their_grams(monkeypatch):
+    """Where sampling cannot reach the recall, the q-gram counts alone decide, and nothing is lost."""
+    monkeypatch.setattr(decontam, "MOST_TABLES", 0)
+    r = random.Random(8)
+    items = [(i, decontam.normalised(prose(50 + i, r.choice([9, 14, 40, 90])))) for i in range(40)]
+    search, docs, truth = decontam.Searcher(items), [], []
+    assert set(search.table_counts) == {0}
+    for n in range(120):
+        i, t = r.choice(items)
+        mine = edited(t, r.randrange(decontam.allowed_edits(len(t)) + 1), r)
+        docs.append(decontam.normalised(prose(9000 + n, 60)) + b" " + mine + b" " + decontam.normalised(prose(8000 + n, 60)))
+        truth.append((i, t, mine))
+    for found, (i, t, mine) in zip(search.search(docs), truth):
+        if len(t) <= decontam.STRETCH and b" " not in (mine[:1], mine[-1:]):
+            assert any(f[0] == i for f in found)
+    assert search.search([decontam.normalised(prose(7000 + n)) for n in range(20)]) == [[]] * 20
+
+
 def test_decontamination_takes_odd_rows(spark, monkeypatch):
     bench = spark.createDataFrame([(1, prose(3, 6000)[:300]), (2, None), (3, ""), (4, "one two three"), (4, "one two three"),
                                    (None, "zebra crossing"), (5, "x")], "item_id long, text string")
