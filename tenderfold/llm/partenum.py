@@ -21,8 +21,9 @@ spare partitions empty is signed over all its shingles as well. Which
 shingles are frequent is counted over all documents; the list is bounded
 (every set adds to few shingles of a given share) and only saves work.
 
-Steps: (1) equal sets form a class; (2) one document of each class is
-signed, and signatures are combined within a task before the shuffle;
+Steps: (1) equal sets form a class, named by a hash of the set; (2) documents
+are signed where they are read, so no text is shuffled: copies give equal rows,
+which fall together, and signatures are combined within a task before the shuffle;
 (3) each bucket of a shared signature is a star around its least member, and
 the star pairs are verified on the whole sets; then, where a bucket holds
 members of several components, each member and the nearest member of each
@@ -30,7 +31,8 @@ larger component are tried as a bridge; (4) in buckets whose members are still
 not all in one component, all members of different components are compared.
 Most of those are not similar enough, and a parity sketch (a bit per cell that
 tells whether an odd number of shingles fell into it) rules them out: two
-sketches never differ in more bits than the sets in shingles. Large buckets
+sketches never differ in more bits than the sets in shingles. Whole sets are
+made for the members of open pairs alone. Large buckets
 are compared in blocks that go to different tasks, and only pairs that the
 sketch cannot rule out leave a task to be verified. Nothing is capped: pairs
 within one component are the only ones that need no answer.
@@ -54,9 +56,9 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import BinaryType, StructField, StructType
+from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
-from tenderfold.llm.common import staged
+from tenderfold.llm.common import join_heavy, staged
 from tenderfold.llm.components import components
 
 SHINGLE_WORDS = 4
@@ -152,6 +154,11 @@ def _set_key(s: np.ndarray) -> bytes:
     return hashlib.blake2b(s.tobytes(), digest_size=16).digest()
 
 
+def _node(key: bytes) -> int:
+    """The name of a class: among 10 billion different sets about three pairs share one."""
+    return int.from_bytes(key[:8], "little", signed=True)
+
+
 def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[int, np.ndarray]]:
     """(node, set) of rows (node, text, key); a text whose set has another key belongs to a repeated doc_id."""
     for batch in batches:
@@ -190,9 +197,11 @@ def _classes_task(size: int):
         seen: dict[bytes, np.ndarray] = {}
 
         def rows(ids: list, ns: list, keys: list, sketches: list, common: list) -> pa.RecordBatch:
+            nodes = [None if k is None else _node(k) for k in keys]
             return pa.record_batch([pa.array(ids, pa.int64()), pa.array(ns, pa.int64()), pa.array(keys, pa.binary()),
-                                    pa.array(sketches, pa.binary()), pa.array(common, pa.map_(pa.int64(), pa.int64()))],
-                                   names=["doc_id", "n", "key", "sketch", "common"])
+                                    pa.array(nodes, pa.int64()), pa.array(sketches, pa.binary()),
+                                    pa.array(common, pa.map_(pa.int64(), pa.int64()))],
+                                   names=["doc_id", "n", "key", "node", "sketch", "common"])
 
         def report() -> pa.RecordBatch:
             items, counts = np.unique(np.concatenate(list(seen.values())), return_counts=True)
@@ -224,6 +233,7 @@ def _signatures_task(size: int, percent: int, frequent: np.ndarray):
     """Signatures of each document, combined: one row per signature with its least member and the others."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands, sigs, nodes, held = Bands(percent), [], [], 0
+        seen: set[int] = set()
 
         def flush() -> pa.RecordBatch:
             sig, node = np.concatenate(sigs), np.concatenate(nodes)
@@ -240,14 +250,21 @@ def _signatures_task(size: int, percent: int, frequent: np.ndarray):
             return pa.record_batch([pa.array(sig[first].view(np.int64)), pa.array(node[first]), others],
                                    names=["sig", "node", "others"])
 
-        for node_id, s in _sets(batches, size):
-            got = signatures(s, bands, frequent)
-            sigs.append(got)
-            nodes.append(np.full(len(got), node_id, np.int64))
-            held += len(got)
-            if held >= BATCH_SIGNATURES:
-                yield flush()
-                sigs, nodes, held = [], [], 0
+        for batch in batches:
+            for text in batch.column(0):
+                s = shingle_set(text.as_py(), size)
+                node_id = _node(_set_key(s)) if len(s) else None
+                if node_id is None or node_id in seen:          # a copy that is signed already
+                    continue
+                seen.add(node_id)
+                got = signatures(s, bands, frequent)
+                sigs.append(got)
+                nodes.append(np.full(len(got), node_id, np.int64))
+                held += len(got)
+                if held >= BATCH_SIGNATURES:
+                    yield flush()
+                    sigs, nodes, held = [], [], 0
+                    seen.clear()
         if held:
             yield flush()
     return run
@@ -391,23 +408,17 @@ class JaccardJoin:
     def __init__(self, docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = THRESHOLD_PERCENT):
         self.size, self.percent = size, percent
         self.docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        # one small row per document: set size, set key, sketch of counters
-        rows = staged(self.docs.mapInArrow(_classes_task(size), "doc_id long, n long, key binary, sketch binary, "
+        # one small row per document: set size, set key, class, sketch of counters
+        rows = staged(self.docs.mapInArrow(_classes_task(size), "doc_id long, n long, key binary, node long, sketch binary, "
                                            "common map<long,long>"), "members")
-        self.members = rows.where("n >= 0").drop("common")
-        # a class is named by 64 bits of its key: among 10 billion different sets about three pairs share a name
-        self.classes = staged(
-            self.members.where("n > 0 and doc_id is not null").groupBy("key").agg(
-                F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
-            .withColumn("node", F.xxhash64("key")), "classes")
+        self.members = rows.where("n >= 0").drop("common", "sketch", "node")
+        filled = rows.where("n > 0 and doc_id is not null")
+        self.total = filled.count()
+        self.classes = staged(filled.groupBy("key").agg(
+            F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("node").alias("node"),
+            F.count("*").alias("copies")), "classes")
         self.frequent = self._frequent(rows)
-        # the text of each class comes from one document
-        known = self.docs.where("doc_id is not null")
         self.repeated = not self.members.groupBy("doc_id").count().where("doc_id is not null and count > 1").isEmpty()
-        if self.repeated:
-            known = known.dropDuplicates(["doc_id", "text"])      # only then, as it shuffles the texts
-        self.texts = known.join(self.classes.select(F.col("rep").alias("doc_id"), "node", "key"), "doc_id").select(
-            "node", "text", "key")
 
     def _frequent(self, rows: DataFrame) -> np.ndarray:
         """Sorted hashes of the frequent shingles: sets of n shingles on average have n / share of them at most."""
@@ -419,13 +430,24 @@ class JaccardJoin:
 
     def buckets(self) -> DataFrame:
         """(sig, centre, member) of every signature that two or more classes share."""
-        rows = self.texts.mapInArrow(
+        rows = self.docs.where("doc_id is not null").select("text").mapInArrow(
             _signatures_task(self.size, self.percent, self.frequent), "sig long, node long, others array<long>")
         dealt = rows.repartition("sig").sortWithinPartitions("sig", "node")
         return dealt.mapInArrow(_buckets_task, "sig long, centre long, member long")
 
-    def verified(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    def sets(self, pairs: DataFrame) -> DataFrame:
+        """node, items of the classes in the pairs; the text of each class comes from its first document."""
+        nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+        wanted = staged(self.classes.join(nodes, "node", "left_semi").select(F.col("rep").alias("doc_id"), "node", "key"), "wanted")
+        texts = self.docs.join(wanted, "doc_id").select("node", "text", "key")
+        made = texts.mapInArrow(_sets_task(self.size), "node long, items array<long>")
+        return staged(made.dropDuplicates(["node"]) if self.repeated else made, "sets")
+
+    def verified(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) whose sets reach the threshold."""
+        if pairs.isEmpty():
+            return pairs
+        sets = self.sets(pairs)
         a = sets.select(F.col("node").alias("a"), F.col("items").alias("xa"))
         b = sets.select(F.col("node").alias("b"), F.col("items").alias("xb"))
         both = pairs.join(b, "b").join(a, "a")
@@ -460,14 +482,11 @@ class JaccardJoin:
         candidates = staged(self.possible(stars), "pairs")
         shared = buckets.select("sig", F.col("centre").alias("node")).unionByName(
             buckets.select("sig", F.col("member").alias("node"))).distinct()
-        in_buckets = shared.select("node").distinct()
-        sets = staged(self.texts.join(in_buckets, "node", "left_semi").mapInArrow(
-            _sets_task(self.size), "node long, items array<long>"), "sets")
-        found = staged(self.verified(candidates, sets), "found")
+        found = staged(self.verified(candidates), "found")
         comp = components(found)
         # one link is enough to join two components: the nearest members first, then all that is left
         for nearest in (True, False):
-            more = staged(self.verified(staged(self.across(self.mixed(shared, comp), nearest), "pairs"), sets), "found")
+            more = staged(self.verified(staged(self.across(self.mixed(shared, comp), nearest), "pairs")), "found")
             found, comp = found.unionByName(more), self.joined(comp, more)
         return found, comp
 
@@ -500,10 +519,11 @@ class JaccardJoin:
         """The groups with the key of each row's set."""
         found, comp = self.links()
         c = self.classes.join(comp, "node", "left").select(
-            "key", "rep", F.coalesce("component", "node").alias("component"))
+            "key", "rep", "copies", F.coalesce("component", "node").alias("component"))
         least = c.groupBy("component").agg(F.min("rep").alias("component_id"))
-        named = c.join(least, "component").select("key", "component_id")
-        linked = self.members.where("n > 0 and doc_id is not null").join(named, "key").select(
+        named = staged(c.join(least, "component").select("key", "component_id", "copies"), "named")
+        # exact copies of one text are one key
+        linked = join_heavy(self.members.where("n > 0 and doc_id is not null"), named, ["key"], "copies", self.total).select(
             "doc_id", F.col("n").alias("n_shingles"), "component_id", "key")
         alone = self.members.where("n = 0 or doc_id is null").select(
             "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), "key")
@@ -534,12 +554,15 @@ def representatives(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = T
     doc_id with different texts are judged each by its own text.
     """
     join = JaccardJoin(docs, size, percent)
-    copies = join.keyed_groups().where("doc_id != component_id").select(
-        F.col("doc_id").alias("_copy"), F.col("key").alias("_copied")).distinct()
+    copies = join.keyed_groups().where("doc_id != component_id").select("doc_id", "key").distinct()
+    rows = docs.select(F.struct("*").alias("row"))            # whatever the names of its columns
     if not join.repeated:
-        return docs.join(staged(copies.select("_copy"), "copies"), F.col("doc_id") == F.col("_copy"), "left_anti")
-    docs = docs.where("doc_id is null").unionByName(docs.where("doc_id is not null").dropDuplicates(["doc_id", "text"]))
-    keyed = docs.mapInArrow(_keys_task(size, docs.columns.index("text")), StructType(
-        [*docs.schema.fields, StructField("_key", BinaryType())]))
-    return keyed.join(staged(copies, "copies"), (F.col("doc_id") == F.col("_copy")) & (F.col("_key") == F.col("_copied")),
-                      "left_anti").drop("_key")
+        gone = staged(copies.select(F.col("doc_id").alias("gone")), "copies")
+        return rows.join(gone, F.col("row.doc_id") == F.col("gone"), "left_anti").select("row.*")
+    known = rows.where("row.doc_id is not null").withColumns({"id": F.col("row.doc_id"), "text": F.col("row.text")})
+    rows = rows.where("row.doc_id is null").unionByName(known.dropDuplicates(["id", "text"]).select("row"))
+    keyed = rows.select("row", F.col("row.text").cast("string").alias("text")).mapInArrow(_keys_task(size, 1), StructType(
+        [StructField("row", docs.select(F.struct("*").alias("row")).schema["row"].dataType), StructField("text", StringType()),
+         StructField("_key", BinaryType())]))
+    gone = staged(copies.select(F.col("doc_id").alias("gone"), F.col("key").alias("gone_key")), "copies")
+    return keyed.join(gone, (F.col("row.doc_id") == F.col("gone")) & (F.col("_key") == F.col("gone_key")), "left_anti").select("row.*")
