@@ -147,6 +147,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from tenderfold.operators import versionlog as V  # noqa: E402
 from tenderfold.operators.aliases import party_aliases  # noqa: E402
 from tenderfold.operators.identity import resolve_by_name, supplier_versions  # noqa: E402
+from tenderfold.operators.ordered import range_bucket  # noqa: E402
 
 _EV_COLS = ["user_id", "event_id", "ts", "event_type", "value"]
 
@@ -239,6 +240,36 @@ def q_party_aliases(spark, sf_dir):
     return party_aliases(ev, "user_id", "seq", "event_type", bucket=F.to_date("ts"))
 
 
+@register("party_aliases_commas", """
+WITH w AS (SELECT CASE WHEN o_orderstatus = 'O' THEN 'hot' ELSE 'OP-' || o_custkey END AS party_id, o_orderdate AS d, o_orderkey AS k,
+                  CASE o_orderkey % 4 WHEN 0 THEN o_orderpriority WHEN 1 THEN o_orderpriority || ',' || o_orderstatus
+                       WHEN 2 THEN o_orderstatus ELSE 'x' || o_custkey % 50 || ',' || o_orderpriority END AS core FROM orders),
+e AS (SELECT *, lag(core) OVER (PARTITION BY party_id ORDER BY d, k) AS prev,
+             row_number() OVER (PARTITION BY party_id ORDER BY d, k) AS n FROM w),
+ch AS (SELECT * FROM e WHERE prev <> core),
+fragments AS (SELECT party_id, part, min(n) AS n FROM (SELECT party_id, n, unnest(string_split(core, ',')) AS part FROM ch
+              WHERE contains(core, ',')) GROUP BY party_id, part),
+firsts AS (SELECT party_id, core, min(n) AS n FROM ch WHERE NOT contains(core, ',') GROUP BY party_id, core),
+entries AS (
+  SELECT party_id, core, n FROM ch WHERE contains(core, ',')
+  UNION ALL SELECT f.party_id, f.core, f.n FROM firsts f LEFT JOIN fragments g ON g.party_id = f.party_id AND g.part = f.core
+  WHERE g.n IS NULL OR f.n < g.n)
+SELECT p.party_id, alias_parties FROM (SELECT DISTINCT party_id FROM w) p
+LEFT JOIN (SELECT party_id, string_agg(core, ',' ORDER BY n) AS alias_parties FROM entries GROUP BY party_id) a ON a.party_id = p.party_id
+""")
+def q_party_aliases_commas(spark, sf_dir):
+    """Cores with commas, whose fragments hide later plain cores; one party holds the publications of all open orders."""
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    kind = F.col("o_orderkey") % 4
+    core = (F.when(kind == 0, F.col("o_orderpriority")).when(kind == 1, F.concat_ws(",", "o_orderpriority", "o_orderstatus"))
+            .when(kind == 2, F.col("o_orderstatus"))
+            .otherwise(F.concat(F.lit("x"), (F.col("o_custkey") % 50).cast("string"), F.lit(","), F.col("o_orderpriority"))))
+    writes = o.select(
+        F.when(F.col("o_orderstatus") == "O", F.lit("hot")).otherwise(F.concat(F.lit("OP-"), F.col("o_custkey").cast("string"))).alias("party_id"),
+        F.struct("o_orderdate", "o_orderkey").alias("seq"), core.alias("core"))
+    return party_aliases(writes, "party_id", "seq", "core", bucket=F.col("seq.o_orderdate"))
+
+
 @register("party_resolution", """
 SELECT p_partkey, p_name,
        first_value(p_partkey) OVER (PARTITION BY p_name ORDER BY p_partkey) AS party_id,
@@ -280,7 +311,7 @@ def q_supplier_identity(spark, sf_dir):
     """U8: parts as supplier writes, neq = brand; current + history versions."""
     part = spark.read.parquet(f"{sf_dir}/part.parquet").select(
         F.col("p_brand").alias("neq"), F.col("p_name").alias("nomorganisation"), F.col("p_partkey").alias("seq"))
-    v = supplier_versions(part, "seq", bucket=F.expr("seq div 100"))   # a monotone prefix of seq
+    v = supplier_versions(part, "seq", bucket=range_bucket(part, "seq"))
     cls = V.classify(v, "supplier_key", kind=None)
     return cls.select("supplier_key", "neq", "nomorganisation", "existing_neq", "seq", "state")
 

@@ -76,3 +76,39 @@ def test_alias_fold_equals_sequential(spark, parties):
     df = spark.createDataFrame(rows, "party_id string, seq int, core string")
     got = {r.party_id: r.alias_parties for r in party_aliases(df, "party_id", "seq", "core").collect()}
     assert got == {f"p{i}": sequential_alias(c) for i, c in enumerate(parties)}
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(core_lists, min_size=1, max_size=3), st.integers(1, 6))
+def test_aliases_go_on_from_the_stored_list(spark, parties, cut):
+    """Two batches, the second with the stored current version and list in front; buckets of three versions."""
+    from pyspark.sql import functions as F
+
+    from tenderfold.operators.aliases import party_aliases
+    rows = [(f"p{i}", j, c) for i, cores in enumerate(parties) for j, c in enumerate(cores)]
+    df = spark.createDataFrame(rows, "party_id string, seq int, core string").withColumn("b", F.expr("seq div 3"))
+    first = party_aliases(df.where(F.col("seq") < cut), "party_id", "seq", "core", bucket="b")
+    second = party_aliases(df.where(F.col("seq") >= cut - 1), "party_id", "seq", "core", bucket="b", seed=first)
+    got = {r.party_id: r.alias_parties for r in first.collect()} | {r.party_id: r.alias_parties for r in second.collect()}
+    assert got == {f"p{i}": sequential_alias(c) for i, c in enumerate(parties)}
+
+
+def test_no_gather_of_a_party(spark):
+    """A party's versions are never one list that is folded row by row."""
+    from tenderfold.operators.aliases import party_aliases
+    df = spark.range(10).selectExpr("'p' AS party_id", "id AS seq", "concat('a,', id % 3) AS core", "id div 4 AS b")
+    plan = party_aliases(df, "party_id", "seq", "core", bucket="b")._jdf.queryExecution().optimizedPlan().toString()
+    assert " aggregate(" not in plan and plan.count("collect_list") == 2        # entries by (party, bucket), then buckets
+
+
+def test_range_buckets_spread_one_hot_key(spark):
+    from pyspark.sql import functions as F
+
+    from tenderfold.operators.ordered import range_bucket, split_lag
+    df = spark.range(4000).select(F.lit("hot").alias("k"), (F.col("id") * F.col("id")).alias("seq"), (F.col("id") % 7).alias("v"))
+    bucket = range_bucket(df, "seq", 16)
+    sizes = [r["count"] for r in df.groupBy(bucket.alias("b")).count().collect()]
+    assert len(sizes) == 16 and max(sizes) <= 2 * 4000 / 16
+    got = sorted((r.seq, r.prev) for r in split_lag(df, ["k"], "seq", "v", "prev", bucket).collect())
+    assert got == [(i * i, None if i == 0 else (i - 1) % 7) for i in range(4000)]
+    assert [r.prev for r in split_lag(df.limit(0), ["k"], "seq", "v", "prev", range_bucket(df.limit(0), "seq")).collect()] == []
