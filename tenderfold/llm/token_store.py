@@ -6,8 +6,10 @@ whether a document number is missing), the document numbers (64 bits each), a
 byte per document for missing numbers (only with the flag), the low bits of
 the boundaries packed without gaps, the upper bits as 64-bit words, for every
 512th one-bit its word and the one-bits before that word, and the ids. ``n + 1`` boundaries of
-``m`` ids take about ``n * (2 + log2(m / n))`` bits. ``Shard.boundary`` finds
-one boundary by select on the sampled words; ``Shard.document`` slices one
+``m`` ids take about ``n * (2 + log2(m / n))`` bits. ``Shard.select`` finds
+the boundaries of a batch of documents: from the sampled word before each it
+counts one-bits word by word, then resolves the bit in its word. Reading goes
+through it, READ_DOCS documents at a time; ``Shard.document`` slices one
 document's ids without touching the others.
 
 Writing: rows are dealt into ranges of doc_id (ties by text hash), sorted, and
@@ -20,7 +22,8 @@ first position in the whole array.
 Defined results: NULL or empty text is a document with the end id alone. Rows
 with a NULL doc_id come first. Repeated rows are all written; rows of one
 doc_id with different texts follow each other in the order of their texts'
-hashes. A text longer than a shard makes a longer shard.
+hashes. A text longer than a shard makes a longer shard. An empty table makes no
+file and gives no rows. Other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -40,6 +43,7 @@ from tenderfold.llm.word_bpe import encoder
 MAGIC = 0x31464554          # "TEF1"
 SHARD_IDS = 4_000_000       # a file is closed once it holds so many ids
 SAMPLE = 512                # one-bits per select sample
+READ_DOCS = 8_192           # documents whose boundaries are selected at once
 
 
 def ef_encode(values: np.ndarray) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
@@ -81,31 +85,36 @@ class Shard:
         self._samples = take("<i8", 2 * n_samples).reshape(-1, 2)
         self.ids = take(f"<u{self.width}", self.n_ids)
 
-    def _lows_of(self, i: int) -> int:
-        got = 0
+    def _lows_of(self, i: np.ndarray) -> np.ndarray:
+        got = np.zeros(len(i), np.int64)
         for k in range(self.low):
             bit = i * self.low + k
-            got |= (int(self._lows[bit >> 3]) >> (bit & 7) & 1) << k
+            got |= (self._lows[bit >> 3] >> (bit & 7).astype(np.uint8) & 1).astype(np.int64) << k
         return got
 
-    def boundary(self, i: int) -> int:
-        """Position where document i starts (i = docs: where the last one ends), by select on the upper bits."""
-        word, ones_before = (int(x) for x in self._samples[i // SAMPLE])
-        left = i - ones_before
-        while True:
-            w = int(self._words[word])
-            ones = w.bit_count()
-            if left < ones:
+    def select(self, i: np.ndarray) -> np.ndarray:
+        """Positions where the documents i start (i = docs: where the last one ends), by select on the upper bits."""
+        i = np.asarray(i, np.int64)
+        word, left = self._samples[i // SAMPLE, 0].copy(), i - self._samples[i // SAMPLE, 1]
+        while True:                                       # on to the word that holds the wanted one-bit
+            ones = np.bitwise_count(self._words[word])
+            on = np.flatnonzero(left >= ones)
+            if not len(on):
                 break
-            left -= ones
-            word += 1
-        for _ in range(left):
-            w &= w - 1
-        position = word * 64 + (w & -w).bit_length() - 1
-        return ((position - i) << self.low) | self._lows_of(i)
+            left[on] -= ones[on]
+            word[on] += 1
+        w = self._words[word].copy()
+        for k in range(int(left.max(initial=0))):         # the lower one-bits of that word go
+            more = left > k
+            w[more] &= w[more] - np.uint64(1)
+        place = np.bitwise_count((w & (~w + np.uint64(1))) - np.uint64(1))
+        return ((word * 64 + place - i) << self.low) | self._lows_of(i)
+
+    def boundary(self, i: int) -> int:
+        return int(self.select(np.array([i]))[0])
 
     def boundaries(self) -> np.ndarray:
-        """All boundaries at once."""
+        """All boundaries at once, by unpacking every bit."""
         ones = np.flatnonzero(np.unpackbits(self._words.view(np.uint8), bitorder="little"))[:self.docs + 1]
         out = (ones - np.arange(self.docs + 1)).astype(np.uint64) << np.uint64(self.low)
         if self.low:
@@ -179,12 +188,14 @@ def _read_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i in range(batch.num_rows):
             shard = Shard(batch.column(1)[i].as_buffer().to_pybytes())
-            b = shard.boundaries()
-            crc = [zlib.crc32(shard.ids[s:e].astype("<u4").tobytes()) for s, e in zip(b[:-1], b[1:])]
-            yield pa.record_batch(
-                [pa.array([batch.column(0)[i].as_py()] * shard.docs, pa.string()),
-                 pa.array(shard.doc_ids, pa.int64(), mask=shard.no_id), pa.array(b[:-1]), pa.array(np.diff(b)),
-                 pa.array(crc, pa.int64())], names=["file", "doc_id", "at", "n_tokens", "ids_crc32"])
+            for first in range(0, shard.docs, READ_DOCS):
+                last = min(first + READ_DOCS, shard.docs)
+                b = shard.select(np.arange(first, last + 1))
+                crc = [zlib.crc32(shard.ids[s:e].astype("<u4").tobytes()) for s, e in zip(b[:-1], b[1:])]
+                yield pa.record_batch(
+                    [pa.array([batch.column(0)[i].as_py()] * (last - first), pa.string()),
+                     pa.array(shard.doc_ids[first:last], pa.int64(), mask=shard.no_id[first:last]), pa.array(b[:-1]), pa.array(np.diff(b)),
+                     pa.array(crc, pa.int64())], names=["file", "doc_id", "at", "n_tokens", "ids_crc32"])
 
 
 def read(spark: SparkSession, path: str, manifest: DataFrame) -> DataFrame:
