@@ -1,13 +1,15 @@
 """Toxicity by a weighted finite-state grammar over clauses.
 
 Words are read as classes: insult, threat, target, negation, reported speech
-or other. Five small transducers read the same clause (a stretch between
-sentence marks) and are composed once into one machine; its states say
-whether a negation is in reach, reported speech was opened, a target was
-named or an insult or threat is still waiting for its target. An insult or a
-threat that the machine accepts gives a match with the pattern it was found in
-(negated, reported, aimed); clauses without a match count nothing, so words
-alone are never scored.
+or other. Small transducers read the same clause (a stretch between sentence
+marks) and are composed into one machine: a negation is in reach for the next
+words; reported speech stays open once a report verb was read; a target was
+named; and insults and threats wait, each under what was in reach when it was
+read (negated, reported). Nothing is given out for a word: at the end of the
+clause the machine accepts, and gives out every waiting insult or threat as a
+match whose pattern also says whether the clause named a target, before it or
+after it. An insult in a clause without a target is a pattern of its own, whose
+weight starts low and is fitted like the others, so it may be nothing.
 
 The insult words are learnt: whole words and stems whose documents are
 toxic far more often than not, in a bounded sample of labelled documents, with
@@ -17,7 +19,8 @@ sample and drawn towards set ones (a negated or reported insult counts less,
 an aimed one more), so patterns that the sample lacks keep those.
 
 Defined results: NULL or empty text has no match and gets the score of that.
-Very long texts are read whole. Equal texts get equal scores. Without labelled
+Very long texts are read whole. Equal texts get equal scores. An empty table
+gives no rows. Columns other than doc_id and text are not read, whatever their names. Without labelled
 rows of both classes the set weights and the seed words alone are used.
 """
 
@@ -27,6 +30,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 from itertools import product
 from math import log
 
@@ -78,44 +82,57 @@ def _target(state: int, word: int) -> int:
     return 1 if word == TARGET else state
 
 
-def _insult(state: int, word: int) -> int:
-    return 1 if word == INSULT else 0
-
-
-def _threat(state: int, word: int) -> int:
-    return 1 if word == THREAT else 0
+def _waiting(state: int, word: int, kind: int, negated: int, reported: int) -> int:
+    """The contexts, as a bit set, under which insults or threats wait for the end of the clause."""
+    return state | 1 << (2 * negated + reported) if word == kind else state
 
 
 class Grammar:
-    """The composed machine: next state and emitted match for each state and word class."""
+    """The composed machine.
+
+    ``next`` gives for each state and word class the state after it and the
+    context (kind, negated, reported) under which the word waits; ``accepted``
+    gives for each state the patterns that the end of the clause gives out.
+    """
 
-    parts = (_negation, _report, _target, _insult, _threat)
+    context = (_negation, _report, _target)
+    kinds = (("insult", INSULT), ("threat", THREAT))
 
     def __init__(self):
         start = (0, 0, 0, 0, 0)
-        self.number, todo, self.next, self.flags = {start: 0}, [start], {}, {0: (0, 0, 0)}
+        numbers, todo = {start: 0}, [start]
+        self.next: dict[tuple[int, int], tuple[int, tuple | None]] = {}
+        self.accepted: dict[int, dict[tuple, tuple]] = {}
         while todo:
             state = todo.pop()
+            self.accepted[numbers[state]] = {
+                (kind, negated, reported): (kind, negated, reported, state[2])
+                for (kind, _), held in zip(self.kinds, state[3:]) for negated, reported in product((0, 1), repeat=2)
+                if held >> (2 * negated + reported) & 1}
             for word in range(6):
-                after = tuple(p(s, word) for p, s in zip(self.parts, state))
-                if after not in self.number:
-                    self.number[after] = len(self.number)
+                reach, reported, named = (p(x, word) for p, x in zip(self.context, state))
+                held = tuple(_waiting(x, word, code, int(reach > 0), reported) for x, (_, code) in zip(state[3:], self.kinds))
+                after = (reach, reported, named, *held)
+                if after not in numbers:
+                    numbers[after] = len(numbers)
                     todo.append(after)
-                to = self.number[after]
-                self.flags[to] = (int(after[0] > 0), after[1], after[2])
-                emitted = "insult" if after[3] else "threat" if after[4] else None
-                self.next[self.number[state], word] = (to, emitted)
+                waits = next(((kind, int(reach > 0), reported) for kind, code in self.kinds if word == code), None)
+                self.next[numbers[state], word] = (numbers[after], waits)
 
     def matches(self, classes: list[int]) -> list[tuple[int, str, int, int, int]]:
-        """(position, kind, negated, reported, aimed) of each match of one clause."""
-        state, out = 0, []
-        last_target = max((i for i, c in enumerate(classes) if c == TARGET), default=-1)
+        """(position, kind, negated, reported, aimed) of what a clause gives out at its end."""
+        state, waiting = 0, []
         for i, word in enumerate(classes):
-            state, emitted = self.next[state, word]
-            if emitted:
-                negated, reported, aimed = self.flags[state]
-                out.append((i, emitted, negated, reported, int(aimed or last_target > i)))
-        return out
+            state, waits = self.next[state, word]
+            if waits:
+                waiting.append((i, waits))
+        accepted = self.accepted[state]
+        return [(i, *accepted[waits]) for i, waits in waiting]
+
+
+@lru_cache(maxsize=1)
+def grammar() -> Grammar:
+    return Grammar()
 
 
 @dataclass
@@ -130,7 +147,7 @@ class Scorer:
     """Match counts and score of a text."""
 
     def __init__(self, model: Model):
-        self.model, self.grammar = model, Grammar()
+        self.model, self.grammar = model, grammar()
         self.function = {w: c for c, ws in ((TARGET, TARGETS), (NEGATION, NEGATIONS), (REPORT, REPORTS)) for w in ws}
         self.threats = set(THREATS)
         self.at = {p: i for i, p in enumerate(PATTERNS)}
@@ -176,8 +193,8 @@ class Scorer:
 
 
 def _set_weights() -> np.ndarray:
-    """Pattern weights before training: negation and report lower a match, an aim raises it."""
-    return np.array([4.0 * 0.4 ** negated * 0.5 ** reported * 1.3 ** aimed * (1.0 if kind == "insult" else 0.5)
+    """Pattern weights before training: negation and report lower a match, and so does a clause without a target."""
+    return np.array([5.0 * 0.4 ** negated * 0.5 ** reported * 0.4 ** (1 - aimed) * (1.0 if kind == "insult" else 0.5)
                      for kind, negated, reported, aimed in PATTERNS])
 
 

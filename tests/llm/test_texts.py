@@ -116,6 +116,30 @@ def test_classifier_takes_odd_rows(spark, module):
     assert module.score(empty_docs(spark), labels).count() == 0
 
 
+def test_composed_machine_equals_its_rules():
+    """Random clauses against the rules of each transducer, written out."""
+    import random
+    r, machine = random.Random(3), toxicity.grammar()
+    for _ in range(3000):
+        c = [r.choice(range(6)) for _ in range(r.randrange(12))]
+        want = []
+        for i, word in enumerate(c):
+            if word in (toxicity.INSULT, toxicity.THREAT):
+                near = c[max(0, i - toxicity.NEGATION_REACH + 1):i]
+                want.append((i, "insult" if word == toxicity.INSULT else "threat", int(toxicity.NEGATION in near),
+                             int(toxicity.REPORT in c[:i]), int(toxicity.TARGET in c)))
+        assert machine.matches(c) == want
+
+
+def test_order_and_distance_decide():
+    s = toxicity.Scorer(toxicity.train([]))
+    score = s.score
+    assert score("you are not an idiot") < score("not that you are such an idiot") == score("you are such an idiot, not that")
+    assert score("she said you are an idiot") < score("you are an idiot she said")
+    assert score("an idiot was here today") < score("an idiot like you was here")
+    assert score("an idiot was here. you see") < score("an idiot was here, you see")
+
+
 def test_grammar_patterns():
     s = toxicity.Scorer(toxicity.train([]))
     at = lambda t: {p for p, v in zip(toxicity.PATTERNS, s.features(t)) if v}
