@@ -25,7 +25,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     between different parents, of which there are ever fewer. The minimum is a
     map-side combined aggregate, so a node with very many links is never
     gathered into one task. The driver only learns whether links are left.
-    Links of a node with itself and NULL ends are ignored.
+    Links of a node with itself and NULL ends are ignored; an empty table gives
+    no rows, and other columns are not read.
     """
     edges = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where(f"{a} != {b}").distinct()
     edges = staged(edges, "links")

@@ -39,7 +39,9 @@ Defined results: NULL or empty texts and items match nothing. Items with equal
 text are all reported. Rows are one per document and item, with the least
 distance, the first such place and the number of separate places (of
 overlapping places of a longer item the one with the least distance counts). A
-repeated doc_id is reported once per row.
+repeated doc_id is reported once per row. An empty table gives no rows.
+``matches`` reads doc_id and text alone; ``without_leaks`` passes all columns
+through, whatever their names.
 """
 
 from __future__ import annotations

@@ -8,7 +8,8 @@ on its whole text, is rejected.
 Defined results: a NULL text counts as empty; an empty text has zero counts,
 fails the base rule (fewer than 50 words) and is rejected. Blank lines are
 never judged and stay. Very long texts cost n log n in their words. Repeated
-rows are judged row by row; other columns of the input pass through unless
+rows are judged row by row; an empty table gives no rows; other columns of the
+input but ``_f`` pass through unless
 their names are those of the results, which then replace them.
 """
 

@@ -16,7 +16,9 @@ of all rows share is spread over its chunks.
 
 Defined results: NULL or empty text is the end id alone. Repeated rows are
 packed one by one. Rows with a NULL doc_id are packed like others. An empty
-table gives no rows.
+table gives no rows. ``pack_documents`` reads doc_id and text alone; other
+columns of ``pack`` pass through unless they are named rank, rank_lo, rank_hi,
+copies, first, at, or with a leading underscore.
 """
 
 from __future__ import annotations

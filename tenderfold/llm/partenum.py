@@ -32,9 +32,9 @@ not all in one component, all members of different components are compared.
 Most of those are not similar enough, and a parity sketch (a bit per cell that
 tells whether an odd number of shingles fell into it) rules them out: two
 sketches never differ in more bits than the sets in shingles. Whole sets are
-made for the members of open pairs alone. Large buckets
-are compared in blocks that go to different tasks, and only pairs that the
-sketch cannot rule out leave a task to be verified. Nothing is capped: pairs
+made for the members of open pairs alone. Large buckets are compared in blocks
+that go to different tasks, and only pairs that the sketch cannot rule out leave
+a task to be verified. Nothing is capped: pairs
 within one component are the only ones that need no answer.
 
 Defined results: NULL or empty text, or text without words, is an empty set,
@@ -42,7 +42,8 @@ which links with nothing (component_id is its own doc_id). A row with a NULL
 doc_id has a NULL component and links nothing. Repeated rows are equal sets.
 Fewer words than a shingle: the whole sequence is the only shingle. Very
 long texts are one set like any other. Words are compared by 64-bit hashes
-and sets by 128-bit ones.
+and sets by 128-bit ones. An empty table gives no rows. The join reads doc_id and
+text alone; ``representatives`` passes all columns through, whatever their names.
 """
 
 from __future__ import annotations

@@ -16,7 +16,8 @@ cut between two such words, with both of them in both parts.
 
 Defined results: NULL or empty text has no spans. Positions are code points,
 the end is exclusive. Texts of any length are read whole. Equal texts get
-equal spans.
+equal spans. An empty table gives no rows. ``spans`` reads doc_id and text
+alone; ``mask`` passes all other columns through, whatever their names.
 """
 
 from __future__ import annotations

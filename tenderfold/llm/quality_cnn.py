@@ -15,7 +15,8 @@ rows.
 
 Defined results: NULL and empty text are one chunk of padding and score like
 it. Equal texts get equal scores. With labelled rows of one class only the
-score is that class's share, smoothed.
+score is that class's share, smoothed. An empty table gives no rows. Columns
+other than doc_id and text are not read, whatever their names.
 """
 
 from __future__ import annotations

@@ -19,7 +19,8 @@ may fall from one prefix to the next (a longer token replaces several).
 
 Defined results: NULL or empty text has the table [0]. Repeated rows get equal
 results. Tables hold one 32-bit count per code point and one for the empty
-prefix, for texts of any length.
+prefix, for texts of any length. An empty table gives no rows. Columns other
+than doc_id and text are not read, whatever their names.
 """
 
 from __future__ import annotations

@@ -10,8 +10,10 @@ blocked ones over all rows that a rule labels.
 Defined results: a NULL url, or one without ``://``, has an empty host and
 path, fits no rule and is judged by the trees on its (zero) features. If the
 sample holds no labelled URL the verdict of the rest is "allow"; if it holds
-one class only, that class. Repeated rows get equal results. Other columns
-pass through unless their names are those of the results.
+one class only, that class. Repeated rows get equal results. An empty
+table gives no rows. Other columns pass through unless their names are those
+of the results or of the parts and features on the way (``_rest``, ``_query``,
+``_ruled``, ``suffix`` and FEATURES), which are left out.
 """
 
 from __future__ import annotations
