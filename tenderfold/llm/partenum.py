@@ -456,9 +456,13 @@ class JaccardJoin:
         scored = both.select("a", "b", shared.alias("i"), (F.size("xa") + F.size("xb")).alias("t"))
         return scored.where(f"100 * i >= {self.percent} * (t - i)").select("a", "b")
 
+    def sketches(self) -> DataFrame:
+        """node, n, sketch of every class; it grows with the corpus, so it is joined by a shuffle at every size."""
+        return self.classes.select("node", "n", "sketch").hint("shuffle_merge")
+
     def possible(self, pairs: DataFrame) -> DataFrame:
         """Pairs that the sizes and the sketches do not rule out (lossless)."""
-        c = self.classes.select("node", "n", "sketch")
+        c = self.sketches()
         a = c.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
         b = c.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
         both = pairs.join(b, "b").join(a, "a").where(
@@ -469,7 +473,7 @@ class JaccardJoin:
         """Pairs of a bucket that lie in different components and are not ruled out, block by block: the nearest or all."""
         sized = mixed.join(mixed.groupBy("sig").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks")), "sig")
         own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-        rows = (sized.join(self.classes.select("node", "n", "sketch"), "node").withColumn("own", own)
+        rows = (sized.join(self.sketches(), "node").withColumn("own", own)
                 .withColumn("met", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
                 .select("sig", F.least("own", "met").alias("block"), F.greatest("own", "met").alias("other"),
                         "node", "component", "n", "sketch", (F.col("own") > F.col("met")).cast("int").alias("side")))
