@@ -76,8 +76,23 @@ def classify(log: DataFrame, key: str | Sequence[str], seq: str = "seq", kind: s
     return joined.withColumn("state", state).drop("__first", "__last_upsert")
 
 
+def latest(log: DataFrame, key: str | Sequence[str], seq: str = "seq", null_safe: bool = False) -> DataFrame:
+    """W3 where every event is an upsert: the row with the greatest ``seq`` of each key.
+
+    One scan and one exchange: whole rows are compared within each task before
+    the shuffle, so a hot key sends one row per task. ``seq`` tells the versions
+    of a key apart (of rows that share it, one stays). Rows with a NULL key part
+    are left out, as a join on the key leaves them out, unless ``null_safe``.
+    """
+    keys = _keys(key)
+    rows = log if null_safe else log.dropna(subset=keys)
+    return rows.groupBy(*keys).agg(F.max_by(F.struct(*log.columns), seq).alias("__row")).select("__row.*")
+
+
 def current(log: DataFrame, key, seq: str = "seq", kind: str | None = "kind", null_safe: bool = False) -> DataFrame:
     """What the keyed upserts leave in the table."""
+    if kind is None:
+        return latest(log, key, seq, null_safe)
     return classify(log, key, seq, kind, null_safe).where(F.col("state") == CURRENT).drop("state")
 
 

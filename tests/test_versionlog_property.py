@@ -112,3 +112,15 @@ def test_range_buckets_spread_one_hot_key(spark):
     got = sorted((r.seq, r.prev) for r in split_lag(df, ["k"], "seq", "v", "prev", bucket).collect())
     assert got == [(i * i, None if i == 0 else (i - 1) % 7) for i in range(4000)]
     assert [r.prev for r in split_lag(df.limit(0), ["k"], "seq", "v", "prev", range_bucket(df.limit(0), "seq")).collect()] == []
+
+
+def test_latest_is_one_scan_and_one_exchange(spark):
+    rows = [("a", 1, 5), ("a", 3, None), ("a", 2, 7), ("b", 1, 1), (None, 9, 9)]
+    df = spark.createDataFrame(rows, "k string, seq int, v int")
+    assert sorted(tuple(r) for r in V.current(df, "k", kind=None).collect()) == [("a", 3, None), ("b", 1, 1)]
+    assert V.latest(df, "k", null_safe=True).where("k is null").first().v == 9
+    assert V.current(df.limit(0), "k", kind=None).count() == 0
+    same = sorted(tuple(r)[:3] for r in V.classify(df, "k", kind=None).where("state = 'current'").select("k", "seq", "v").collect())
+    assert same == sorted(tuple(r) for r in V.latest(df, "k").collect())
+    plan = V.latest(df, "k")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan
