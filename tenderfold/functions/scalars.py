@@ -142,13 +142,17 @@ def nfkc(a: pa.Array) -> pa.Array:
     return pa.array([None if v is None else d for v, d in zip(values, done)], pa.string())
 
 
+# FIXED VALUES: quotes that become straight ones, and what each becomes.
+QUOTES, STRAIGHT_QUOTES = "’‘ʼ‛“”", "''''\"\""
+
+
 def clean_text_basic(x: str | Column) -> Column:
     """X12 without NFKC: CR dropped, LF and control runs -> one space,
     curly quotes -> straight."""
     t = F.regexp_replace(_c(x), "\r", "")
     t = F.regexp_replace(t, "\n", " ")
     t = F.regexp_replace(t, r"[\x00-\x1F]+", " ")
-    t = F.translate(t, "’‘ʼ‛“”", "''''\"\"")
+    t = F.translate(t, QUOTES, STRAIGHT_QUOTES)
     return t
 
 
