@@ -440,7 +440,8 @@ class JaccardJoin:
         """node, items of the classes in the pairs; the text of each class comes from its first document."""
         nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
         wanted = staged(self.classes.join(nodes, "node", "left_semi").select(F.col("rep").alias("doc_id"), "node", "key"), "wanted")
-        texts = self.docs.join(wanted, "doc_id").select("node", "text", "key")
+        # the list grows with the corpus: joined by a shuffle at every size
+        texts = self.docs.join(wanted.hint("shuffle_merge"), "doc_id").select("node", "text", "key")
         made = texts.mapInArrow(_sets_task(self.size), "node long, items array<long>")
         return staged(made.dropDuplicates(["node"]) if self.repeated else made, "sets")
 
