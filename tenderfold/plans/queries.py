@@ -139,6 +139,7 @@ from tenderfold.operators import versionlog as V  # noqa: E402
 from tenderfold.operators.aliases import party_aliases  # noqa: E402
 from tenderfold.operators.identity import resolve_by_name, supplier_versions  # noqa: E402
 from tenderfold.operators.ordered import range_bucket  # noqa: E402
+from tenderfold.session import spread, staged  # noqa: E402
 
 _EV_COLS = ["user_id", "event_id", "ts", "event_type", "value"]
 
@@ -191,11 +192,14 @@ def q_events_insert_if_absent(spark, sf_dir):
 def q_events_two_batch_fold(spark, sf_dir):
     """ST2: fold the log in two batches (each user's log is cut some days after its start); same result as one."""
     log = _event_log(spark, sf_dir, kinds=True)
+    rows = log.count()
     cut = log.groupBy("user_id").agg(F.date_add(F.min("ts"), (F.pmod("user_id", F.lit(20)) + 1).cast("int")).alias("cut"))
-    log = log.join(cut, "user_id").withColumn("early", F.to_date("ts") < F.col("cut")).drop("cut")
-    b1, b2 = log.where("early").drop("early"), log.where("not early").drop("early")
-    cur1, hist1 = V.fold_increment(log.limit(0).drop("kind", "early"), b1, "user_id")
-    cur2, hist2 = V.fold_increment(cur1.drop("kind"), b2, "user_id")
+    log = staged(log.join(cut, "user_id").withColumn("early", F.to_date("ts") < F.col("cut")).drop("cut"), "event_batches")
+    # each batch is parted by user into tasks of bounded rows; a fold is written before the next one reads it, so that
+    # no task holds the sorts of both
+    b1, b2 = (spread(log.where(taken).drop("early"), rows, "user_id") for taken in ("early", "not early"))
+    cur1, hist1 = V.fold_increment(log.limit(0).drop("kind", "early"), b1, "user_id", materialize=staged)
+    cur2, hist2 = V.fold_increment(spread(cur1.drop("kind"), rows, "user_id"), b2, "user_id", materialize=staged)
     return (cur2.select(*_EV_COLS).withColumn("state", F.lit(V.CURRENT))
             .unionByName(hist1.select(*_EV_COLS).withColumn("state", F.lit(V.HISTORY)))
             .unionByName(hist2.select(*_EV_COLS).withColumn("state", F.lit(V.HISTORY))))

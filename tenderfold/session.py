@@ -9,7 +9,7 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Defaults for a session this library creates itself (tests, bench, local runs).
 LOCAL_DEFAULTS = {
@@ -64,3 +64,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new folder name under the shared folder of ``spark.checkpoint.dir``."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet into the shared folder and read it back: lineage is cut, and unused columns are not read."""
+    path = shared_path(df.sparkSession, name.lstrip("_"))       # a leading underscore hides files from Spark's reader
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+ROWS_A_TASK = 100_000
+
+
+def spread(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """``df`` partitioned by ``keys`` into tasks of about ``ROWS_A_TASK`` rows (at least the session's shuffle partitions).
+
+    Sorts and hash tables of a task stay at that size however large the table
+    is; the number of partitions grows instead. Frames of the same ``rows`` and
+    keys join without another exchange.
+    """
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(least, -(-rows // ROWS_A_TASK)), *keys)
