@@ -10,7 +10,7 @@ from tenderfold.operators import checks as C
 from tenderfold.operators import policies as P
 from tenderfold.plans.queries import METHODS, code_case, register
 from tenderfold.plans.staging_model import sql_list, staging, with_staging
-from tenderfold.session import ensure_checkpoint_dir
+from tenderfold.session import ensure_checkpoint_dir, spread
 from tenderfold.sources import files as SF
 
 _NOTICE_CATS = sql_list(codes.CONSTRUCTION_NOTICE_CATEGORIES)
@@ -129,6 +129,10 @@ FROM s_links l WHERE NOT EXISTS (SELECT 1 FROM s_avis a WHERE a.numeroseao = l.n
 def q_orphans_check(spark, sf_dir):
     """Orphan keys and duplicate keys as reject rows."""
     s = staging(spark, sf_dir)
+    # all checks are by notice: each table is parted once into tasks of bounded rows
+    rows = s["avis_fournisseurs"].count()
+    s = {t: spread(s[t].select(*cols), rows, "numeroseao") for t, cols in {
+        "avis": ["numeroseao"], "contrats": ["numeroseao", "numero"], "avis_fournisseurs": ["numeroseao"]}.items()}
     return (C.fk_orphans(s["contrats"], ["numeroseao"], s["avis"], ["numeroseao"], "contrats", "fk_notice")
             .unionByName(C.duplicate_keys(s["contrats"], ["numeroseao", "numero"], "contrats"))
             .unionByName(C.fk_orphans(s["avis_fournisseurs"], ["numeroseao"], s["avis"], ["numeroseao"],

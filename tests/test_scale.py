@@ -17,3 +17,10 @@ def _plan(df, of="executedPlan"):
 def test_two_folds_do_not_share_the_tasks_of_one_stage(spark):
     plan = _plan(QUERIES["events_two_batch_fold"](spark, SF))
     assert plan.count("Sort [") == 0 and "Exchange" not in plan         # what is left reads the written folds
+
+
+def test_integrity_checks_take_more_tasks_as_rows_grow(spark, monkeypatch):
+    monkeypatch.setattr(S, "ROWS_A_TASK", 100)
+    rows = spark.read.parquet(f"{SF}/lineitem.parquet").count()
+    parts = set(re.findall(r"hashpartitioning\(numeroseao#\d+L?, (\d+)\)", _plan(QUERIES["orphans_check"](spark, SF))))
+    assert parts == {str(-(-rows // 100))}
