@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from tenderfold import codes
 from tenderfold.functions import scalars as X
 from tenderfold.operators import versionlog as V
-from tenderfold.operators.identity import resolve_by_name
+from tenderfold.operators.identity import name_ids, resolve_by_name
 from tenderfold.operators.policies import Policy, select_staging, stub_releases
 
 
@@ -140,8 +140,8 @@ def migrate(policy: Policy, avis: DataFrame, links: DataFrame, fournisseurs: Dat
     releases, releases_old = _versions(releases, "ocid")
 
     # ---- bids, awards -------------------------------------------------------------
-    # one row per write position: equal links (same notice, place and neq) resolve to one party
-    sw = supplier_w.join(resolved.select("ocid", "seq", "party_id").distinct(), ["ocid", "seq"])
+    # a write's party is that of its name: the names' ids are joined to the writes themselves, not the resolved writes to them
+    sw = supplier_w.join(name_ids(writes, "name", "cand", "seq"), "name")
     bids, bids_old = _versions(sw.select("party_id", "ocid", F.lit(None).cast("string").alias("related_lot"), "admissible",
                                          "conform", "value", "value_unit", "seq"), ["party_id", "ocid"])
     out = {"releases": releases, "parties": parties, "release_parties": release_parties, "bids": bids,

@@ -24,3 +24,8 @@ def test_integrity_checks_take_more_tasks_as_rows_grow(spark, monkeypatch):
     rows = spark.read.parquet(f"{SF}/lineitem.parquet").count()
     parts = set(re.findall(r"hashpartitioning\(numeroseao#\d+L?, (\d+)\)", _plan(QUERIES["orphans_check"](spark, SF))))
     assert parts == {str(-(-rows // 100))}
+
+
+def test_bids_take_their_party_from_the_names(spark):
+    plan = _plan(QUERIES["migrate_bids"](spark, SF), "optimizedPlan")
+    assert not re.search(r"Join Inner, [^\n]*\(seq#\d+ = seq#\d+\)", plan)      # no write is joined to its own copy
