@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tenderfold.operators.release_fold import fold_release_events
 from tenderfold.plans.queries import register
-from tenderfold.session import ensure_checkpoint_dir
+from tenderfold.session import staged
 from tenderfold.sources import release_json as RJ
 
 def _line_key() -> F.Column:
@@ -66,18 +66,16 @@ def publications(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _fold(spark: SparkSession, sf_dir: str):
     """Parse once, stage every table's events once, then fold.
 
-    Lineage is cut with ``checkpoint()`` into the session's shared
-    ``spark.checkpoint.dir`` after parsing and after each rejection round, so
-    a lost executor only recomputes from the last checkpoint. The per-table
-    events are projections/explodes of the staged releases and are re-derived
-    rather than staged (measured faster: 83 s vs 105 s for the three queries).
+    Parsed rows are written once, as Parquet in the session's shared
+    ``spark.checkpoint.dir``, and so is the outcome of each rejection round, so
+    a lost executor only recomputes from the last of them. The per-table events
+    are projections/explodes of the staged rows, which read only their own
+    columns, and are re-derived rather than staged.
     """
-    ensure_checkpoint_dir(spark)
-    files = RJ.releases_from_text(publications(spark, sf_dir)).checkpoint()
-    rel = RJ.explode_releases(files).checkpoint()
-    events = RJ.release_events(rel)       # projections of the staged releases: cheap to re-derive
-    tables, _ = fold_release_events(events, batch_ts="2024-01-01 00:00:00", file_rejects=RJ.file_rejects(files),
-                                    materialize=lambda df, _name: df.checkpoint())
+    rows = staged(RJ.batch_rows(RJ.releases_from_text(publications(spark, sf_dir))), "release_rows")
+    rejected = rows.where(F.col("reason").isNotNull()).select("file_name", "reason").distinct()
+    events = RJ.release_events(RJ.batch_releases(rows))
+    tables, _ = fold_release_events(events, batch_ts="2024-01-01 00:00:00", file_rejects=rejected, materialize=staged)
     return tables
 
 

@@ -29,3 +29,9 @@ def test_integrity_checks_take_more_tasks_as_rows_grow(spark, monkeypatch):
 def test_bids_take_their_party_from_the_names(spark):
     plan = _plan(QUERIES["migrate_bids"](spark, SF), "optimizedPlan")
     assert not re.search(r"Join Inner, [^\n]*\(seq#\d+ = seq#\d+\)", plan)      # no write is joined to its own copy
+
+
+def test_release_folds_read_parquet_stages(spark):
+    for name in ("release_fold_contracts", "release_fold_parties"):
+        plan = _plan(QUERIES[name](spark, SF))
+        assert "ExistingRDD" not in plan and "FileScan parquet" in plan
