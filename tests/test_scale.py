@@ -35,3 +35,16 @@ def test_release_folds_read_parquet_stages(spark):
     for name in ("release_fold_contracts", "release_fold_parties"):
         plan = _plan(QUERIES[name](spark, SF))
         assert "ExistingRDD" not in plan and "FileScan parquet" in plan
+
+
+def test_a_batch_stages_events_and_versions_once(spark, tmp_path, monkeypatch):
+    from tenderfold.streaming import incremental as INC
+    from tenderfold.streaming.state import Run
+    names, staged = [], Run.staged
+    monkeypatch.setattr(Run, "staged", lambda run, df, name: names.append(name) or staged(run, df, name))
+    doc = '{"releases": [{"ocid": "o1", "id": "r1", "tender": {"lots": [{"id": "L1"}]}, "parties": [{"id": "P1", "name": "x", "roles": ["buyer"]}]}]}'
+    docs = spark.createDataFrame([("mensuel_20210101_20210131.json", doc)], "file_name string, value string")
+    INC.fold_releases(docs, "one", INC.release_state(spark, str(tmp_path), 4), batch_ts="2024-01-01 00:00:00")
+    for table in INC.TABLE_KEYS:
+        assert names.count(f"{table}_events") == 1 and names.count(f"_{table}_versions") == 1, table
+    assert INC.current_tables(spark, str(tmp_path))["lots"].count() == 1
