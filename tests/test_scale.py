@@ -48,3 +48,16 @@ def test_a_batch_stages_events_and_versions_once(spark, tmp_path, monkeypatch):
     for table in INC.TABLE_KEYS:
         assert names.count(f"{table}_events") == 1 and names.count(f"_{table}_versions") == 1, table
     assert INC.current_tables(spark, str(tmp_path))["lots"].count() == 1
+
+
+def test_documents_are_delivered_without_a_second_copy(spark, monkeypatch, tmp_path):
+    import os
+    from types import SimpleNamespace
+    from pyspark.sql import functions as F
+    from tenderfold.plans import queries_stream as Q
+    monkeypatch.setattr(Q, "shared_path", lambda _spark, name: str(tmp_path / name))
+    docs = spark.createDataFrame([("a", "1", 0), ("b", "2", 2)], "file_name string, value string, k int")
+    done = SimpleNamespace(awaitTermination=lambda: True, exception=lambda: None)
+    Q._deliver(spark, docs, F.col("k"), lambda source, checkpoint: done)
+    assert [n for n in os.listdir(tmp_path / "publications" / "all") if n.startswith("batch=")] == []
+    assert spark.read.parquet(str(tmp_path / "publications" / "inbox" / "n=*")).count() == 2
