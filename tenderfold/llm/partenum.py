@@ -24,6 +24,8 @@ shingles are frequent is counted over all documents; the list is bounded
 Steps: (1) equal sets form a class, named by a hash of the set; (2) documents
 are signed where they are read, so no text is shuffled: copies give equal rows,
 which fall together, and signatures are combined within a task before the shuffle;
+sets and signatures are made for a slice of many texts at once, in numpy, as most
+texts are too short for array operations of their own;
 (3) each bucket of a shared signature is a star around its least member, and
 the star pairs are verified on the whole sets; then, where a bucket holds
 members of several components, each member and the nearest member of each
@@ -34,8 +36,10 @@ tells whether an odd number of shingles fell into it) rules them out: two
 sketches never differ in more bits than the sets in shingles. Whole sets are
 made for the members of open pairs alone. Large buckets are compared in blocks
 that go to different tasks, and only pairs that the sketch cannot rule out leave
-a task to be verified. Nothing is capped: pairs
-within one component are the only ones that need no answer.
+a task to be verified. Similar texts share many signatures, so many buckets have
+the same members (judged by their number and 128 bits of hash): one of each such
+lot is compared. Nothing is capped: pairs within one component, and pairs met in
+an equal bucket, are the only ones that need no answer.
 
 Defined results: NULL or empty text, or text without words, is an empty set,
 which links with nothing (component_id is its own doc_id). A row with a NULL
@@ -55,6 +59,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BinaryType, StringType, StructField, StructType
@@ -66,13 +71,18 @@ SHINGLE_WORDS = 4
 THRESHOLD_PERCENT = 85
 SKETCH_LEAST = 64          # bits of the smallest parity sketch; a set of n shingles has 2n to 4n bits
 BLOCK_ROWS = 2_000         # members of a bucket that are compared as one block
+BLOCK_BYTES = 2_000_000    # sketches of a block that are compared at once
 FREQUENT_SHARE = 0.0005    # shingles of at least so many of the documents are left out of the partitions
 FREQUENT_MOST = 1_000_000  # bound of that list (8 MB); a shorter list costs time, not links
 COUNTED_DOCS = 4_000       # documents of a task that are counted together
 COUNTED_LEAST = 3          # occurrences among them below which a shingle is not reported
 BATCH_SIGNATURES = 400_000  # signatures combined at once in a task
+SLICE_BYTES = 1_000_000    # text whose sets are made at once in a task
+LONG_WORD = 64             # bytes of a word beyond which it is hashed by itself
 
 _MIX1, _MIX2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
+_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+_LOW_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -82,19 +92,77 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-def shingle_set(text: str | None, size: int = SHINGLE_WORDS) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the text's shingles (A-Z lower-cased, split at ASCII white space)."""
-    # bytes.split() parts at exactly \x20 and \x09-\x0D, bytes.lower() changes A-Z only
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    n = len(words)
-    if not n:
-        return np.empty(0, np.uint64)
-    h = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, n)
-    width = min(size, n)
-    out = np.full(n - width + 1, np.uint64(width))
-    for j in range(width):
-        out = _mix(out + h[j:n - width + 1 + j])
-    return np.unique(out)
+def _bounds(sizes: np.ndarray) -> np.ndarray:
+    """Where stretches of these sizes, one after the other, begin and end."""
+    return np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+
+
+def _slices(batch: pa.RecordBatch, at: int) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about SLICE_BYTES of text (column number ``at``), or of one longer text."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    first = 0
+    while first < batch.num_rows:
+        most = (ends[first - 1] if first else 0) + SLICE_BYTES
+        past = max(first + 1, int(np.searchsorted(ends, most, side="right")))
+        yield batch.slice(first, past - first)
+        first = past
+
+
+def _word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of all texts (A-Z lower-cased, split at ASCII white space), and each text's number of words."""
+    texts = pc.fill_null(texts, "").cast(pa.large_binary())
+    _, offsets, data = texts.buffers()
+    ends = np.frombuffer(offsets, np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    if ends[0] == ends[-1]:
+        return np.empty(0, np.uint64), np.zeros(len(texts), np.int64)
+    # bytes.lower() changes A-Z only; 8 spare bytes, as words are read by 8 bytes
+    raw = data[int(ends[0]):int(ends[-1])].to_pybytes().lower() + bytes(8)
+    ends = ends - ends[0]
+    inside = ~_SPACE[np.frombuffer(raw, np.uint8)[:-8]]
+    cuts = ends[(ends > 0) & (ends < len(inside))]              # a text's end is also a word's
+    first, last = inside.copy(), inside.copy()
+    first[1:] &= ~inside[:-1]
+    first[cuts] = inside[cuts]
+    last[:-1] &= ~inside[1:]
+    last[cuts - 1] = inside[cuts - 1]
+    start = np.flatnonzero(first)
+    length = np.flatnonzero(last) + 1 - start
+    eights = np.ndarray(len(raw) - 7, np.dtype("<u8"), raw, strides=(1,))
+    hashes = _mix(length.astype(np.uint64) + np.uint64(1))
+    hashes = _mix(hashes ^ (eights[start] & _LOW_BYTES[np.minimum(length, 8)]))
+    more = np.flatnonzero(length > 8)
+    for i in more[length[more] > LONG_WORD].tolist():
+        hashes[i] = xxhash.xxh64_intdigest(raw[start[i]:start[i] + length[i]])
+    for done in range(8, LONG_WORD, 8):
+        more = more[(length[more] > done) & (length[more] <= LONG_WORD)]
+        if not len(more):
+            break
+        rest = eights[start[more] + done] & _LOW_BYTES[np.minimum(length[more] - done, 8)]
+        hashes[more] = _mix(hashes[more] ^ rest)
+    return hashes, np.diff(np.searchsorted(start, ends))
+
+
+def shingle_sets(texts: pa.Array, size: int = SHINGLE_WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, bounds): sorted distinct 64-bit hashes of each text's shingles; those of text i lie from bounds[i] to bounds[i + 1]."""
+    words, counts = _word_hashes(texts)
+    width = np.minimum(counts, size)
+    made = np.where(counts > 0, counts - width + 1, 0)
+    bounds = _bounds(made)
+    place = np.arange(bounds[-1]) + np.repeat(_bounds(counts)[:-1] - bounds[:-1], made)
+    words = np.append(words, np.zeros(size, np.uint64))
+    short = np.flatnonzero((counts > 0) & (counts < size))      # one shingle each, of all the words
+    out = np.repeat(width, made).astype(np.uint64)
+    for j in range(size):
+        word = words[place + j]
+        word[bounds[short[counts[short] <= j]]] = 0
+        out = (out + word) * _MIX1
+    out = _mix(out)
+    for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+        out[a:b].sort()
+    new = np.ones(len(out), bool)
+    new[1:] = out[1:] != out[:-1]
+    new[bounds[:-1][made > 0]] = True
+    return out[new], _bounds(new)[bounds]
 
 
 class Bands:
@@ -123,36 +191,80 @@ class Bands:
         spare = math.ceil(empty + 4 * math.sqrt(empty)) + 1 if k > 1 else 1
         return k + 1 + min(spare, k + 1), min(spare, k + 1)
 
+    def bands(self, sizes: np.ndarray) -> np.ndarray:
+        """The bands of many sizes."""
+        self.band(int(sizes.max()))
+        return np.searchsorted(self.starts, sizes, side="right") - 1
 
-def _instance(s: np.ndarray, band: int, parts: int, salt: int) -> tuple[np.ndarray, np.ndarray]:
-    """(signature of every partition, which partitions hold anything)."""
-    place = (_mix(s ^ np.uint64(salt)) % np.uint64(parts)).astype(np.int64)
-    total = np.zeros(parts, np.uint64)
-    np.add.at(total, place, _mix(s ^ np.uint64(0x9E3779B97F4A7C15)))
-    name = (np.uint64(band * 2 + salt) << np.uint64(32)) + np.arange(1, parts + 1, dtype=np.uint64)
-    return _mix(total ^ _mix(name)), np.bincount(place, minlength=parts) > 0
+    def dealt(self, bands: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The partitions and the spare ones of many bands."""
+        known, place = np.unique(bands, return_inverse=True)
+        return tuple(np.array(x, np.int64)[place] for x in zip(*(self.partitions(int(b)) for b in known)))
 
 
-def signatures(s: np.ndarray, bands: Bands, frequent: np.ndarray) -> np.ndarray:
-    """All signatures of a non-empty set: one per filled partition of its band's and the next band's instance."""
-    own, out = bands.band(len(s)), []
+def _name(total: np.ndarray, band: np.ndarray, slot: np.ndarray, whole: bool) -> np.ndarray:
+    """The signature of a partition: its content, band and number, and whether it is made over all shingles."""
+    label = ((band * 2 + whole).astype(np.uint64) << np.uint64(32)) + (slot + 1).astype(np.uint64)
+    return _mix(total ^ _mix(label))
+
+
+def _instance(items: np.ndarray, bounds: np.ndarray, band: np.ndarray, parts: np.ndarray, whole: bool):
+    """(signature, number of the set, number of the partition) of each set's filled partitions.
+
+    A partition is a stretch of the hashes, so it is a stretch of a sorted set.
+    """
+    sizes = np.diff(bounds)
+    slot = ((items >> np.uint64(32)) * np.repeat(parts, sizes).astype(np.uint64) >> np.uint64(32)).astype(np.int64)
+    first = np.ones(len(items), bool)
+    first[1:] = slot[1:] != slot[:-1]
+    first[bounds[:-1][sizes > 0]] = True
+    start = np.flatnonzero(first)
+    total = np.add.reduceat(items, start) if len(start) else items
+    number, slot = np.repeat(np.arange(len(sizes)), np.diff(np.searchsorted(start, bounds))), slot[start]
+    return _name(total, band[number], slot, whole), number, slot
+
+
+def _chosen(items: np.ndarray, bounds: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The sets that are marked in ``which``."""
+    sizes = np.diff(bounds)
+    return items[np.repeat(which, sizes)], _bounds(sizes[which])
+
+
+def all_signatures(items: np.ndarray, bounds: np.ndarray, bands: Bands, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(signature, number of the set) of non-empty sets: one per filled partition of its band's and the next band's instance."""
+    own, out = bands.bands(np.diff(bounds)), []
+    rest, rest_bounds = items, bounds
     if len(frequent):
-        at = np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)
-        rest = s[frequent[at] != s]
-    else:
-        rest = s
+        at = np.minimum(np.searchsorted(frequent, items), len(frequent) - 1)
+        keep = frequent[at] != items
+        rest, rest_bounds = items[keep], _bounds(keep)[bounds]
     for band in (own, own + 1):
-        parts, spare = bands.partitions(band)
-        sigs, filled = _instance(rest, band, parts, 0)
-        out.append(sigs[filled])
-        if parts - filled.sum() > spare:
-            sigs, filled = _instance(s, band, parts, 1)
-            out.append(sigs if parts - filled.sum() > spare else sigs[filled])
-    return np.concatenate(out)
+        parts, spare = bands.dealt(band)
+        sigs, number, _ = _instance(rest, rest_bounds, band, parts, False)
+        out.append((sigs, number))
+        few = parts - np.bincount(number, minlength=len(parts)) > spare
+        if not few.any():
+            continue
+        ids = np.flatnonzero(few)
+        band, parts, spare = band[few], parts[few], spare[few]
+        sigs, number, slot = _instance(*_chosen(items, bounds, few), band, parts, True)
+        out.append((sigs, ids[number]))
+        empty = np.repeat(parts - np.bincount(number, minlength=len(parts)) > spare, parts)
+        place = _bounds(parts)
+        empty[place[number] + slot] = False
+        number = np.repeat(np.arange(len(parts)), parts)[empty]
+        slot = np.flatnonzero(empty) - place[number]
+        out.append((_name(np.zeros(len(slot), np.uint64), band[number], slot, True), ids[number]))
+    return tuple(np.concatenate(x) for x in zip(*out))
 
 
-def _set_key(s: np.ndarray) -> bytes:
-    return hashlib.blake2b(s.tobytes(), digest_size=16).digest()
+def signatures(s: np.ndarray, bands: Bands, frequent: np.ndarray) -> np.ndarray:
+    """All signatures of one non-empty set."""
+    return all_signatures(s, np.array([0, len(s)]), bands, frequent)[0]
+
+
+def _set_keys(items: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+    return [hashlib.blake2b(items[a:b], digest_size=16).digest() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
 
 
 def _node(key: bytes) -> int:
@@ -163,18 +275,26 @@ def _node(key: bytes) -> int:
 def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[int, np.ndarray]]:
     """(node, set) of rows (node, text, key); a text whose set has another key belongs to a repeated doc_id."""
     for batch in batches:
-        for i in range(0, batch.num_rows, 256):
-            part = batch.slice(i, 256)
-            for node, text, key in zip(*(c.to_pylist() for c in part.columns)):
-                s = shingle_set(text, size)
-                if _set_key(s) == key:
-                    yield node, s
+        for part in _slices(batch, 1):
+            items, bounds = shingle_sets(part.column(1), size)
+            for i, (node, key, own) in enumerate(zip(part.column(0).to_pylist(), part.column(2).to_pylist(), _set_keys(items, bounds))):
+                if key == own:
+                    yield node, items[bounds[i]:bounds[i + 1]]
 
 
-def parity_sketch(s: np.ndarray) -> bytes:
+def parity_sketches(items: np.ndarray, bounds: np.ndarray) -> list[bytes]:
     """One bit per cell: whether an odd number of shingles fell into it; cells are a power of two."""
-    cells = max(SKETCH_LEAST, 1 << (2 * len(s) - 1).bit_length()) if len(s) else SKETCH_LEAST
-    return np.packbits(np.bincount((s & np.uint64(cells - 1)).astype(np.int64), minlength=cells) & 1, bitorder="little").tobytes()
+    sizes = np.diff(bounds)
+    cells = np.array([max(SKETCH_LEAST, 1 << (2 * n - 1).bit_length()) if n else SKETCH_LEAST for n in sizes.tolist()], np.int64)
+    place = _bounds(cells)
+    at = (items & np.repeat(cells - 1, sizes).astype(np.uint64)).astype(np.int64) + np.repeat(place[:-1], sizes)
+    bits = np.packbits(np.bincount(at, minlength=place[-1]) & 1, bitorder="little").tobytes()
+    return [bits[a:b] for a, b in zip((place[:-1] // 8).tolist(), (place[1:] // 8).tolist())]
+
+
+def parity_sketch(s: np.ndarray) -> bytes:
+    """The sketch of one set."""
+    return parity_sketches(s, np.array([0, len(s)]))[0]
 
 
 def _folded(sketch: bytes, size: int) -> np.ndarray:
@@ -197,7 +317,7 @@ def _classes_task(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[bytes, np.ndarray] = {}
 
-        def rows(ids: list, ns: list, keys: list, sketches: list, common: list) -> pa.RecordBatch:
+        def rows(ids: list | pa.Array, ns: list | np.ndarray, keys: list, sketches: list, common: list) -> pa.RecordBatch:
             nodes = [None if k is None else _node(k) for k in keys]
             return pa.record_batch([pa.array(ids, pa.int64()), pa.array(ns, pa.int64()), pa.array(keys, pa.binary()),
                                     pa.array(nodes, pa.int64()), pa.array(sketches, pa.binary()),
@@ -212,17 +332,13 @@ def _classes_task(size: int):
             return rows([None], [-1], [None], [None], [found])
 
         for batch in batches:
-            for first in range(0, batch.num_rows, 256):
-                part = batch.slice(first, 256)
-                ids, ns, keys, sketches = part.column(0).to_pylist(), [], [], []
-                for text in part.column(1).to_pylist():
-                    s = shingle_set(text, size)
-                    ns.append(len(s))
-                    keys.append(_set_key(s))
-                    sketches.append(parity_sketch(s))
-                    if len(s):
-                        seen[keys[-1]] = s                  # copies count once
-                yield rows(ids, ns, keys, sketches, [None] * len(ids))
+            for part in _slices(batch, 1):
+                items, bounds = shingle_sets(part.column(1), size)
+                keys = _set_keys(items, bounds)
+                for key, a, b in zip(keys, bounds[:-1].tolist(), bounds[1:].tolist()):
+                    if a < b:
+                        seen[key] = items[a:b]                  # copies count once
+                yield rows(part.column(0), np.diff(bounds), keys, parity_sketches(items, bounds), [None] * len(keys))
                 if len(seen) >= COUNTED_DOCS or sum(map(len, seen.values())) > 4_000_000:
                     yield report()
         if seen:
@@ -238,29 +354,32 @@ def _signatures_task(size: int, percent: int, frequent: np.ndarray):
 
         def flush() -> pa.RecordBatch:
             sig, node = np.concatenate(sigs), np.concatenate(nodes)
-            order = np.lexsort((node, sig))
+            order = np.argsort(sig)
             sig, node = sig[order], node[order]
-            keep = np.ones(len(sig), bool)
-            keep[1:] = (sig[1:] != sig[:-1]) | (node[1:] != node[:-1])
-            sig, node = sig[keep], node[keep]
             first = np.ones(len(sig), bool)
             first[1:] = sig[1:] != sig[:-1]
-            counts = np.add.reduceat(~first, np.flatnonzero(first)).astype(np.int32)
-            others = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)),
-                                              pa.array(node[~first]))
-            return pa.record_batch([pa.array(sig[first].view(np.int64)), pa.array(node[first]), others],
+            start = np.flatnonzero(first)
+            least = np.minimum.reduceat(node, start)
+            other = node != np.repeat(least, np.diff(np.append(start, len(sig))))
+            counts = np.add.reduceat(other, start, dtype=np.int64)
+            others = pa.ListArray.from_arrays(pa.array(_bounds(counts).astype(np.int32)), pa.array(node[other]))
+            return pa.record_batch([pa.array(sig[first].view(np.int64)), pa.array(least), others],
                                    names=["sig", "node", "others"])
 
         for batch in batches:
-            for text in batch.column(0):
-                s = shingle_set(text.as_py(), size)
-                node_id = _node(_set_key(s)) if len(s) else None
-                if node_id is None or node_id in seen:          # a copy that is signed already
+            for part in _slices(batch, 0):
+                items, bounds = shingle_sets(part.column(0), size)
+                names = np.array([_node(k) for k in _set_keys(items, bounds)], np.int64)
+                which = np.zeros(len(names), bool)
+                for i in np.flatnonzero(np.diff(bounds)).tolist():
+                    if names[i] not in seen:                # a copy is signed once
+                        seen.add(int(names[i]))
+                        which[i] = True
+                if not which.any():
                     continue
-                seen.add(node_id)
-                got = signatures(s, bands, frequent)
+                got, number = all_signatures(*_chosen(items, bounds, which), bands, frequent)
                 sigs.append(got)
-                nodes.append(np.full(len(got), node_id, np.int64))
+                nodes.append(names[which][number])
                 held += len(got)
                 if held >= BATCH_SIGNATURES:
                     yield flush()
@@ -354,20 +473,24 @@ def _across_task(percent: int, nearest: bool):
         rank[np.lexsort((np.arange(len(count)), count))] = np.arange(len(count))
         rank = rank[number]                                   # larger components have higher ranks
         left, right = [], []
-        for i in range(len(node)):
+        step = max(1, BLOCK_BYTES // (len(node) * width))
+        for first in range(0, len(node), step):
+            some = place[first:first + step, None]
             # each pair is looked at from one of its ends
-            ok = (rank > rank[i]) if nearest else (comp != comp[i]) & (place > i)
+            ok = (rank > rank[some]) if nearest else (comp != comp[some]) & (place > some)
             if two:
-                ok &= side != side[i]
-            at = np.flatnonzero(ok)
-            if not len(at):
-                continue
+                ok &= side != side[some]
+            i, at = np.nonzero(ok)
+            near = np.minimum(n[at], n[i]) * 100 >= np.maximum(n[at], n[i]) * percent
+            i, at = i[near] + first, at[near]
             apart = _apart(m[at], m[i])
             close = _close(apart, n[at], n[i], percent)
-            at, apart = at[close], apart[close]
+            i, at, apart = i[close], at[close], apart[close]
             if nearest and len(at):
-                order = np.lexsort((apart, rank[at]))
-                at = at[order][np.r_[True, np.diff(rank[at][order]) != 0]]
+                order = np.lexsort((apart, rank[at], i))
+                i, at = i[order], at[order]
+                best = np.r_[True, (np.diff(rank[at]) != 0) | (np.diff(i) != 0)]
+                i, at = i[best], at[best]
             left.append(np.minimum(node[at], node[i]))
             right.append(np.maximum(node[at], node[i]))
         if not sum(map(len, left)):
@@ -486,8 +609,8 @@ class JaccardJoin:
         buckets = staged(self.buckets(), "buckets")
         stars = buckets.select(F.col("centre").alias("a"), F.col("member").alias("b")).distinct()
         candidates = staged(self.possible(stars), "pairs")
-        shared = buckets.select("sig", F.col("centre").alias("node")).unionByName(
-            buckets.select("sig", F.col("member").alias("node"))).distinct()
+        shared = staged(buckets.select("sig", F.col("centre").alias("node")).unionByName(
+            buckets.select("sig", F.col("member").alias("node"))).distinct(), "shared")
         found = staged(self.verified(candidates), "found")
         comp = components(found)
         # one link is enough to join two components: the nearest members first, then all that is left
@@ -497,10 +620,14 @@ class JaccardJoin:
         return found, comp
 
     def mixed(self, shared: DataFrame, comp: DataFrame) -> DataFrame:
-        """(sig, node, component) of the buckets whose members are in several components."""
+        """(sig, node, component) of the different buckets whose members are in several components."""
         labelled = staged(shared.join(comp, "node", "left").withColumn("component", F.coalesce("component", "node")), "labelled")
-        spread = labelled.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-        return labelled.join(spread.where("lo != hi").select("sig"), "sig")
+        spread = labelled.groupBy("sig").agg(
+            F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("members"),
+            F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("y"))
+        # many signatures are shared by the same members: one bucket of each lot is compared
+        one = spread.where("lo != hi").groupBy("lo", "hi", "members", "x", "y").agg(F.min("sig").alias("sig"))
+        return labelled.join(one.select("sig"), "sig")
 
     @staticmethod
     def joined(comp: DataFrame, links: DataFrame) -> DataFrame:
@@ -545,9 +672,8 @@ def _keys_task(size: int, at: int):
     """The rows with the key of the set of their text (column number ``at``)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(0, batch.num_rows, 256):
-                part = batch.slice(i, 256)
-                keys = [_set_key(shingle_set(t, size)) for t in part.column(at).to_pylist()]
+            for part in _slices(batch, at):
+                keys = _set_keys(*shingle_sets(part.column(at), size))
                 yield pa.record_batch([*part.columns, pa.array(keys, pa.binary())], names=[*part.schema.names, "_key"])
     return run
 

@@ -2,9 +2,11 @@
 
 import random
 import re
+import time
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 
 import corpus_pipeline
 from tenderfold.llm import decontam, line_rules, partenum, pii_crf
@@ -109,6 +111,65 @@ def test_large_buckets_are_compared_in_blocks(spark, monkeypatch):
     assert sorted((tuple(r) for r in got.collect()), key=str) == brute_groups(rows, 4, 85)
 
 
+def test_sets_made_together_equal_sets_made_alone(monkeypatch):
+    r = random.Random(5)
+    texts = [t for _, t, *_ in odd_rows()] + ["a" * 64, "a" * 65, "a" * 63 + "b", "abcdefgh", "abcdefghi", " A b\x0bC", "a b c"]
+    texts += ["".join(r.choice("ab \n\tA\u00e9") for _ in range(r.randrange(60))) for _ in range(400)]
+    low = {k: k + 32 for k in range(65, 91)}
+    monkeypatch.setattr(partenum, "SLICE_BYTES", 300)
+    for size in (1, 4):
+        batch = pa.record_batch([pa.array(texts, pa.string())], names=["text"]).slice(2)
+        pairs = set()
+        rows = iter(texts[2:])
+        for part in partenum._slices(batch, 0):
+            items, bounds = partenum.shingle_sets(part.column(0), size)
+            for text, a, b in zip(part.column(0).to_pylist(), bounds[:-1], bounds[1:]):
+                assert text == next(rows)
+                w = WORD.findall((text or "").translate(low))
+                brute = frozenset([tuple(w)] if 0 < len(w) < size else zip(*(w[k:] for k in range(size))))
+                alone, _ = partenum.shingle_sets(pa.array([text], pa.string()), size)
+                assert b - a == len(brute) and (items[a:b] == alone).all() and (np.diff(items[a:b].astype(object)) > 0).all()
+                pairs.add((brute, items[a:b].tobytes()))
+        assert next(rows, "none left") == "none left"
+        assert len(pairs) == len({x for x, _ in pairs}) == len({y for _, y in pairs})
+
+
+def test_signatures_made_together_lose_no_pair():
+    r, bands = np.random.default_rng(6), partenum.Bands(85)
+    sets = [np.unique(r.integers(0, 2 ** 64, n, dtype=np.uint64)) for n in (1, 2, 5, 30, 200, 1000, 1, 64)]
+    items, bounds = np.concatenate(sets), np.concatenate([[0], np.cumsum([len(s) for s in sets])])
+    for frequent in (items[:0], np.sort(r.choice(items, 300, replace=False)), np.sort(items)):
+        sigs, number = partenum.all_signatures(items, bounds, bands, frequent)
+        for i, s in enumerate(sets):
+            assert sorted(sigs[number == i]) == sorted(partenum.signatures(s, bands, frequent))
+            near = s[len(s) * 15 // 100:]                       # as far as the threshold allows
+            assert np.intersect1d(sigs[number == i], partenum.signatures(near, bands, frequent)).size
+
+
+def test_signing_costs_few_times_the_splitting_of_words():
+    texts = [prose(i, 30 + i % 500) for i in range(1500)]
+    batch = pa.record_batch([pa.array(texts)], names=["text"])
+
+    def cpu(work):
+        began = time.process_time()
+        work()
+        return time.process_time() - began
+
+    split = min(cpu(lambda: [t.encode().lower().split() for t in texts]) for _ in range(5))
+    task = partenum._signatures_task(4, 85, np.empty(0, np.uint64))
+    assert min(cpu(lambda: list(task(iter([batch])))) for _ in range(5)) < 7 * split      # made text by text: 11 times
+
+
+def test_buckets_of_the_same_members_are_compared_once(spark):
+    buckets = {1: (10, 11), 2: (10, 11), 3: (10, 11, 12), 4: (10, 12), 5: (20, 21), 6: (10, 11)}
+    shared = spark.createDataFrame([(s, n) for s, nodes in buckets.items() for n in nodes], "sig long, node long")
+    comp = spark.createDataFrame([(20, 20), (21, 20)], "node long, component long")
+    got = defaultdict(set)
+    for row in partenum.JaccardJoin.mixed(None, shared, comp).collect():
+        got[row.sig].add(row.node)
+    assert sorted(map(sorted, got.values())) == [[10, 11], [10, 11, 12], [10, 12]]
+
+
 def test_components(spark):
     r = random.Random(2)
     chain = [(i, i + 1) for i in range(40)] + [(100 + i, 100) for i in range(1, 30)] + [(7, 7), (200, 300)]
